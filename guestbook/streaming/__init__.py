@@ -1,0 +1 @@
+"""Empty on purpose: none of the review analyses is a streaming one."""
