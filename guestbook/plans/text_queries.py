@@ -106,8 +106,8 @@ def _(spark, sf_dir):
 def tokens_sql(source: str) -> str:
     """Bare words of (doc_id, side, t) with their place in the text."""
     bare = f"trim(lower(w), '{PUNCTUATION}')"
-    return f"""select doc_id, side, at, case when {bare} = '' then lower(w) else {bare} end as word
-      from (select doc_id, side, unnest(ws) as w, generate_subscripts(ws, 1) as at
+    return f"""select doc_id, side, ix, case when {bare} = '' then lower(w) else {bare} end as word
+      from (select doc_id, side, unnest(ws) as w, generate_subscripts(ws, 1) as ix
         from (select doc_id, side, string_split_regex(t, '[{SPACE}]+') as ws from ({source})))"""
 
 
@@ -118,7 +118,7 @@ TOTALS = f"""tok as ({tokens_sql(BOTH)}),
 RULES = {"negations": ["the", "in"], "boosters": {"and": 0.293, "of": 0.293, "that": -0.293}}
 RULED_TOTALS = f"""tok as ({tokens_sql(BOTH)}),
     near as (select doc_id, word, lag(word, 1, '') over w as b1, lag(word, 2, '') over w as b2,
-      lag(word, 3, '') over w as b3 from tok window w as (partition by doc_id order by at)),
+      lag(word, 3, '') over w as b3 from tok window w as (partition by doc_id order by ix)),
     v0 as (select doc_id, valence as v, sign(valence) as sg, b1, b2, b3 from near left join lex using (word)),
     v1 as (select *, (v + case when b1 in ('and', 'of') then 0.293e0 * sg when b1 = 'that' then -0.293e0 * sg else 0 end)
       * case when b1 in ('the', 'in') then -0.74e0 else 1 end as x1 from v0),
@@ -263,10 +263,10 @@ def _(spark, sf_dir):
 
 @query(
     "q9a_normalised_text",
-    f"""{TR}, tok as (select doc_id, unnest(ws) as form, generate_subscripts(ws, 1) as at
+    f"""{TR}, tok as (select doc_id, unnest(ws) as form, generate_subscripts(ws, 1) as ix
       from (select doc_id, string_split_regex({plain_sql("Positive_Review")}, '[{SPACE}]+') as ws from r))
     select r.doc_id, coalesce(n.t, '') as normalised_text from r left join
-      (select doc_id, string_agg(coalesce(lemma, form), ' ' order by at) as t from tok left join lex on word = form
+      (select doc_id, string_agg(coalesce(lemma, form), ' ' order by ix) as t from tok left join lex on word = form
        where form not in ('', 'the', 'of', 'and') group by doc_id) n using (doc_id)""",
 )
 def _(spark, sf_dir):
@@ -337,16 +337,16 @@ def _(spark, sf_dir):
     lines as (select Hotel_Name, place, 1 as side, regexp_extract_all(Positive_Review, '[^.!?\\n]+') as l from pk
       union all select Hotel_Name, place, 2 as side, regexp_extract_all(Negative_Review, '[^.!?\\n]+') as l from pk),
     sent as (select *, regexp_extract_all(lower(sentence), '\\p{{L}}+') as ws
-      from (select Hotel_Name, place, side, generate_subscripts(l, 1) as at, trim(unnest(l)) as sentence from lines)),
+      from (select Hotel_Name, place, side, generate_subscripts(l, 1) as ix, trim(unnest(l)) as sentence from lines)),
     kept as (select *, count(*) over (partition by Hotel_Name) as n from sent where len(ws) > 0),
-    tok as (select Hotel_Name, place, side, at, n, len(ws) as ln, unnest(ws) as word from kept),
-    cnt as (select Hotel_Name, place, side, at, n, ln, word, count(*) as tf from tok group by all),
+    tok as (select Hotel_Name, place, side, ix, n, len(ws) as ln, unnest(ws) as word from kept),
+    cnt as (select Hotel_Name, place, side, ix, n, ln, word, count(*) as tf from tok group by all),
     wt as (select *, tf / cast(ln as double) * ln(n / cast(count(*) over (partition by Hotel_Name, word) as double)) as w
       from cnt),
-    sw as (select Hotel_Name, place, side, at, round(sum(w), 6) as weight from wt group by all),
-    top as (select *, row_number() over (partition by Hotel_Name order by weight desc, place, side, at) as rk from sw)
-    select Hotel_Name, string_agg(sentence, '. ' order by place, side, at) as summary
-    from top join sent using (Hotel_Name, place, side, at) where rk <= 3 group by 1""",
+    sw as (select Hotel_Name, place, side, ix, round(sum(w), 6) as weight from wt group by all),
+    top as (select *, row_number() over (partition by Hotel_Name order by weight desc, place, side, ix) as rk from sw)
+    select Hotel_Name, string_agg(sentence, '. ' order by place, side, ix) as summary
+    from top join sent using (Hotel_Name, place, side, ix) where rk <= 3 group by 1""",
 )
 def _(spark, sf_dir):
     return summary.extractive_summary(text_reviews(spark, sf_dir), c=TEXT)
