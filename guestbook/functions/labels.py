@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from guestbook.functions import fixed_values as fv
-from guestbook.functions.text import words
+from guestbook.functions.text import SPACE
 
 
 def season(date: Column) -> Column:
@@ -35,7 +36,9 @@ def compound_class(score: Column) -> Column:
 
 
 def has_strong_word(text: Column, strong_words: Sequence[str] = fv.STRONG_WORDS) -> Column:
-    return F.arrays_overlap(words(text), F.array(*[F.lit(word) for word in strong_words]))
+    """Whether one of the words stands in the text as a whole whitespace-separated piece."""
+    either = "|".join(re.escape(word) for word in strong_words)
+    return text.rlike(f"(?:^|[{SPACE}])(?:{either})(?:[{SPACE}]|$)")
 
 
 def review_class(

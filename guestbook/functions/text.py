@@ -1,6 +1,7 @@
 """Text normalisation and tokens.
 
-Java's ``\\w``, ``\\d`` and ``\\s`` are ASCII-only, so the Unicode classes are spelled out.
+Java's ``\\w``, ``\\d`` and ``\\s`` are ASCII-only, so the Unicode classes are spelled out. Space is listed as
+ranges, which match faster than a Unicode category.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from pyspark.sql import functions as F
 
 from guestbook.functions.fixed_values import NO_NEGATIVE, NO_POSITIVE
 
-SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
+SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE_CHARACTERS = "".join(chr(x) for x in range(0x3001) if chr(x).isspace())
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(text, F.lit(SPACE_CHARACTERS))
 
 
 def words(text: Column) -> Column:
@@ -38,10 +40,9 @@ def plain_text(text: Column) -> Column:
     NULL and the "nothing was written" sentinels give an empty text.
     """
     low = F.lower(F.coalesce(text, F.lit("")))
-    out = F.regexp_replace(low, f"http[^{SPACE}]+|www[^{SPACE}]+|https[^{SPACE}]+", "")
-    out = F.regexp_replace(out, r"<[^\n]*?>", "")
-    out = F.regexp_replace(out, rf"[^\p{{L}}\p{{N}}_{SPACE}]", "")
-    out = F.regexp_replace(out, r"\p{Nd}+", "")
+    out = F.regexp_replace(low, f"(?:http|www)[^{SPACE}]+", "")
+    out = F.regexp_replace(out, r"<[^\n>]*>", "")
+    out = F.regexp_replace(out, rf"[^a-z \p{{L}}\p{{Nl}}\p{{No}}_{SPACE}]+", "")
     return F.when(low.isin(NO_POSITIVE.lower(), NO_NEGATIVE.lower()), F.lit("")).otherwise(out)
 
 

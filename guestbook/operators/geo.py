@@ -9,6 +9,7 @@ from guestbook.functions.geo import distance_band, haversine, home_cell, near_bo
 from guestbook.operators.joins import BROADCAST_BYTES, join_lookup
 from guestbook.operators.scores import monthly_trend, reputation
 from guestbook.schema import REVIEWS, Columns
+from guestbook.shared import settled
 
 
 def nearby_reviews(df: DataFrame, lat: float, lng: float, max_distance: float, c: Columns = REVIEWS) -> DataFrame:
@@ -92,46 +93,44 @@ def entities_near_points(
     return with_band(found.select("Monument", "City", c.entity, c.lat, c.lng, "distance"))
 
 
-def neighbour_check(entities: DataFrame, max_distance: float = 1000, c: Columns = REVIEWS) -> DataFrame:
+def neighbour_check(
+    df: DataFrame, max_distance: float = 1000, c: Columns = REVIEWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """For every position of an entity, whether another entity lies within ``max_distance`` metres.
 
-    No pairs are formed. In a grid whose cells are nowhere wider than the radius, two entities of one cell
-    are neighbours, which settles every crowded place by one aggregate. Only positions whose cell holds a
-    single entity look into the cells around them, by a semi join that stops at the first hit.
+    In a grid whose cells are nowhere wider than the radius, two entities of one cell are neighbours, which
+    settles every crowded cell by one aggregate and without pairs. Only positions whose cell holds a single
+    entity look at the positions in the cells around them; entities at one position count there once.
     """
     side = max_distance / 2 * (1 - 1e-9)
-    placed = (
-        entities.select(c.entity, c.lat, c.lng)
+    positions = (
+        df.select(F.col(c.entity).alias("_entity"), F.col(c.lat).alias("_lat"), F.col(c.lng).alias("_lng"))
         .filter(F.col(c.entity).isNotNull() & F.col(c.lat).isNotNull() & F.col(c.lng).isNotNull())
         .distinct()
-        .withColumn("_cell", home_cell(F.col(c.lat), F.col(c.lng), side))
     )
-    cells = placed.groupBy("_cell").agg((F.min(c.entity) != F.max(c.entity)).alias("_crowded"))
-    known = placed.join(cells, "_cell")
-    lone = known.filter(~F.col("_crowded")).select(
-        F.col(c.entity).alias("_entity"), F.col(c.lat).alias("_lat"), F.col(c.lng).alias("_lng")
+    placed = settled(positions, "positions").withColumn("_cell", home_cell(F.col("_lat"), F.col("_lng"), side))
+    placed = placed.select("_entity", "_lat", "_lng", "_cell.band", "_cell.slot")
+    cells = placed.groupBy("band", "slot").agg((F.min("_entity") != F.max("_entity")).alias("_crowded"))
+    known = join_lookup(placed, cells, ["band", "slot"], costly=True, max_bytes=max_bytes)
+    lone = known.filter(~F.col("_crowded")).select("_entity", "_lat", "_lng")
+    asking = (
+        lone.withColumn("_cell", F.explode(reached_cells(F.col("_lat"), F.col("_lng"), side, max_distance)))
+        .withColumnsRenamed({"_lat": "_from_lat", "_lng": "_from_lng"})
+        .select("_entity", "_from_lat", "_from_lng", "_cell.band", "_cell.slot")
     )
-    asking = lone.withColumn("_cell", F.explode(reached_cells(F.col("_lat"), F.col("_lng"), side, max_distance)))
-    others = placed.select(F.col("_cell").alias("_other_cell"), c.entity, c.lat, c.lng)
-    hit = (
-        asking.join(
-            others,
-            (F.col("_cell") == F.col("_other_cell"))
-            & (F.col("_entity") != F.col(c.entity))
-            & (haversine(F.col("_lat"), F.col("_lng"), F.col(c.lat), F.col(c.lng)) <= max_distance),
-            "left_semi",
-        )
-        .select("_entity", "_lat", "_lng")
+    spots = placed.groupBy("band", "slot", "_lat", "_lng").agg(F.min("_entity").alias("_low"), F.max("_entity").alias("_high"))
+    hits = (
+        join_lookup(spots, asking, ["band", "slot"], costly=True, max_bytes=max_bytes)
+        .filter((F.col("_low") != F.col("_entity")) | (F.col("_high") != F.col("_entity")))
+        .filter(haversine(F.col("_from_lat"), F.col("_from_lng"), F.col("_lat"), F.col("_lng")) <= max_distance)
+        .select("_entity", F.col("_from_lat").alias("_lat"), F.col("_from_lng").alias("_lng"))
         .distinct()
+        .withColumn("_hit", F.lit(True))
     )
-    settled_lone = lone.join(hit.withColumn("_hit", F.lit(True)), ["_entity", "_lat", "_lng"], "left").select(
-        F.col("_entity").alias(c.entity),
-        F.col("_lat").alias(c.lat),
-        F.col("_lng").alias(c.lng),
-        F.col("_hit").isNotNull().alias("has_neighbours"),
-    )
-    crowded = known.filter("_crowded").select(c.entity, c.lat, c.lng, F.lit(True).alias("has_neighbours"))
-    return crowded.unionByName(settled_lone)
+    checked = lone.join(hits, ["_entity", "_lat", "_lng"], "left").withColumn("has_neighbours", F.col("_hit").isNotNull())
+    crowded = known.filter("_crowded").withColumn("has_neighbours", F.lit(True))
+    names = [F.col("_entity").alias(c.entity), F.col("_lat").alias(c.lat), F.col("_lng").alias(c.lng), "has_neighbours"]
+    return crowded.select(*names).unionByName(checked.select(*names))
 
 
 def neighbour_trend(

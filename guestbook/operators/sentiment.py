@@ -31,24 +31,17 @@ def _adjusted(valence: Column, before: Sequence[Column], negations: Sequence[str
     """Valence of a word after the intensifiers and negations among the words before it, nearest first."""
     out = valence
     for word, damping in zip(before, DISTANCE_DAMPING):
-        for amount in sorted(set(boosters.values())):
-            strong = word.isin([booster for booster, value in boosters.items() if value == amount])
-            out = F.when(strong, out + F.signum(valence) * amount * damping).otherwise(out)
+        if boosters:
+            boost = F.lit(None)
+            for amount in sorted(set(boosters.values())):
+                group = [booster for booster, value in boosters.items() if value == amount]
+                boost = F.coalesce(boost, F.when(word.isin(group), amount))
+            out = out + F.signum(valence) * F.coalesce(boost, F.lit(0.0)) * damping
         if negations:
-            out = F.when(word.isin(list(negations)), out * NEGATION_FACTOR).otherwise(out)
+            out = out * F.when(word.isin(list(negations)), NEGATION_FACTOR).otherwise(1.0)
     return out
 
 
-def _with_words_before(pieces: Column) -> Column:
-    """Array of each word with the three words before it, the nearest first."""
-
-    def entry(word: Column, at: Column) -> Column:
-        before = [F.coalesce(F.get(pieces, at - n), F.lit("")).alias(f"before{n}") for n in (1, 2, 3)]
-        return F.struct(word.alias("word"), *before)
-
-    return F.transform(pieces, entry)
-
-
 def review_valences(
     df: DataFrame,
     keep: Sequence[str],
@@ -71,18 +64,23 @@ def review_valences(
     listed = df.select(*kept, F.explode(sides).alias("_side")).select(*kept, "_side.name", "_side.pieces")
     listed = listed.withColumnRenamed("name", "_text")
     if negations or boosters:
-        listed = listed.withColumn("pieces", F.transform("pieces", bare_word))
-        tokens = listed.select(*kept, "_text", F.explode(_with_words_before(F.col("pieces"))).alias("_token"))
-        tokens = tokens.select(*kept, "_text", "_token.*")
-        before = [F.col(f"before{n}") for n in (1, 2, 3)]
+        listed = listed.select(
+            *kept, "_text", "pieces", *[F.concat(F.array(*[F.lit("")] * n), "pieces").alias(f"before{n}") for n in (1, 2, 3)]
+        )
+        zipped = F.arrays_zip("pieces", "before1", "before2", "before3")
+        tokens = listed.select(*kept, "_text", F.explode(zipped).alias("_token")).select(*kept, "_text", "_token.*")
+        tokens = tokens.filter(F.col("pieces").isNotNull())
+        before = [bare_word(F.col(f"before{n}")) for n in (1, 2, 3)]
     else:
-        tokens = listed.select(*kept, "_text", F.explode("pieces").alias("_piece"))
-        tokens = tokens.select(*kept, "_text", bare_word(F.col("_piece")).alias("word"))
+        tokens = listed.select(*kept, "_text", F.explode("pieces").alias("pieces"))
         before = []
+    tokens = tokens.withColumn("word", bare_word(F.col("pieces"))).drop("pieces")
     valued = join_lookup(
         tokens, lexicon.select("word", F.col("valence").cast("double").alias("_valence")), "word", "left", max_bytes=max_bytes
     )
-    value = _adjusted(F.col("_valence"), before, negations, boosters)
+    value = F.col("_valence")
+    if before:
+        value = F.when(value.isNotNull(), _adjusted(value, before, negations, boosters))
     return valued.groupBy(*keep).agg(
         *[F.coalesce(F.sum(F.when(F.col("_text") == name, value)), F.lit(0.0)).alias(name) for name in texts]
     )

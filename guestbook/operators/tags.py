@@ -46,9 +46,9 @@ def tag_share(df: DataFrame, city: str, n: int = 10, c: Columns = REVIEWS) -> Da
     """
     counts = _tag_counts(reviews_in_city(df, city, c), c)
     leaders = counts.orderBy(F.desc("count"), "tag").limit(n)
-    marked = counts.join(F.broadcast(leaders.select("tag", F.lit(True).alias("_leads"))), "tag", "left")
+    names = F.broadcast(leaders.select(F.col("tag").alias("_leader")))
     rest = (
-        marked.filter(F.col("_leads").isNull())
+        counts.join(names, F.col("tag").eqNullSafe(F.col("_leader")), "left_anti")
         .agg(F.sum("count").alias("count"))
         .filter(F.col("count") > 0)
         .select(F.lit("Other").alias("tag"), "count")

@@ -90,23 +90,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def star_sql(columns: tuple[str, ...], text: str, tables: dict[str, str]) -> str:
-    """The star relation as SQL; ``tables`` maps a table name to how the engine refers to it."""
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Hash the rows over the cores where the files split into fewer tasks than there are cores.
+
+    A large table has more splits than cores and stays as it is scanned, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+
+
+def star_joins(columns: tuple[str, ...]) -> list[str]:
+    """Aliases of the joins the columns need, in join order."""
     needed = {alias for name in columns for alias in STAR_COLUMNS[name][1]}
     needed |= {alias for name in needed for alias in STAR_JOINS[name][2]}
+    return [alias for alias in STAR_JOINS if alias in needed]
+
+
+def star_sql(columns: tuple[str, ...], text: str, quote: str = "{}") -> str:
+    """The star relation as SQL; ``quote`` is how the engine refers to a table of a name."""
     joins = " ".join(
-        f"join {tables[source]} {alias} on {on}" for alias, (source, on, _) in STAR_JOINS.items() if alias in needed
+        f"join {quote.format(STAR_JOINS[alias][0])} {alias} on {STAR_JOINS[alias][1]}" for alias in star_joins(columns)
     )
     fields = ", ".join(f"{STAR_COLUMNS[name][0]} as {name}" for name in columns).replace("{S}", text)
-    return f"select {fields} from {tables['lineitem']} l {joins}"
+    return f"select {fields} from {quote.format('lineitem')} l {joins}"
 
 
 def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Star relation with the given columns. ``Tags`` is the parsed form of ``Tags_Raw``."""
     wanted = tuple(dict.fromkeys("Tags_Raw" if name == "Tags" else name for name in columns))
-    names = {"lineitem", *(source for source, _, _ in STAR_JOINS.values())}
-    sources = {name: table(spark, sf_dir, name) for name in names}
-    out = spark.sql(star_sql(wanted, "string", {name: "{" + name + "}" for name in names}), **sources)
+    sources = {STAR_JOINS[alias][0]: None for alias in star_joins(wanted)}
+    sources = {name: table(spark, sf_dir, name) for name in sources}
+    sources["lineitem"] = table(spark, sf_dir, "lineitem")
+    if any(name.endswith("_Raw") for name in wanted):  # parsing text is worth the shuffle, plain sums are not
+        sources["lineitem"] = spread(sources["lineitem"], "l_orderkey", "l_linenumber")
+    out = spark.sql(star_sql(wanted, "string", "{{{}}}"), **sources)
     if "Tags" in columns:
         out = out.select(*[tag_list(F.col("Tags_Raw")).alias("Tags") if n == "Tags" else F.col(n) for n in columns])
     return out
@@ -124,7 +141,7 @@ def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = "split(text, '\\n')"
     odd = f"array_join(filter({lines}, (x, i) -> i % 2 = 0), '\\n')"
     even = f"array_join(filter({lines}, (x, i) -> i % 2 = 1), '\\n')"
-    return table(spark, sf_dir, "documents").selectExpr(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").selectExpr(
         "doc_id",
         "source as Hotel_Name",
         "concat(source, ' ', lang) as Hotel_Address",

@@ -11,7 +11,6 @@ from guestbook.plans.registry import plain, query, rounded
 from guestbook.plans.relations import (
     GAZETTEER_SQL,
     STAR,
-    STAR_JOINS,
     STAR_KEY,
     gazetteer,
     poi_values_sql,
@@ -24,14 +23,13 @@ from guestbook.sources import land_reviews, points_of_interest, read_poi_csv
 
 KEY = ", ".join(STAR_KEY)
 NEWEST = f"Review_Date desc, {KEY}"
-TABLES = {name: name for name in {"lineitem", *(source for source, _, _ in STAR_JOINS.values())}}
 TAG_LIST = "list_transform(string_split(regexp_replace(Tags_Raw, '[\\[\\]'']', '', 'g'), ', '), lambda x: trim(x))"
 DUOMO = (45.464098, 9.191926)
 
 
 def star(*columns: str) -> str:
     """``with r as (...)`` over the given star columns, in the oracle's SQL."""
-    return f"with r as ({star_sql(columns, 'varchar', TABLES)})"
+    return f"with r as ({star_sql(columns, 'varchar')})"
 
 
 def distance_sql(lat1: str, lng1: str, lat2: str, lng2: str) -> str:
@@ -583,4 +581,4 @@ def _(spark, sf_dir):
 
 @query("q13b_close_neighbour_check", neighbours_sql(150))
 def _(spark, sf_dir):
-    return geo.neighbour_check(reviews(spark, sf_dir, *PLACED), 150)
+    return geo.neighbour_check(reviews(spark, sf_dir, *PLACED), 150, max_bytes=0)

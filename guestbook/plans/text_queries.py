@@ -251,11 +251,6 @@ def _by_lexicon(spark, sf_dir):
     return sentiment.review_sentiment(text_reviews(spark, sf_dir), lexicon(spark, sf_dir), STRONG, TEXT)
 
 
-def length_scorer():
-    """A scorer for the model hook whose classes SQL can state: the length of the text modulo 3."""
-    return lambda texts: texts.str.len() % 3 - 1
-
-
 @query("q9a_plain_text", f"{TR} select doc_id, {plain_sql('Positive_Review')} as plain from r")
 def _(spark, sf_dir):
     return text_reviews(spark, sf_dir).select("doc_id", plain_text(F.col("Positive_Review")).alias("plain"))
@@ -289,7 +284,10 @@ def _(spark, sf_dir):
     select doc_id, Hotel_Name, v as sentiment_value, {CLASS_NAME} as sentiment from cl""",
 )
 def _(spark, sf_dir):
-    return sentiment.model_sentiment(text_reviews(spark, sf_dir), length_scorer, STRONG, TEXT)
+    def load():  # a model whose classes SQL can state: the length of the text modulo 3
+        return lambda texts: texts.str.len() % 3 - 1
+
+    return sentiment.model_sentiment(text_reviews(spark, sf_dir), load, STRONG, TEXT)
 
 
 @query(
@@ -352,18 +350,17 @@ def _(spark, sf_dir):
     return summary.extractive_summary(text_reviews(spark, sf_dir), c=TEXT)
 
 
-def echo_model():
-    """A model for the summary hook whose answers SQL can state: some reasoning, then the text itself."""
-    return lambda texts: "<think>read it all</think>" + texts
-
-
 @query(
     "q10c_model_summary",
     f"{PICKED} select Hotel_Name, md5(corpus) as digest from (select Hotel_Name, {CORPUS} from pk group by 1)",
 )
 def _(spark, sf_dir):
     corpora = summary.corpus(summary.summary_reviews(text_reviews(spark, sf_dir), c=TEXT), TEXT)
-    return corpora.select("Hotel_Name", F.md5(summary.model_summary(F.col("corpus"), echo_model)).alias("digest"))
+
+    def load():  # a model whose answers SQL can state: some reasoning, then the text itself
+        return lambda texts: "<think>read it all</think>" + texts
+
+    return corpora.select("Hotel_Name", F.md5(summary.model_summary(F.col("corpus"), load)).alias("digest"))
 
 
 ANSWER = """case when doc_id % 3 = 0 then concat('<think>', Negative_Review, '</think>', Positive_Review)
