@@ -27,11 +27,13 @@ def words(text: Column) -> Column:
     return F.split(text, f"[{SPACE}]+")
 
 
-def bare_word(word: Column) -> Column:
-    """Lower-case word without punctuation around it; a piece of punctuation only (an emoticon) stays."""
-    low = F.lower(word)
-    core = F.btrim(low, F.lit(string.punctuation))
-    return F.when(core == "", low).otherwise(core)
+def bare(piece: Column) -> Column:
+    return F.btrim(piece, F.lit(string.punctuation))
+
+
+def bare_word(piece: Column) -> Column:
+    """Word without punctuation around it; a piece of punctuation only (an emoticon) stays."""
+    return F.when(bare(piece) == "", piece).otherwise(bare(piece))
 
 
 def plain_text(text: Column) -> Column:

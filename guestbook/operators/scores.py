@@ -66,14 +66,13 @@ def anomalies(df: DataFrame, c: Columns = REVIEWS, max_bytes: int = BROADCAST_BY
 
 
 def entity_anomalies(df: DataFrame, entity: str, c: Columns = REVIEWS) -> DataFrame:
-    """Anomalies of one entity, lowest score first. Its statistics are a single row, broadcast as such."""
+    """Anomalies of one entity, lowest score first. Mean and deviation are one scalar pair; nothing is joined."""
     own = of_entity(df, entity, c)
-    stats = own.agg(F.avg(c.score).alias("Avg_Score"), F.stddev_samp(c.score).alias("_deviation")).withColumn(
-        c.entity, F.lit(entity)
-    )
+    stats = own.agg(F.struct(F.avg(c.score).alias("mean"), F.stddev_samp(c.score).alias("deviation"))).scalar()
     return (
-        own.join(F.broadcast(stats), c.entity)
-        .filter(F.abs(F.col(c.score) - F.col("Avg_Score")) > 2 * F.col("_deviation"))
+        own.withColumn("_stats", stats)
+        .withColumn("Avg_Score", F.col("_stats.mean"))
+        .filter(F.abs(F.col(c.score) - F.col("Avg_Score")) > 2 * F.col("_stats.deviation"))
         .orderBy(c.score, *c.key)
         .select(c.score, "Avg_Score", c.positive_text, c.negative_text)
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from guestbook.functions import labels
 from guestbook.functions.fixed_values import EMPTY_NEGATIVES, EMPTY_POSITIVES, NO_REVIEWS, STRONG_WORDS
 from guestbook.functions.parsing import in_city
-from guestbook.functions.text import bare_word, kept_words, plain_text, stripped, words
+from guestbook.functions.text import bare, bare_word, kept_words, plain_text, stripped, words
 from guestbook.operators.joins import BROADCAST_BYTES, join_lookup
 from guestbook.operators.prepare import with_total_review
 from guestbook.operators.scores import of_entity
@@ -49,14 +49,16 @@ def review_valences(
     lexicon: DataFrame,
     negations: Sequence[str] = (),
     boosters: Mapping[str, float] | None = None,
+    punctuated: bool = True,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Sum of word valences per review: the ``keep`` columns, which must identify a review, and for every
-    entry of ``texts`` (result name -> text column) the sum over that text; 0 for an empty one."""
+    entry of ``texts`` (result name -> text column) the sum over that text; 0 for an empty one. Words are
+    compared in lower case and, in ``punctuated`` texts, without the punctuation around them."""
     boosters = dict(boosters or {})
     sides = F.array(
         *[
-            F.struct(F.lit(name).alias("name"), words(F.coalesce(F.col(column), F.lit(""))).alias("pieces"))
+            F.struct(F.lit(name).alias("name"), words(F.lower(F.coalesce(F.col(column), F.lit("")))).alias("pieces"))
             for name, column in texts.items()
         ]
     )
@@ -74,7 +76,13 @@ def review_valences(
     else:
         tokens = listed.select(*kept, "_text", F.explode("pieces").alias("pieces"))
         before = []
-    tokens = tokens.withColumn("word", bare_word(F.col("pieces"))).drop("pieces")
+    if punctuated:
+        # Two steps, so that the trimming is evaluated once per word.
+        tokens = tokens.withColumn("_bare", bare(F.col("pieces")))
+        word = F.when(F.col("_bare") == "", F.col("pieces")).otherwise(F.col("_bare"))
+        tokens = tokens.withColumn("word", word).drop("pieces", "_bare")
+    else:
+        tokens = tokens.withColumnRenamed("pieces", "word")
     valued = join_lookup(
         tokens, lexicon.select("word", F.col("valence").cast("double").alias("_valence")), "word", "left", max_bytes=max_bytes
     )
@@ -155,7 +163,7 @@ def review_sentiment(
         "_neg", plain_text(F.col("_neg"))
     )
     keep = [c.entity, *c.key, "_pos_strong", "_neg_strong", "_pos_length", "_neg_length"]
-    totals = review_valences(judged, keep, {"_p": "_pos", "_n": "_neg"}, lexicon, **rules)
+    totals = review_valences(judged, keep, {"_p": "_pos", "_n": "_neg"}, lexicon, punctuated=False, **rules)
     p, n = (labels.compound_class(labels.compound(F.col(name))) for name in ("_p", "_n"))
     value = _combined(p, n)
     return totals.select(c.entity, *c.key, value.alias("sentiment_value"), labels.class_name(value).alias("sentiment"))

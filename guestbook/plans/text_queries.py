@@ -103,10 +103,11 @@ def _(spark, sf_dir):
     return merged.select("doc_id", F.length("Total_Review").alias("n_chars"), F.md5("Total_Review").alias("digest"))
 
 
-def tokens_sql(source: str) -> str:
-    """Bare words of (doc_id, side, t) with their place in the text."""
+def tokens_sql(source: str, punctuated: bool = True) -> str:
+    """Words of (doc_id, side, t) with their place in the text."""
     bare = f"trim(lower(w), '{PUNCTUATION}')"
-    return f"""select doc_id, side, ix, case when {bare} = '' then lower(w) else {bare} end as word
+    word = f"case when {bare} = '' then lower(w) else {bare} end" if punctuated else "lower(w)"
+    return f"""select doc_id, side, ix, {word} as word
       from (select doc_id, side, unnest(ws) as w, generate_subscripts(ws, 1) as ix
         from (select doc_id, side, string_split_regex(t, '[{SPACE}]+') as ws from ({source})))"""
 
@@ -236,7 +237,7 @@ LEXICON_SIDES = f"""select doc_id, 'p' as side, {plain_sql("p")} as t from j
     union all select doc_id, 'n' as side, {plain_sql("n")} as t from j"""
 LEXICON_CLASSES = f"""select doc_id, max(c) filter (where side = 'p') as pc, max(c) filter (where side = 'n') as nc
     from (select doc_id, side, case when {COMPOUND} >= 0.05 then 1 when {COMPOUND} <= -0.05 then -1 else 0 end as c
-      from (select doc_id, side, coalesce(sum(valence), 0) as s from ({tokens_sql(LEXICON_SIDES)})
+      from (select doc_id, side, coalesce(sum(valence), 0) as s from ({tokens_sql(LEXICON_SIDES, punctuated=False)})
         left join lex using (word) group by 1, 2)) group by doc_id"""
 LENGTH_CLASSES = f"""select doc_id,
       case when p = '' then 0 else length({plain_sql("p")}) % 3 - 1 end as pc,

@@ -51,7 +51,7 @@ def test_words_and_strip_follow_unicode_space(spark):
 
 
 def test_bare_words(spark):
-    values = ["Good,", "(bad)", ":)", "it's", "!!!", ""]
+    values = ["good,", "(bad)", ":)", "it's", "!!!", ""]
     assert evaluate(spark, values, text.bare_word) == ["good", "bad", ":)", "it's", "!!!", ""]
 
 
