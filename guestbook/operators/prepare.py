@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from guestbook.functions.fixed_values import CITIES
 from guestbook.functions.parsing import cities_of, first_number, in_city, repaired_address, tag_list, us_date
 from guestbook.operators.joins import BROADCAST_BYTES, join_lookup, measured_bytes
 from guestbook.schema import DOUBLE_COLUMNS, INT_COLUMNS, REVIEWS, Columns
@@ -97,6 +98,6 @@ def reviews_in_city(df: DataFrame, city: str, c: Columns = REVIEWS) -> DataFrame
     return df.filter(in_city(F.col(c.address), city))
 
 
-def reviews_by_city(df: DataFrame, cities: tuple[str, ...], c: Columns = REVIEWS) -> DataFrame:
+def reviews_by_city(df: DataFrame, cities: tuple[str, ...] = CITIES, c: Columns = REVIEWS) -> DataFrame:
     """One row per review and city of the list that its address names."""
     return df.withColumn("city", F.explode(cities_of(F.col(c.address), cities)))

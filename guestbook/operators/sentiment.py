@@ -72,7 +72,7 @@ def review_valences(
         zipped = F.arrays_zip("pieces", "before1", "before2", "before3")
         tokens = listed.select(*kept, "_text", F.explode(zipped).alias("_token")).select(*kept, "_text", "_token.*")
         tokens = tokens.filter(F.col("pieces").isNotNull())
-        before = [bare_word(F.col(f"before{n}")) for n in (1, 2, 3)]
+        before = ["before1", "before2", "before3"]
     else:
         tokens = listed.select(*kept, "_text", F.explode("pieces").alias("pieces"))
         before = []
@@ -88,7 +88,9 @@ def review_valences(
     )
     value = F.col("_valence")
     if before:
-        value = F.when(value.isNotNull(), _adjusted(value, before, negations, boosters))
+        # Only words with a valence have the words before them looked at.
+        valued = valued.withColumns({name: F.when(value.isNotNull(), bare_word(F.col(name))) for name in before})
+        value = _adjusted(value, [F.col(name) for name in before], negations, boosters)
     return valued.groupBy(*keep).agg(
         *[F.coalesce(F.sum(F.when(F.col("_text") == name, value)), F.lit(0.0)).alias(name) for name in texts]
     )
