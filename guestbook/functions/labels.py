@@ -39,7 +39,7 @@ def has_strong_word(text: Column, strong_words: Sequence[str] = fv.STRONG_WORDS)
     """Whether one of the words stands in the text as a whole whitespace-separated piece."""
     either = "|".join(re.escape(word) for word in strong_words)
     # The words come first: a text is searched for their first letters, and what surrounds one is looked at then.
-    return text.rlike(f"(?:{either})(?![^{SPACE}])(?<=(?:^|[{SPACE}])(?:{either}))")
+    return text.rlike(f"(?U)(?:{either})(?![^{SPACE}])(?<=(?:^|[{SPACE}])(?:{either}))")
 
 
 def review_class(

@@ -1,7 +1,7 @@
 """Text normalisation and tokens.
 
-Java's ``\\w``, ``\\d`` and ``\\s`` are ASCII-only, so the Unicode classes are spelled out. Space is listed as
-ranges, which match faster than a Unicode category.
+Java's ``\\w``, ``\\d`` and ``\\s`` are ASCII-only by default: letters and numbers are spelled out as Unicode
+categories, and ``(?U)`` makes ``\\s`` every white space.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from guestbook.functions.fixed_values import NO_NEGATIVE, NO_POSITIVE
 
-SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = r"\s\x1c-\x1f"  # inside a character class of a (?U) pattern
 SPACE_CHARACTERS = "".join(chr(x) for x in range(0x3001) if chr(x).isspace())
 
 
@@ -24,7 +24,7 @@ def stripped(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Whitespace-separated pieces; an empty text gives one empty piece."""
-    return F.split(text, f"[{SPACE}]+")
+    return F.split(text, f"(?U)[{SPACE}]+")
 
 
 def bare(piece: Column) -> Column:
@@ -42,9 +42,9 @@ def plain_text(text: Column) -> Column:
     NULL and the "nothing was written" sentinels give an empty text.
     """
     low = F.lower(F.coalesce(text, F.lit("")))
-    out = F.regexp_replace(low, f"(?:http|www)[^{SPACE}]+", "")
+    out = F.regexp_replace(low, f"(?U)(?:http|www)[^{SPACE}]+", "")
     out = F.regexp_replace(out, r"<[^\n>]*>", "")
-    out = F.regexp_replace(out, rf"[^a-z \p{{L}}\p{{Nl}}\p{{No}}_{SPACE}]+", "")
+    out = F.regexp_replace(out, rf"(?U)[^a-z\p{{L}}\p{{Nl}}\p{{No}}_{SPACE}]+", "")
     return F.when(low.isin(NO_POSITIVE.lower(), NO_NEGATIVE.lower()), F.lit("")).otherwise(out)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guestbook.functions import labels
-from guestbook.functions.fixed_values import EMPTY_NEGATIVES, EMPTY_POSITIVES, NO_REVIEWS, STRONG_WORDS
+from guestbook.functions.fixed_values import EMPTY_NEGATIVES, EMPTY_POSITIVES, STRONG_WORDS
 from guestbook.functions.parsing import in_city
 from guestbook.functions.text import bare, bare_word, kept_words, plain_text, stripped, words
 from guestbook.operators.joins import BROADCAST_BYTES, join_lookup

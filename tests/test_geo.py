@@ -42,7 +42,8 @@ def entities(spark, points):
 
 
 def test_distance(spark):
-    df = spark.createDataFrame([(45.464098, 9.191926, 45.48378709120793, 9.18994), (1.0, 2.0, 1.0, 2.0), (None, 2.0, 1.0, 2.0)], "a double, b double, c double, d double")
+    pairs = [(45.464098, 9.191926, 45.48378709120793, 9.18994), (1.0, 2.0, 1.0, 2.0), (None, 2.0, 1.0, 2.0)]
+    df = spark.createDataFrame(pairs, "a double, b double, c double, d double")
     got = [r[0] for r in df.select(columns.haversine(*map(F.col, "abcd"))).collect()]
     assert got[0] == pytest.approx(metres(45.464098, 9.191926, 45.48378709120793, 9.18994), abs=1e-6)
     assert got[1:] == [0.0, None]

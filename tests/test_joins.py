@@ -10,9 +10,10 @@ from guestbook.shared import settled, shared_folder
 @pytest.fixture
 def big(spark):
     """A third of the rows under one key, some without a key."""
-    return spark.range(9000).select(
-        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("key")
-    )
+    number = F.col("id")
+    other = F.concat(F.lit("k"), number % 40)
+    key = F.when(number % 3 == 0, "hot").when(number % 50 == 1, None).otherwise(other)
+    return spark.range(9000).select("id", key.alias("key"))
 
 
 @pytest.fixture

@@ -97,7 +97,12 @@ TAGGED = "Hotel_Name string, Hotel_Address string, Reviewer_Score double, Tags a
 
 @pytest.fixture
 def tagged(spark):
-    data = [("a", "Milan", 8.0, ["x", "y"]), ("a", "Milan", 6.0, ["x", None]), ("b", "Paris", 2.0, ["y", "z"]), ("b", "Milan", 4.0, None)]
+    data = [
+        ("a", "Milan", 8.0, ["x", "y"]),
+        ("a", "Milan", 6.0, ["x", None]),
+        ("b", "Paris", 2.0, ["y", "z"]),
+        ("b", "Milan", 4.0, None),
+    ]
     return spark.createDataFrame(data, TAGGED)
 
 

@@ -97,8 +97,9 @@ def test_compound(spark):
 
 
 def test_seasonal_and_yearly(spark, lexicon):
+    date = F.when(F.col("id") < 2, F.lit("2017-01-05").cast("date"))
     df = reviews(spark, ("good", "No Negative"), ("bad", ""), ("great", "")).withColumns(
-        {"Hotel_Address": F.lit("x"), "Reviewer_Score": F.col("id") * 2.0, "Review_Date": F.when(F.col("id") < 2, F.lit("2017-01-05").cast("date"))}
+        {"Hotel_Address": F.lit("x"), "Reviewer_Score": F.col("id") * 2.0, "Review_Date": date}
     )
     seasonal = sentiment.seasonal_sentiment(df, lexicon, C)
     assert rows(seasonal.select("Season", "avg_reviewer_score", "review_count")) == [("Winter", 1.0, 2), (None, 4.0, 1)]
