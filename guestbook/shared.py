@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: dict[str, list[str]] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``. Only a local session without one gets a temporary folder."""
+    """Folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder, else one in the
+    warehouse: all of them are folders that every executor of a cluster reaches."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/guestbook/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder. What is written there goes with ``release`` or when Python ends."""
+    path = f"{shared_folder(spark)}/guestbook/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    if application not in _WRITTEN:
+        _WRITTEN[application] = []
+        atexit.register(release, spark)
+    _WRITTEN[application].append(path)
+    return path
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -29,3 +34,31 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete settled tables that no later plan reads."""
+    for df in tables:
+        spark = df.sparkSession
+        written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+        folders = {file.rpartition("/")[0] for file in df.inputFiles()}
+        for path in [path for path in written if any(_same(path, folder) for folder in folders)]:
+            _delete(spark, path)
+            written.remove(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table that this application has written to the shared folder."""
+    if spark.sparkContext._jsc is None:  # the session has been stopped
+        return
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+
+
+def _same(path: str, folder: str) -> bool:
+    return path.rpartition("/")[2] == folder.rpartition("/")[2]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
