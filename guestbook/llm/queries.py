@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestbook.llm import exact, simhash
+from guestbook.llm import byte_bpe, exact, language, lines, simhash, token_counts, token_files
+from guestbook.shared import new_table_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -53,3 +55,69 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
+
+
+@_query("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written to the shared folder and read back."""
+    folder = new_table_path(spark, "token-files")
+    token_files.write_tokens(_documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_tokens(spark, folder)
+
+
+@_query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_of(_documents(spark, sf_dir))
+
+
+OP7_SQL = r"""
+with raw as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as k
+  from documents
+), cut as (
+  select doc_id, k, line, regexp_replace(line, '^[ \t\n\r\v\f]+|[ \t\n\r\v\f]+$', '', 'g') as bare from raw
+), solid as (
+  select doc_id, k, bare, row_number() over (partition by doc_id order by k) as pos,
+    len(regexp_split_to_array(bare, '[ \t\n\r\v\f]+')) as words
+  from cut where bare <> ''
+), runs as (
+  select doc_id, pos, 1 as len, words, [bare] as content from solid
+  union all
+  select a.doc_id, a.pos, n.len, a.words + b.words + coalesce(c.words, 0) + coalesce(d.words, 0),
+    list_filter([a.bare, b.bare, c.bare, d.bare], lambda x: x is not null)
+  from solid a cross join (values (2), (3), (4)) n(len)
+  join solid b on b.doc_id = a.doc_id and b.pos = a.pos + 1
+  left join solid c on c.doc_id = a.doc_id and c.pos = a.pos + 2 and n.len >= 3
+  left join solid d on d.doc_id = a.doc_id and d.pos = a.pos + 3 and n.len = 4
+  where (n.len < 3 or c.pos is not null) and (n.len < 4 or d.pos is not null)
+), later as (
+  select doc_id, pos, len from (
+    select doc_id, pos, len, row_number() over (partition by content order by doc_id, pos) as copy from runs where words >= 4
+  ) where copy > 1
+), gone as (
+  select distinct f.doc_id, f.k from solid f join later l on f.doc_id = l.doc_id and f.pos >= l.pos and f.pos < l.pos + l.len
+), counted as (
+  select c.doc_id, count(*) filter (where c.bare <> '') as n_lines, count(g.k) as n_removed,
+    string_agg(c.line, chr(10) order by c.k) filter (where g.k is null) as text
+  from cut c left join gone g on c.doc_id = g.doc_id and c.k = g.k group by c.doc_id
+)
+select doc_id, case when n_removed < n_lines then text else '' end as text, n_lines, n_removed, n_removed < n_lines as kept
+from counted
+"""
+
+
+@_query("op7_line_dedup", OP7_SQL)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the later copies of repeated runs of lines with four words or more."""
+    return lines.without_repeated_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@_query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trips(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
