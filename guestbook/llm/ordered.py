@@ -84,3 +84,34 @@ def _finished(rows: pa.RecordBatch, part: int, equal: np.ndarray, starts: np.nda
     }
     out = pa.RecordBatch.from_arrays([*rows.columns, *added.values()], names=[*rows.schema.names, *added])
     return out.filter(pa.array(~equal[1]))
+
+
+def numbered(df: DataFrame, group: str, order: Sequence[str], name: str) -> tuple[DataFrame, dict[tuple[int, object], int]]:
+    """``df`` with ``_part`` and ``_local``, settled, and the offset of every (partition, group): offset plus
+    ``_local`` numbers the rows of each group from 0 in the given order.
+
+    Sorted by one range shuffle on group and order, a hot group fills many partitions. There are at most as
+    many offsets as partitions and groups together.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, counts = TaskContext.get().partitionId(), {}
+        for rows in batches:
+            coded = rows.column(group).dictionary_encode("encode")
+            codes, local = coded.indices.to_numpy(zero_copy_only=False), np.empty(rows.num_rows, np.int64)
+            for code, value in enumerate(coded.dictionary.to_pylist()):
+                at = np.nonzero(codes == code)[0]
+                local[at] = counts.get(value, 0) + np.arange(len(at))
+                counts[value] = counts.get(value, 0) + len(at)
+            added = [pa.array(np.full(rows.num_rows, part, np.int32)), pa.array(local)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *added], names=[*rows.schema.names, "_part", "_local"])
+
+    schema = df.selectExpr("*", "0 as _part", "0L as _local").schema
+    local = df.repartitionByRange(group, *order).sortWithinPartitions(group, *order).mapInArrow(work, schema)
+    local = settled(local, name)
+    offsets, total = {}, {}
+    counts = local.groupBy("_part", group).agg(F.count("*").alias("n")).collect()
+    for row in sorted(counts, key=lambda row: row._part):
+        offsets[row._part, row[group]] = total.get(row[group], 0)
+        total[row[group]] = total.get(row[group], 0) + row.n
+    return local, offsets

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestbook.llm import byte_bpe, exact, language, lines, simhash, token_counts, token_files
+from guestbook.llm import byte_bpe, chat, exact, language, lines, mixing, multi_index, simhash, token_counts, token_files
 from guestbook.shared import new_table_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,64 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trips(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
+@_query("op1_multi_index")
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@_query("op5_source_mix")
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place when sources are weighted by the square roots of their sizes."""
+    return mixing.mixed(_documents(spark, sf_dir).select("doc_id", "source"))
+
+
+# Tools that the conversations are read as using: every user turn is a call, every assistant turn answers the
+# call of the turn before.
+TOOLS = {
+    "search": {
+        "type": "object",
+        "properties": {"query": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "minimum": 1, "maximum": 50}},
+        "required": ["query", "limit"],
+        "additionalProperties": False,
+    },
+    "translate": {
+        "type": "object",
+        "properties": {"text": {"type": "string"}, "to": {"enum": ["de", "en", "es", "fr"]}},
+        "required": ["text", "to"],
+        "additionalProperties": False,
+    },
+}
+
+
+def tool_traffic(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results out of user and assistant turns, by the lengths of their texts.
+
+    Some calls need the next one, some the one before; some limits are out of range, some targets no choice.
+    """
+    length = F.length("text")
+    name_of = lambda turn: F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), turn)
+    turn = F.col("turn")
+    search = F.to_json(F.struct(F.col("text").alias("query"), (length % 60).alias("limit")))
+    target = F.element_at(F.array(*[F.lit(x) for x in ("de", "en", "es", "fr", "xx")]), (length % 5 + 1).cast("int"))
+    translate = F.to_json(F.struct(F.col("text").alias("text"), target.alias("to")))
+    needs = F.when(length % 4 == 0, F.array(name_of(turn + 2))).when(length % 4 == 1, F.array(name_of(turn - 2)))
+    calls = conversations.filter("role = 'user'").select(
+        "conv_id",
+        "turn",
+        name_of(turn).alias("call_id"),
+        F.when(length % 2 == 0, "search").otherwise("translate").alias("name"),
+        F.when(length % 2 == 0, search).otherwise(translate).alias("arguments"),
+        F.coalesce(needs, F.array().cast("array<string>")).alias("needs"),
+    )
+    answers = conversations.filter("role = 'assistant'")
+    return calls, answers.select("conv_id", name_of(turn - 1).alias("call_id"), F.col("text").alias("content"))
+
+
+@_query("op3_chat_format")
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation with its tool calls linked, ordered, validated and written as canonical JSON."""
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    calls, results = tool_traffic(conversations)
+    return chat.chats(conversations.filter("role is null or role not in ('user', 'assistant')"), calls, results, TOOLS)

@@ -31,7 +31,7 @@ from guestbook.shared import settled
 SHINGLE_WORDS = 4
 SEED = 42
 RADIUS = 4
-SHARD_FINGERPRINTS = 25_000
+SHARD_FINGERPRINTS = 100_000
 SAMPLE = 4_096  # fingerprints that the top tree is grown from, or this many for each of its shards:
 SAMPLE_OF_SHARD = 8
 MOST_SHARDS = 50_000
