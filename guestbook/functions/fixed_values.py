@@ -86,6 +86,31 @@ REVIEW_CUTOFF = 0.3
 COMPOUND_CUTOFF = 0.05
 COMPOUND_ALPHA = 15.0
 
+# The published rules of the compound score. A negation turns and dampens a valence; an intensifier
+# strengthens or weakens it, less so with every word between it and the word it belongs to.
+NEGATION_FACTOR = -0.74
+DISTANCE_DAMPING = (1.0, 0.95, 0.9)
+NEGATIONS = (
+    "aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt", "ain't", "aren't", "can't", "couldn't",
+    "daren't", "didn't", "doesn't", "dont", "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt", "neither", "don't",
+    "hadn't", "hasn't", "haven't", "isn't", "mightn't", "mustn't", "neednt", "needn't", "never", "none", "nope", "nor",
+    "not", "nothing", "nowhere", "oughtnt", "shant", "shouldnt", "uhuh", "wasnt", "werent", "oughtn't", "shan't",
+    "shouldn't", "uh-uh", "wasn't", "weren't", "without", "wont", "wouldnt", "won't", "wouldn't", "rarely", "seldom",
+    "despite",
+)
+STRENGTHENING = 0.293
+STRENGTHENING_WORDS = (
+    "absolutely", "amazingly", "awfully", "completely", "considerable", "considerably", "decidedly", "deeply", "enormous",
+    "enormously", "entirely", "especially", "exceptional", "exceptionally", "extreme", "extremely", "fabulously", "fully",
+    "greatly", "hella", "highly", "hugely", "incredible", "incredibly", "intensely", "major", "majorly", "more", "most",
+    "particularly", "purely", "quite", "really", "remarkably", "so", "substantially", "thoroughly", "total", "totally",
+    "tremendous", "tremendously", "uber", "unbelievably", "unusually", "utter", "utterly", "very",
+)
+WEAKENING_WORDS = (
+    "almost", "barely", "hardly", "kinda", "kindof", "kind-of", "less", "little", "marginal", "marginally", "occasional",
+    "occasionally", "partly", "scarce", "scarcely", "slight", "slightly", "somewhat", "sorta", "sortof", "sort-of",
+)
+
 # Labels of the mean review class of an entity.
 VERY_POSITIVE = "Molto Positivo"
 FAIRLY_POSITIVE = "Piuttosto Positivo"

@@ -19,6 +19,11 @@ def first_number(text: Column) -> Column:
     return F.regexp_extract(text, r"(\d+)", 1).try_cast("int")
 
 
+def whole_number(text: Column) -> Column:
+    """An integer, also one that is written with decimals: ``"7.0"`` -> 7. Further decimals are cut off."""
+    return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"))
+
+
 def tag_list(text: Column) -> Column:
     """``"[' A ', ' B ']"`` -> ``["A", "B"]``; ``"[]"`` -> ``[""]``."""
     bare = F.translate(text, "[]'", "")

@@ -55,7 +55,14 @@ def kept_words(text: Column, stop_words: Sequence[str] = ()) -> Column:
 
 
 def without_reasoning(text: Column) -> Column:
-    """Remove the first ``<think>...</think>`` block (and exact repeats of it); other texts stay as they are."""
-    inside = F.get(F.split(text, "<think>", -1), F.lit(1))
-    block = F.concat(F.lit("<think>"), F.get(F.split(inside, "</think>", -1), F.lit(0)), F.lit("</think>"))
-    return F.coalesce(F.replace(text, block, F.lit("")), text)
+    """Text without its first reasoning block; other texts stay as they are.
+
+    The block opens at the first ``<think>`` and closes at the next ``</think>``; where it stands in the text
+    again, word for word, it goes too. One that is never closed, or opened again before that, stays.
+    """
+    start = F.instr(text, "<think>")
+    rest = F.substr(text, start + len("<think>"))
+    end, again = F.instr(rest, "</think>"), F.instr(rest, "<think>")
+    closed = (start > 0) & (end > 0) & ((again == 0) | (again > end))
+    block = F.substr(text, start, end + len("<think></think>") - 1)
+    return F.when(closed, F.replace(text, block, F.lit(""))).otherwise(text)

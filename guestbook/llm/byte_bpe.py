@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guestbook.llm.batches import batch, narrow, texts_of
-from guestbook.llm.pieces import PieceCache, groups, piece_lists
+from guestbook.llm.pieces import ChunkMemory, Memory
 
 BUCKETS = (2, 4, 8, 12, 16, 24, 32, 64, 128, 256)
 BUCKET_OF = [next(width for width in BUCKETS if length <= width) for length in range(BUCKETS[-1] + 1)]
 CELLS = 1 << 18
-CACHED_PIECES = 300_000
+CACHED = 300_000
 NONE = np.int32(2**31 - 1)
 EMPTY = np.uint64(2**64 - 1)
 
@@ -180,21 +180,21 @@ class ByteBpe:
 
 
 @functools.cache
-def load(ranks_path: str, pattern: str) -> tuple[ByteBpe, PieceCache, regex.Pattern]:
-    """One per worker."""
+def load(ranks_path: str, pattern: str) -> tuple[ByteBpe, ChunkMemory]:
+    """The merges, and the ids of chunks of text and of the pre-tokens in them. One per worker."""
     with open(ranks_path, "rb") as file:
         bpe = ByteBpe({base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())})
-    return bpe, PieceCache(bpe.encode_pieces, CACHED_PIECES), regex.compile(pattern)
+    pieces, compiled = Memory(bpe.encode_pieces, CACHED), regex.compile(pattern)
+
+    def encode(chunks: list[str]) -> list[bytes]:
+        return list(map(b"".join, pieces.look_up([compiled.findall(chunk) for chunk in chunks])))
+
+    return bpe, ChunkMemory(encode, CACHED)
 
 
 def encode_texts(texts: list[str], ranks_path: str, pattern: str) -> Iterator[bytes]:
     """The ids of every text."""
-    _, cache, compiled = load(ranks_path, pattern)
-    for some in groups(texts):
-        if len(some) == 1:
-            yield b"".join(b"".join(ids) for part in piece_lists(compiled, some[0]) for ids in cache.look_up([part]))
-        else:
-            yield from (b"".join(ids) for ids in cache.look_up([compiled.findall(text) for text in some]))
+    return map(b"".join, load(ranks_path, pattern)[1].look_up(texts))
 
 
 def with_token_ids(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:

@@ -1,21 +1,21 @@
-"""Token counts by a two-tier lookup of pre-token lengths.
-
-A first pass over all texts counts pre-tokens inside every task, in a summary of bounded size, and the
-summaries' heaviest entries are added up: no pre-token of a text is ever shuffled. The lengths of the most
-frequent ones make the first tier, a compact table of bounded size that is broadcast. The second pass adds up
-lengths; a pre-token that the first tier lacks is encoded once by the library and stays in the worker's cache.
-The first tier decides nothing but speed.
-
-Defined results: a null text is an empty one with no tokens. A text with one of the tokenizer's own special
-strings, or with characters on which Unicode versions differ, goes to the library as a whole. Repeated rows
-give repeated results. Extra columns are not read. An empty table gives an empty result.
+"""Token counts by a two-tier lookup of lengths.
+
+What is looked up are words as white space parts them, each a pre-token or a few: no pre-token reaches over
+white space. A first pass over all texts counts words inside every task, in a summary of bounded size, and the
+summaries' heaviest entries are added up: no word of a text is ever shuffled. The lengths of the most frequent
+ones make the first tier, a compact table of bounded size that is broadcast. The second pass adds up lengths; a
+word that the first tier lacks is encoded by the library and stays in the worker's cache for a while. The first
+tier decides nothing but speed.
+
+Defined results: a null text is an empty one with no tokens. Special strings within a text are as the library
+takes them. Repeated rows give repeated results. Extra columns are not read. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
 import functools
 import os
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,37 +28,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guestbook.llm.batches import batch, narrow, texts_of
-from guestbook.llm.pieces import GROUP_CHARS, PieceCache, agreed, groups, piece_lists
+from guestbook.llm.pieces import GROUP_CHARS, Memory, gaps, groups, segments
 
-# Fixed value: the pre-tokens of the vocabulary file, after NFC and lower case; all else is dropped.
-WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 SUMMARY = 1 << 18
 SENT = 1 << 11
 FREQUENT = 1 << 15
 LONGEST = 64
-CACHED_PIECES = 300_000
+CACHED_WORDS = 300_000
+SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to ``str.split`` alone
+WORD = regex.compile(r"\S+")
 
 
 @functools.cache
 def load(path: str):
-    """The library's tokenizer and the pattern of its special strings; one per worker."""
+    """The library's tokenizer; one per worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    special = [regex.escape(token.content) for token in tokenizer.get_added_tokens_decoder().values()]
-    return tokenizer, regex.compile("|".join(special) or r"(?!)"), regex.compile(WORDS)
+    return Tokenizer.from_file(path)
 
 
-def normalised(text: str) -> str:
-    """As the vocabulary file does it, but for runs of white space, which lie between pre-tokens anyway."""
-    if text.isascii():
-        return text.lower()
-    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+def words(text: str) -> list[str]:
+    return WORD.findall(text) if any(char in text for char in SEPARATORS) else text.split()
 
 
-def lengths_of(path: str, pieces: list[str]) -> list[int]:
-    return [len(found.ids) for found in load(path)[0].encode_batch_fast(pieces, add_special_tokens=False)]
+def lengths_of(path: str, some: list[str]) -> list[int]:
+    return [len(found.ids) for found in load(path).encode_batch_fast(some, add_special_tokens=False)]
 
 
 @dataclass
@@ -80,38 +75,30 @@ class FrequentLengths:
         return {self.joined[a:b].decode(): n for a, b, n in zip([0, *ends], ends, self.lengths.tolist())}
 
 
-class TwoTiers(dict):
-    """The broadcast lengths; what they lack is noted and counts 0 until the cache gives its length."""
+class TwoTiers:
+    """The broadcast lengths, and behind them the worker's own."""
 
     def __init__(self, frequent: FrequentLengths, path: str):
-        super().__init__(frequent.table())
-        self.cache = PieceCache(functools.partial(lengths_of, path), CACHED_PIECES)
-        self.misses: list[str] = []
-
-    def __missing__(self, piece: str) -> int:
-        self.misses.append(piece)
-        return 0
+        self.frequent = frequent.table()
+        self.others = Memory(functools.partial(lengths_of, path), CACHED_WORDS)
 
-    def count(self, texts: list[list[str]]) -> list[int]:
-        """Tokens of each list of pieces."""
-        found, missed = [], []
-        for pieces in texts:
-            self.misses = []
-            found.append(sum(map(self.__getitem__, pieces)))
-            missed.append(self.misses)
-        return [n + sum(rest) for n, rest in zip(found, self.cache.look_up(missed))]
+    def count(self, lists: list[list[str]]) -> list[int]:
+        """Tokens of each list of words."""
+        found = [list(map(self.frequent.get, some)) for some in lists]
+        missed = [[some[i] for i in gaps(values)] for some, values in zip(lists, found)]
+        return [sum(filter(None, values)) + sum(rest) for values, rest in zip(found, self.others.look_up(missed))]
 
 
 def frequent_lengths(docs: DataFrame, path: str, text: str = "text", most: int = FREQUENT) -> FrequentLengths:
-    """First tier: the ``most`` most frequent pre-tokens over all texts, by summaries of ``SUMMARY`` pieces a
+    """First tier: the ``most`` most frequent words over all texts, by summaries of ``SUMMARY`` words a
     task of which the ``SENT`` heaviest are sent on."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = load(path)[2], Counter()
+        counts = Counter()
         for rows in batches:
             for held in texts_of(rows.column("text")):
-                for pieces in piece_lists(words, normalised(held)):
-                    counts.update(pieces)
+                for part in segments(held):
+                    counts.update(words(part))
                     if len(counts) > SUMMARY:
                         counts = Counter(dict(counts.most_common(SUMMARY // 2)))
         best = [(piece, n) for piece, n in counts.most_common(SENT) if len(piece) <= LONGEST]
@@ -129,22 +116,14 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, doc_id: str = "d
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, text))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, special, words = load(path)
         tiers = TwoTiers(frequent.value, path)
-
-        def count(texts: list[str]) -> list[int]:
-            if len(texts) == 1 and len(texts[0]) > GROUP_CHARS:
-                return [sum(tiers.count([pieces])[0] for pieces in piece_lists(words, texts[0]))]
-            return tiers.count([words.findall(held) for held in texts])
-
         for rows in batches:
-            texts = texts_of(rows.column("text"))
-            plain = [agreed(held) and not special.search(held) for held in texts]
-            counts = [0 if ok else len(tokenizer.encode(held, add_special_tokens=False).ids) for held, ok in zip(texts, plain)]
-            at = [i for i, ok in enumerate(plain) if ok]
-            found = (n for some in groups(normalised(texts[i]) for i in at) for n in count(some))
-            for i, n in zip(at, found):
-                counts[i] = n
+            counts = []
+            for some in groups(texts_of(rows.column("text"))):
+                if len(some) == 1 and len(some[0]) > GROUP_CHARS:
+                    counts.append(sum(tiers.count([words(part)])[0] for part in segments(some[0])))
+                else:
+                    counts += tiers.count([words(held) for held in some])
             n_tokens = pa.array(counts, pa.int64())
             yield batch(
                 doc_id=rows.column("doc_id"),

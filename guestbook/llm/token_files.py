@@ -23,20 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guestbook.llm.batches import batch, narrow, texts_of
 from guestbook.llm.elias_fano import EliasFano
-from guestbook.llm.pieces import GROUP_CHARS, PieceCache, agreed, groups, piece_lists
+from guestbook.llm.pieces import ChunkMemory
 
-# Fixed value: how a byte-level tokenizer cuts a text into pre-tokens, each of which it encodes by itself.
-WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK_IDS = 1 << 16
 ROW_GROUP_BYTES = 16 << 20
-CACHED_PIECES = 300_000
+CACHED_CHUNKS = 300_000
 
 BLOCK = (
     "shard int, block int, n_docs int, n_ids long, ids_before long, id_bytes int, ids binary, doc_ids binary,"
@@ -45,46 +42,33 @@ BLOCK = (
 
 
 @functools.cache
-def load(path: str):
-    """The library's tokenizer, a cache of what it makes of pre-tokens, and its special strings."""
+def load(path: str) -> tuple[str, ChunkMemory]:
+    """Type of the file's integers, and what the library's tokenizer makes of chunks of text. One per worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     kind = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
-    def encode(pieces: list[str]) -> list[bytes]:
-        found = [piece.ids for piece in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def encode(chunks: list[str]) -> list[bytes]:
+        found = [chunk.ids for chunk in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         flat = np.fromiter(itertools.chain.from_iterable(found), kind).tobytes()
-        ends = (np.cumsum([len(ids) for ids in found], dtype=np.int64) * int(kind[2])).tolist()
+        ends = list(itertools.accumulate(len(ids) * int(kind[2]) for ids in found))
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
-    special = [regex.escape(token.content) for token in tokenizer.get_added_tokens_decoder().values()]
-    return tokenizer, kind, PieceCache(encode, CACHED_PIECES), regex.compile("|".join(special) or r"(?!)"), regex.compile(WORDS)
+    return kind, ChunkMemory(encode, CACHED_CHUNKS)
 
 
 def encode_texts(texts: list[str], path: str) -> Iterator[bytes]:
-    """The ids of every text in the file's integers. Pre-tokens go to the library once; a text with special
-    strings, or with characters on which Unicode versions differ, goes there as a whole."""
-    tokenizer, kind, cache, special, words = load(path)
-    for some in groups(texts):
-        if len(some) == 1 and len(some[0]) > GROUP_CHARS and agreed(some[0]) and not special.search(some[0]):
-            yield b"".join(b"".join(ids) for part in piece_lists(words, some[0]) for ids in cache.look_up([part]))
-            continue
-        plain = [agreed(text) and not special.search(text) for text in some]
-        found = iter(cache.look_up([words.findall(text) for text, ok in zip(some, plain) if ok]))
-        for text, ok in zip(some, plain):
-            if ok:
-                yield b"".join(next(found))
-            else:
-                yield np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
+    """The ids of every text in the file's integers; each chunk goes to the library once while it is remembered."""
+    return map(b"".join, load(path)[1].look_up(texts))
 
 
 def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encode every text with the tokenizer file at ``path``, append ``end_id`` to each, and write the blocks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, shard = load(path)[1], TaskContext.get().partitionId()
+        kind, shard = load(path)[0], TaskContext.get().partitionId()
         width = int(kind[2])
         end = np.array([end_id], kind).tobytes()
         block, before, doc_ids, held = 0, 0, [], []

@@ -47,10 +47,10 @@ def nearby_reputation(
 
     The reviews are first cut down to the entities found, wherever else those were reviewed.
     """
-    near = nearby_entities(df, lat, lng, max_distance, c)
+    near = settled(nearby_entities(df, lat, lng, max_distance, c).select(c.entity, "distance"), "nearby")
     names = near.select(c.entity).distinct()
     slim = df.select(c.entity, c.score, c.date, *c.key)
-    means = reputation(join_lookup(slim, names, c.entity, "left_semi", costly=True, max_bytes=max_bytes), recent_reviews, c)
+    means = reputation(join_lookup(slim, names, c.entity, "left_semi", max_bytes=max_bytes), recent_reviews, c)
     return near.select(c.entity, "distance").join(means, c.entity).select(
         c.entity, "avg_historical_score", "avg_recent_score", "distance"
     )
@@ -110,14 +110,19 @@ def neighbour_check(
     )
     placed = settled(positions, "positions").withColumn("_cell", home_cell(F.col("_lat"), F.col("_lng"), side))
     placed = placed.select("_entity", "_lat", "_lng", "_cell.band", "_cell.slot")
-    cells = placed.groupBy("band", "slot").agg((F.min("_entity") != F.max("_entity")).alias("_crowded"))
-    known = join_lookup(placed, cells, ["band", "slot"], costly=True, max_bytes=max_bytes)
+    cells = placed.groupBy("band", "slot").agg(F.min("_entity").alias("_least"), F.max("_entity").alias("_most"))
+    cells = settled(cells, "cells")
+    known = join_lookup(placed, cells, ["band", "slot"], max_bytes=max_bytes)
+    known = known.withColumn("_crowded", F.col("_least") != F.col("_most")).drop("_least", "_most")
     lone = known.filter(~F.col("_crowded")).select("_entity", "_lat", "_lng")
     asking = (
         lone.withColumn("_cell", F.explode(reached_cells(F.col("_lat"), F.col("_lng"), side, max_distance)))
         .withColumnsRenamed({"_lat": "_from_lat", "_lng": "_from_lng"})
         .select("_entity", "_from_lat", "_from_lng", "_cell.band", "_cell.slot")
     )
+    # Cells that hold no other entity have nothing to say: the own cell and the own positions around it go here.
+    asking = join_lookup(asking, cells, ["band", "slot"], max_bytes=max_bytes)
+    asking = asking.filter((F.col("_least") != F.col("_entity")) | (F.col("_most") != F.col("_entity"))).drop("_least", "_most")
     spots = placed.groupBy("band", "slot", "_lat", "_lng").agg(F.min("_entity").alias("_low"), F.max("_entity").alias("_high"))
     hits = (
         join_lookup(spots, asking, ["band", "slot"], costly=True, max_bytes=max_bytes)

@@ -1,12 +1,13 @@
 """Joins of a large table with a lookup table.
 
-A lookup is broadcast only after its size has been measured. A larger one is joined by a shuffle, where
-adaptive execution splits the partitions of hot keys (``spark.sql.adaptive.skewJoin.enabled``).
+A lookup is broadcast only after its size has been measured. A larger one is joined by a sort-merge join,
+which its hint makes certain, where adaptive execution splits the partitions of hot keys
+(``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,19 +15,34 @@ from guestbook.shared import settled
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD = 32
+NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of a table as rows: text by its length, anything else by 16 bytes, and an overhead per row."""
+    """Size of a table as rows: text and binary by their length, nested values by the length of their JSON,
+    anything else by 16 bytes, and an overhead per row."""
     size = F.lit(ROW_OVERHEAD).cast("long")
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, NESTED):
+            column = F.to_json(F.struct(column))
+        if isinstance(field.dataType, (T.StringType, T.BinaryType, *NESTED)):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0)) + 16
         else:
             size = size + 16
     return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
 
 
+def _spread_without_key(df: DataFrame, on: list[str]) -> Column:
+    """0 for rows with a key; a number from the row's own values for rows without, which match nothing and
+    would otherwise all meet in one partition."""
+    own = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    lacks_key = F.lit(False)
+    for name in on:
+        lacks_key = lacks_key | F.col(f"`{name}`").isNull()
+    return F.when(lacks_key, F.pmod(F.xxhash64(*own), F.lit(65_521)) + 1).otherwise(F.lit(0).cast("long"))
+
+
 def join_lookup(
     df: DataFrame,
     lookup: DataFrame,
@@ -45,10 +61,7 @@ def join_lookup(
         lookup = settled(lookup, "lookup")
     if measured_bytes(lookup) <= max_bytes:
         return df.join(F.broadcast(lookup), on, how)
-    if how != "left":
-        return df.join(lookup, on, how)
-    # Rows without a key match nothing. Kept out of the shuffle, they cannot pile up in one partition.
-    keyed = F.lit(True)
-    for name in on:
-        keyed = keyed & F.col(name).isNotNull()
-    return df.filter(keyed).join(lookup, on, "left").unionByName(df.filter(~keyed), allowMissingColumns=True)
+    if how == "left":
+        df, lookup = df.withColumn("_without", _spread_without_key(df, on)), lookup.withColumn("_without", F.lit(0).cast("long"))
+        return df.join(lookup.hint("merge"), [*on, "_without"], how).drop("_without")
+    return df.join(lookup.hint("merge"), on, how)

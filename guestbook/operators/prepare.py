@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guestbook.functions.fixed_values import CITIES
-from guestbook.functions.parsing import cities_of, first_number, in_city, repaired_address, tag_list, us_date
+from guestbook.functions.parsing import cities_of, first_number, in_city, repaired_address, tag_list, us_date, whole_number
 from guestbook.operators.joins import BROADCAST_BYTES, join_lookup, measured_bytes
 from guestbook.schema import DOUBLE_COLUMNS, INT_COLUMNS, REVIEWS, Columns
 
 
 def typed_reviews(raw: DataFrame) -> DataFrame:
     """Type every known raw column in one projection; other columns pass through."""
-    typed = {name: F.col(name).try_cast("int") for name in INT_COLUMNS}
+    typed = {name: whole_number(F.col(name)) for name in INT_COLUMNS}
     typed |= {name: F.col(name).try_cast("double") for name in DOUBLE_COLUMNS}
     typed |= {
         "Review_Date": us_date(F.col("Review_Date")),

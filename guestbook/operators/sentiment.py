@@ -13,7 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guestbook.functions import labels
-from guestbook.functions.fixed_values import EMPTY_NEGATIVES, EMPTY_POSITIVES, STRONG_WORDS
+from guestbook.functions.fixed_values import (
+    DISTANCE_DAMPING,
+    EMPTY_NEGATIVES,
+    EMPTY_POSITIVES,
+    NEGATION_FACTOR,
+    NEGATIONS,
+    STRENGTHENING,
+    STRENGTHENING_WORDS,
+    STRONG_WORDS,
+    WEAKENING_WORDS,
+)
 from guestbook.functions.parsing import in_city
 from guestbook.functions.text import bare, bare_word, kept_words, plain_text, stripped, words
 from guestbook.operators.joins import BROADCAST_BYTES, join_lookup
@@ -21,24 +31,29 @@ from guestbook.operators.prepare import with_total_review
 from guestbook.operators.scores import of_entity
 from guestbook.schema import REVIEWS, Columns
 
-# Published weights of the compound score: a negation turns and dampens a valence, an intensifier counts
-# less with every word between it and the word it strengthens.
-NEGATION_FACTOR = -0.74
-DISTANCE_DAMPING = (1.0, 0.95, 0.9)
+# Of a judged review, what the review rule needs besides the two classes.
+RULE = ("_pos_strong", "_neg_strong", "_pos_length", "_neg_length")
 
+INTENSIFIERS = {word: STRENGTHENING for word in STRENGTHENING_WORDS} | {word: -STRENGTHENING for word in WEAKENING_WORDS}
 
-def _adjusted(valence: Column, before: Sequence[Column], negations: Sequence[str], boosters: Mapping[str, float]) -> Column:
-    """Valence of a word after the intensifiers and negations among the words before it, nearest first."""
+
+def _adjusted(
+    valence: Column, before: Sequence[Column], negations: Sequence[str], boosters: Mapping[str, float], in_lexicon: Column
+) -> Column:
+    """Valence of a word after the three words before it, nearest first.
+
+    A word that has a valence of its own is no modifier. An intensifier pushes the valence as it stands by then
+    away from zero or towards it; a negation turns it.
+    """
     out = valence
     for word, damping in zip(before, DISTANCE_DAMPING):
-        if boosters:
-            boost = F.lit(None)
-            for amount in sorted(set(boosters.values())):
-                group = [booster for booster, value in boosters.items() if value == amount]
-                boost = F.coalesce(boost, F.when(word.isin(group), amount))
-            out = out + F.signum(valence) * F.coalesce(boost, F.lit(0.0)) * damping
+        modifies = ~F.array_contains(in_lexicon, word)
+        for amount in sorted(set(boosters.values())):
+            group = [booster for booster, value in boosters.items() if value == amount]
+            push = F.when(out < 0, -amount * damping).otherwise(amount * damping)
+            out = F.when(word.isin(group) & modifies, out + push).otherwise(out)
         if negations:
-            out = out * F.when(word.isin(list(negations)), NEGATION_FACTOR).otherwise(1.0)
+            out = F.when(word.isin(list(negations)) & modifies, out * NEGATION_FACTOR).otherwise(out)
     return out
 
 
@@ -54,7 +69,11 @@ def review_valences(
 ) -> DataFrame:
     """Sum of word valences per review: the ``keep`` columns, which must identify a review, and for every
     entry of ``texts`` (result name -> text column) the sum over that text; 0 for an empty one. Words are
-    compared in lower case and, in ``punctuated`` texts, without the punctuation around them."""
+    compared in lower case and, in ``punctuated`` texts, without the punctuation around them.
+
+    With ``negations`` or ``boosters`` the words before a word modify it; a booster has no valence itself. A
+    lexicon above ``max_bytes`` meets the tokens in a shuffle, in which adaptive execution splits hot words.
+    """
     boosters = dict(boosters or {})
     sides = F.array(
         *[
@@ -88,19 +107,32 @@ def review_valences(
     )
     value = F.col("_valence")
     if before:
-        # Only words with a valence have the words before them looked at.
+        # Only words with a valence have the words before them looked at. Of the lexicon, the modifiers in it
+        # are all that matters there: no more words than there are modifiers.
+        modifiers = lexicon.filter(F.col("word").isin([*negations, *boosters])).agg(F.collect_set("word"))
         valued = valued.withColumns({name: F.when(value.isNotNull(), bare_word(F.col(name))) for name in before})
-        value = _adjusted(value, [F.col(name) for name in before], negations, boosters)
+        value = F.when(F.col("word").isin(list(boosters)), 0.0).otherwise(value) if boosters else value
+        value = _adjusted(value, [F.col(name) for name in before], negations, boosters, modifiers.scalar())
     return valued.groupBy(*keep).agg(
         *[F.coalesce(F.sum(F.when(F.col("_text") == name, value)), F.lit(0.0)).alias(name) for name in texts]
     )
 
 
-def seasonal_sentiment(df: DataFrame, lexicon: DataFrame, c: Columns = REVIEWS, **rules) -> DataFrame:
-    """Mean compound sentiment, mean score and review count per entity, address and season."""
+def seasonal_sentiment(
+    df: DataFrame,
+    lexicon: DataFrame,
+    c: Columns = REVIEWS,
+    negations: Sequence[str] = NEGATIONS,
+    boosters: Mapping[str, float] = INTENSIFIERS,
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Mean compound sentiment, mean score and review count per entity, address and season, by the published
+    negations and intensifiers or others; with none of them, words count by themselves."""
     seasons = with_total_review(df, c).withColumn("Season", labels.season(F.col(c.date)))
     keep = [c.entity, c.address, "Season", c.score, *c.key]
-    totals = review_valences(seasons, keep, {"_total": "Total_Review"}, lexicon, **rules)
+    totals = review_valences(
+        seasons, keep, {"_total": "Total_Review"}, lexicon, negations, boosters, max_bytes=max_bytes
+    )
     return (
         totals.withColumn("Net_Sentiment", labels.compound(F.col("_total")))
         .groupBy(c.entity, c.address, "Season")
@@ -153,19 +185,54 @@ def _judged(df: DataFrame, strong_words: Sequence[str], c: Columns) -> DataFrame
 
 
 def _combined(positive_class: Column, negative_class: Column) -> Column:
-    rule = [F.col(name) for name in ("_pos_strong", "_neg_strong", "_pos_length", "_neg_length")]
-    return labels.review_class(*rule, positive_class, negative_class)
+    return labels.review_class(*[F.col(name) for name in RULE], positive_class, negative_class)
+
+
+def _normalised(
+    df: DataFrame, keep: Sequence[str], texts: Sequence[str], stop_words: Sequence[str], lemmas: DataFrame | None, max_bytes: int
+) -> DataFrame:
+    """The ``keep`` columns, which must identify a review, and the texts plain, without stop words, each word
+    as its lemma."""
+    if lemmas is None:
+        plain = {
+            name: F.array_join(kept_words(plain_text(F.col(name)), stop_words), " ") if stop_words else plain_text(F.col(name))
+            for name in texts
+        }
+        return df.select(*keep, *[plain[name].alias(name) for name in texts])
+    sides = F.array(*[F.struct(F.lit(n).alias("side"), kept_words(plain_text(F.col(name)), stop_words).alias("words")) for n, name in enumerate(texts)])
+    listed = df.select(*keep, F.explode(sides).alias("_side")).select(*keep, "_side.side", "_side.words")
+    tokens = listed.select(*keep, "side", F.posexplode_outer("words").alias("_at", "form"))
+    found = join_lookup(tokens, lemmas.select("form", "lemma"), "form", "left", max_bytes=max_bytes)
+    # One review's words come together here, never more.
+    spoken = F.array_sort(F.collect_list(F.struct("side", "_at", F.coalesce("lemma", "form").alias("word"))))
+    gathered = found.groupBy(*keep).agg(spoken.alias("_words"))
+
+    def side(n: int) -> Column:
+        mine = F.filter("_words", lambda word: word["side"] == n)
+        return F.array_join(F.transform(mine, lambda word: word["word"]), " ")
+
+    return gathered.select(*keep, *[side(n).alias(name) for n, name in enumerate(texts)])
 
 
 def review_sentiment(
-    df: DataFrame, lexicon: DataFrame, strong_words: Sequence[str] = STRONG_WORDS, c: Columns = REVIEWS, **rules
+    df: DataFrame,
+    lexicon: DataFrame,
+    strong_words: Sequence[str] = STRONG_WORDS,
+    c: Columns = REVIEWS,
+    stop_words: Sequence[str] = (),
+    lemmas: DataFrame | None = None,
+    max_bytes: int = BROADCAST_BYTES,
+    **rules,
 ) -> DataFrame:
-    """Class -1/0/1 of every review: entity, key, ``sentiment_value`` and ``sentiment``."""
-    judged = _judged(df, strong_words, c).withColumn("_pos", plain_text(F.col("_pos"))).withColumn(
-        "_neg", plain_text(F.col("_neg"))
+    """Class -1/0/1 of every review: entity, key, ``sentiment_value`` and ``sentiment``.
+
+    Texts are classed after stop words went and ``lemmas(form, lemma)`` replaced their forms.
+    """
+    keep = [c.entity, *c.key, *RULE]
+    judged = _normalised(_judged(df, strong_words, c), keep, ["_pos", "_neg"], stop_words, lemmas, max_bytes)
+    totals = review_valences(
+        judged, keep, {"_p": "_pos", "_n": "_neg"}, lexicon, punctuated=False, max_bytes=max_bytes, **rules
     )
-    keep = [c.entity, *c.key, "_pos_strong", "_neg_strong", "_pos_length", "_neg_length"]
-    totals = review_valences(judged, keep, {"_p": "_pos", "_n": "_neg"}, lexicon, punctuated=False, **rules)
     p, n = (labels.compound_class(labels.compound(F.col(name))) for name in ("_p", "_n"))
     value = _combined(p, n)
     return totals.select(c.entity, *c.key, value.alias("sentiment_value"), labels.class_name(value).alias("sentiment"))
@@ -190,52 +257,66 @@ def label_of_entity(reviews: DataFrame, entity: str, c: Columns = REVIEWS) -> Da
 Scorer = Callable[[pd.Series], pd.Series]
 
 
-def text_class(text: Column, load_scorer: Callable[[], Scorer]) -> Column:
-    """Class -1/0/1 of a text by a user's own model; a blank text is neutral.
+def text_classes(texts: Sequence[Column], load_scorer: Callable[[], Scorer]) -> Column:
+    """Struct of the classes -1/0/1 of several texts by a user's own model; a NULL text gets 0 and is not sent.
 
     ``load_scorer`` runs once per task and returns a function from a batch of cleaned texts to classes.
     """
+    names = [f"t{n}" for n in range(len(texts))]
 
-    @F.pandas_udf("int")
-    def classify(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(", ".join(f"{name} int" for name in names))
+    def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         score = load_scorer()
         for batch in batches:
-            yield score(batch)
+            asked = pd.concat([batch[name] for name in names], ignore_index=True)
+            classes, sent = pd.Series(0, index=asked.index, dtype="int32"), asked.notna()
+            if sent.any():
+                classes[sent] = list(score(asked[sent].reset_index(drop=True)))
+            yield pd.DataFrame(classes.to_numpy().reshape(len(names), -1).T, columns=names)
 
-    return F.when(stripped(text) == "", 0).otherwise(classify(plain_text(text)))
+    return classify(F.struct(*[text.alias(name) for name, text in zip(names, texts)]))
 
 
 def model_sentiment(
-    df: DataFrame, load_scorer: Callable[[], Scorer], strong_words: Sequence[str] = STRONG_WORDS, c: Columns = REVIEWS
+    df: DataFrame,
+    load_scorer: Callable[[], Scorer],
+    strong_words: Sequence[str] = STRONG_WORDS,
+    c: Columns = REVIEWS,
+    stop_words: Sequence[str] = (),
+    lemmas: DataFrame | None = None,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``review_sentiment`` with a user's model in place of the lexicon; no shuffle."""
-    classed = (
-        _judged(df, strong_words, c)
-        .withColumn("_p", text_class(F.col("_pos"), load_scorer))
-        .withColumn("_n", text_class(F.col("_neg"), load_scorer))
-    )
-    value = _combined(F.col("_p"), F.col("_n"))
+    """``review_sentiment`` with a user's model in place of the lexicon.
+
+    The model sees the texts that the rule still needs: none where a strong word decides, and none that is
+    empty. Without lemmas nothing is shuffled.
+    """
+    keep = [c.entity, *c.key, *RULE]
+    judged = _normalised(_judged(df, strong_words, c), keep, ["_pos", "_neg"], stop_words, lemmas, max_bytes)
+    undecided = F.col("_pos_strong") == F.col("_neg_strong")
+    asked = [
+        F.when(undecided & (F.col(length) > 0), F.col(text)) for text, length in (("_pos", "_pos_length"), ("_neg", "_neg_length"))
+    ]
+    classed = judged.withColumn("_classes", text_classes(asked, load_scorer))
+    value = _combined(F.col("_classes.t0"), F.col("_classes.t1"))
     return classed.select(c.entity, *c.key, value.alias("sentiment_value"), labels.class_name(value).alias("sentiment"))
 
 
 def normalised_texts(
     df: DataFrame,
-    text: str,
+    texts: str | Sequence[str],
     stop_words: Sequence[str] = (),
     lemmas: DataFrame | None = None,
     c: Columns = REVIEWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Key of each review and its plain text without stop words, each word as its lemma.
+    """Key of each review and its plain texts without stop words, each word as its lemma.
 
-    ``lemmas(form, lemma)`` has one row per form; a form that is not in it stays as it is.
+    ``lemmas(form, lemma)`` has one row per form; a form that is not in it stays as it is. Words are parted by
+    single spaces, and an empty text stays empty.
     """
-    kept = df.select(*c.key, kept_words(plain_text(F.col(text)), stop_words).alias("_words"))
+    texts = [texts] if isinstance(texts, str) else list(texts)
     if lemmas is None:
-        return kept.select(*c.key, F.array_join("_words", " ").alias("normalised_text"))
-    tokens = kept.select(*c.key, F.posexplode_outer("_words").alias("_at", "form"))
-    found = join_lookup(tokens, lemmas.select("form", "lemma"), "form", "left", max_bytes=max_bytes)
-    # One review's words come together here, never more.
-    spoken = F.collect_list(F.struct("_at", F.coalesce("lemma", "form").alias("_word")))
-    ordered = F.transform(F.array_sort(spoken), lambda word: word["_word"])
-    return found.groupBy(*c.key).agg(F.array_join(ordered, " ").alias("normalised_text"))
+        plain = [F.array_join(kept_words(plain_text(F.col(name)), stop_words), " ").alias(name) for name in texts]
+        return df.select(*c.key, *plain)
+    return _normalised(df, list(c.key), texts, stop_words, lemmas, max_bytes)

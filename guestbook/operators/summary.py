@@ -54,15 +54,18 @@ def sentence_weights(picked: DataFrame, c: Columns = REVIEWS) -> DataFrame:
         .withColumn("_sentences", F.count("*").over(Window.partitionBy(c.entity)))
     )
     where = [c.entity, "place", "side", "at"]
-    words = sentences.select(*where, "_sentences", F.size("_words").alias("_length"), F.explode("_words").alias("_word"))
-    counted = words.groupBy(*where, "_sentences", "_length", "_word").agg(F.count("*").alias("_times"))
+    words = sentences.select(
+        *where, "sentence", "_sentences", F.size("_words").alias("_length"), F.explode("_words").alias("_word")
+    )
+    counted = words.groupBy(*where, "_sentences", "_length", "_word").agg(
+        F.count("*").alias("_times"), F.any_value("sentence").alias("sentence")
+    )
     seen_in = F.count("*").over(Window.partitionBy(c.entity, "_word"))
-    weights = (
+    return (
         counted.withColumn("_weight", F.col("_times") / F.col("_length") * F.log(F.col("_sentences") / seen_in))
         .groupBy(*where)
-        .agg(F.round(F.sum("_weight"), 6).alias("weight"))
+        .agg(F.any_value("sentence").alias("sentence"), F.round(F.sum("_weight"), 6).alias("weight"))
     )
-    return sentences.select(*where, "sentence").join(weights, where)
 
 
 def extractive_summary(df: DataFrame, sentences: int = 3, k: int = 50, c: Columns = REVIEWS) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guestbook.functions.fixed_values import DESCRIPTIVE_POS
+from guestbook.operators.topk import first_k_per_group
 from guestbook.schema import REVIEWS, Columns
 
 
@@ -56,7 +57,9 @@ def word_scores(df: DataFrame, lexicon: DataFrame, min_frequency: int = 1000, c:
 def top_words(
     df: DataFrame, lexicon: DataFrame, n: int = 20, min_frequency: int = 100, c: Columns = REVIEWS
 ) -> DataFrame:
-    """The n best words of the positive texts and the n worst of the negative ones."""
-    best = positive_words(df, lexicon, min_frequency, c).limit(n).withColumn("polarity", F.lit("positive"))
-    worst = negative_words(df, lexicon, min_frequency, c).limit(n).withColumn("polarity", F.lit("negative"))
-    return best.unionByName(worst)
+    """The n best words of the positive texts and the n worst of the negative ones, from one scan.
+
+    The rank runs over the small table of frequent words, of which Spark keeps n before the shuffle.
+    """
+    best_first = F.when(F.col("polarity") == "positive", -F.col("avg_score")).otherwise(F.col("avg_score"))
+    return first_k_per_group(word_scores(df, lexicon, min_frequency, c), ["polarity"], [best_first, "word"], n)

@@ -25,14 +25,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Dates as text and arrays joined, so that results compare the same way in any engine."""
+    """Dates as text and arrays as JSON, which keeps their sizes and NULLs, so that results compare the same
+    way in any engine."""
     shown = []
     for field in df.schema.fields:
         column = F.col(field.name)
         if isinstance(field.dataType, T.DateType):
             column = column.cast("string")
         elif isinstance(field.dataType, T.ArrayType):
-            column = F.array_join(column, "|")
+            column = F.to_json(column)
         shown.append(column.alias(field.name))
     return df.select(*shown)
 

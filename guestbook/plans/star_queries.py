@@ -65,7 +65,7 @@ def raw_reviews(spark, sf_dir):
         "Additional_Number_of_Scoring": F.col("l_linenumber").cast("string"),
         "Review_Date": bad_date,
         "Average_Score": F.lit("8.5"),
-        "Total_Number_of_Reviews": F.col("l_partkey").cast("string"),
+        "Total_Number_of_Reviews": F.concat(F.col("l_partkey"), F.when(F.col("l_linenumber") == 5, ".0").otherwise("")),
         "Total_Number_of_Reviews_Reviewer_Has_Given": F.when(F.col("l_linenumber") == 2, "many").otherwise(
             F.col("l_linenumber").cast("string")
         ),
@@ -87,7 +87,7 @@ TYPED_FIELDS = f"""
   Review_Total_Positive_Word_Counts,
   case when l_linenumber = 2 then null else l_linenumber end as Total_Number_of_Reviews_Reviewer_Has_Given,
   cast(case when Reviewer_Score_Raw = 'NA' then null else Reviewer_Score_Raw end as double) as Reviewer_Score,
-  array_to_string({TAG_LIST}, '|') as Tags, l_linenumber as days_since_review, lat, lng"""
+  cast(to_json({TAG_LIST}) as varchar) as Tags, l_linenumber as days_since_review, lat, lng"""
 
 RAW_SQL = star(
     "Hotel_Address", "Review_Date", "Hotel_Name", "Reviewer_Nationality", "Negative_Review",
@@ -149,7 +149,7 @@ def _(spark, sf_dir):
     return df.groupBy(parsing.first_number(raw).alias("days_since_review")).agg(F.count("*").alias("reviews"))
 
 
-@query("p4_tag_lists", f"{star('Tags_Raw', *STAR_KEY)} select {KEY}, array_to_string({TAG_LIST}, '|') as Tags from r")
+@query("p4_tag_lists", f"{star('Tags_Raw', *STAR_KEY)} select {KEY}, cast(to_json({TAG_LIST}) as varchar) as Tags from r")
 def _(spark, sf_dir):
     return plain(reviews(spark, sf_dir, *STAR_KEY, "Tags"))
 
@@ -357,6 +357,11 @@ def _(spark, sf_dir):
     return scores.reputation(reviews(spark, sf_dir, *DATED), c=STAR)
 
 
+@query("q4_reputation_of_many_recent", f"{REPUTATION.replace('place <= 30', 'place <= 2000')} select * from rep")
+def _(spark, sf_dir):
+    return scores.reputation(reviews(spark, sf_dir, *DATED), recent_reviews=2000, c=STAR)
+
+
 @query("q4s_entity_reputation", f"{REPUTATION} select * from rep where Hotel_Name = '{ONE_ENTITY}'")
 def _(spark, sf_dir):
     return scores.entity_reputation(reviews(spark, sf_dir, *DATED), ONE_ENTITY, c=STAR)
@@ -463,7 +468,7 @@ NATIONALITY = (
     "q16_nationality_reviews",
     f"""{star(*NATIONALITY, "Tags_Raw")}
     select {", ".join(n for n in NATIONALITY if n != "Review_Date")}, cast(Review_Date as varchar) as Review_Date,
-    array_to_string({TAG_LIST}, '|') as Tags from r where Reviewer_Nationality = 'NATION_3'""",
+    cast(to_json({TAG_LIST}) as varchar) as Tags from r where Reviewer_Nationality = 'NATION_3'""",
 )
 def _(spark, sf_dir):
     return plain(scores.nationality_reviews(reviews(spark, sf_dir, *NATIONALITY, "Tags"), "NATION_3"))

@@ -83,9 +83,8 @@ def _(spark, sf_dir):
     union all select 'negative' as polarity, * from ({word_scores_sql("Negative_Review")})""",
 )
 def _(spark, sf_dir):
-    df, lex = text_reviews(spark, sf_dir), lexicon(spark, sf_dir)
     path = new_table_path(spark, "word-scores")
-    export_word_scores(words.positive_words(df, lex, 20), words.negative_words(df, lex, 20), path)
+    export_word_scores(words.word_scores(text_reviews(spark, sf_dir), lexicon(spark, sf_dir), 20), path)
     schema = "word string, avg_score double, word_count bigint, polarity string"
     return spark.read.schema(schema).option("header", True).csv(path)
 
@@ -117,22 +116,35 @@ COMPOUND = "s / sqrt(s * s + 15)"
 TOTALS = f"""tok as ({tokens_sql(BOTH)}),
     total as (select doc_id, coalesce(sum(valence), 0) as s from tok left join lex using (word) group by doc_id)"""
 RULES = {"negations": ["the", "in"], "boosters": {"and": 0.293, "of": 0.293, "that": -0.293}}
-RULED_TOTALS = f"""tok as ({tokens_sql(BOTH)}),
-    near as (select doc_id, word, lag(word, 1, '') over w as b1, lag(word, 2, '') over w as b2,
+PLAIN = {"negations": [], "boosters": {}}
+# The lexicon of the ruled queries: words of four letters or more, so that of the modifiers only "that" can be in
+# it. A modifier (kind, amount, distance) applies in turn to the value as it stands; "that" has no value itself.
+RULED_TOTALS = f"""lexl as (select word, valence from lex where length(word) >= 4),
+    modifier as (select * from (values ('the', 'turn', -0.74e0), ('in', 'turn', -0.74e0), ('and', 'push', 0.293e0),
+      ('of', 'push', 0.293e0), ('that', 'push', -0.293e0)) as m(word, kind, amount) where word not in (select word from lexl)),
+    tok as ({tokens_sql(BOTH)}),
+    near as (select doc_id, ix, word, lag(word, 1, '') over w as b1, lag(word, 2, '') over w as b2,
       lag(word, 3, '') over w as b3 from tok window w as (partition by doc_id order by ix)),
-    v0 as (select doc_id, valence as v, sign(valence) as sg, b1, b2, b3 from near left join lex using (word)),
-    v1 as (select *, (v + case when b1 in ('and', 'of') then 0.293e0 * sg when b1 = 'that' then -0.293e0 * sg else 0 end)
-      * case when b1 in ('the', 'in') then -0.74e0 else 1 end as x1 from v0),
-    v2 as (select *, (x1 + 0.95e0 * case when b2 in ('and', 'of') then 0.293e0 * sg when b2 = 'that' then -0.293e0 * sg
-      else 0 end) * case when b2 in ('the', 'in') then -0.74e0 else 1 end as x2 from v1),
-    v3 as (select *, (x2 + 0.9e0 * case when b3 in ('and', 'of') then 0.293e0 * sg when b3 = 'that' then -0.293e0 * sg
-      else 0 end) * case when b3 in ('the', 'in') then -0.74e0 else 1 end as x3 from v2),
-    total as (select doc_id, coalesce(sum(x3), 0) as s from v3 group by doc_id)"""
+    found as (select near.doc_id, m1.kind as k1, m1.amount as a1, m2.kind as k2, m2.amount * 0.95e0 as a2, m3.kind as k3,
+        m3.amount * 0.9e0 as a3, case when near.word in ('and', 'of', 'that') then 0 else valence end as x0
+      from near join lexl on near.word = lexl.word left join modifier m1 on b1 = m1.word
+      left join modifier m2 on b2 = m2.word left join modifier m3 on b3 = m3.word),
+    x1 as (select *, case k1 when 'turn' then x0 * a1 when 'push' then x0 + a1 * case when x0 < 0 then -1 else 1 end
+      else x0 end as x1 from found),
+    x2 as (select *, case k2 when 'turn' then x1 * -0.74e0 when 'push' then x1 + a2 * case when x1 < 0 then -1 else 1 end
+      else x1 end as x2 from x1),
+    x3 as (select *, case k3 when 'turn' then x2 * -0.74e0 when 'push' then x2 + a3 * case when x2 < 0 then -1 else 1 end
+      else x2 end as x3 from x2),
+    total as (select r.doc_id, coalesce(sum(x3), 0) as s from r left join x3 using (doc_id) group by 1)"""
+
+
+def long_words(spark, sf_dir):
+    return lexicon(spark, sf_dir).filter("length(word) >= 4")
 
 
-def _compounds(spark, sf_dir, **rules):
+def _compounds(spark, sf_dir, valences=lexicon, **rules):
     merged = prepare.with_total_review(text_reviews(spark, sf_dir))
-    totals = sentiment.review_valences(merged, ["doc_id"], {"s": "Total_Review"}, lexicon(spark, sf_dir), **rules)
+    totals = sentiment.review_valences(merged, ["doc_id"], {"s": "Total_Review"}, valences(spark, sf_dir), **rules)
     return totals.select("doc_id", F.round(labels.compound(F.col("s")), 6).alias("compound"))
 
 
@@ -151,10 +163,11 @@ def _(spark, sf_dir):
     f"{TR}, {RULED_TOTALS} select doc_id, round({COMPOUND}, 6) as compound from total",
 )
 def _(spark, sf_dir):
-    return _compounds(spark, sf_dir, **RULES)
+    return _compounds(spark, sf_dir, long_words, **RULES)
 
 
-SEASONAL = f"""{TR}, {TOTALS},
+def seasonal_sql(totals: str) -> str:
+    return f"""{TR}, {totals},
     sea as (select Hotel_Name, Hotel_Address, case when month(Review_Date) in (12, 1, 2) then 'Winter'
       when month(Review_Date) in (3, 4, 5) then 'Spring' when month(Review_Date) in (6, 7, 8) then 'Summer'
       else 'Autumn' end as Season, avg({COMPOUND}) as avg_sentiment,
@@ -162,15 +175,28 @@ SEASONAL = f"""{TR}, {TOTALS},
       from r join total using (doc_id) group by 1, 2, 3)"""
 
 
+SEASONAL, RULED_SEASONAL = seasonal_sql(TOTALS), seasonal_sql(RULED_TOTALS)
+SEASONS = "select * replace (round(avg_sentiment, 6) as avg_sentiment) from sea"
+
+
 def _seasonal(spark, sf_dir):
-    return sentiment.seasonal_sentiment(text_reviews(spark, sf_dir), lexicon(spark, sf_dir), TEXT)
+    return sentiment.seasonal_sentiment(text_reviews(spark, sf_dir), lexicon(spark, sf_dir), TEXT, **PLAIN)
+
 
+def _ruled_seasonal(spark, sf_dir):
+    return sentiment.seasonal_sentiment(text_reviews(spark, sf_dir), long_words(spark, sf_dir), TEXT, **RULES)
 
-@query("q5_seasonal_sentiment", f"{SEASONAL} select * replace (round(avg_sentiment, 6) as avg_sentiment) from sea")
+
+@query("q5_seasonal_sentiment", f"{SEASONAL} {SEASONS}")
 def _(spark, sf_dir):
     return rounded(_seasonal(spark, sf_dir), "avg_sentiment")
 
 
+@query("q5_seasonal_sentiment_with_rules", f"{RULED_SEASONAL} {SEASONS}")
+def _(spark, sf_dir):
+    return rounded(_ruled_seasonal(spark, sf_dir), "avg_sentiment")
+
+
 @query("q5c_entities_in_city", f"{SEASONAL} select distinct Hotel_Name from sea where contains(Hotel_Address, 'fr')")
 def _(spark, sf_dir):
     return sentiment.entities_in_city(_seasonal(spark, sf_dir), "fr")
@@ -186,18 +212,23 @@ def _(spark, sf_dir):
     return rounded(in_city.filter(F.col("Hotel_Name") == "src7"), "avg_sentiment")
 
 
-@query(
-    "q5d_yearly_sentiment",
-    f"""{SEASONAL}, y as (select Hotel_Name, avg(avg_sentiment) as year_sentiment, avg(avg_reviewer_score) as year_score
+YEARLY = """y as (select Hotel_Name, avg(avg_sentiment) as year_sentiment, avg(avg_reviewer_score) as year_score
       from sea group by 1)
     select Hotel_Name, round(year_sentiment, 6) as year_sentiment, round(year_score, 6) as year_score,
       case when year_sentiment >= 0.4 then 'Positivo' when year_sentiment < 0 then 'Negativo' else 'Neutrale' end as label
-    from y""",
-)
+    from y"""
+
+
+@query("q5d_yearly_sentiment", f"{SEASONAL}, {YEARLY}")
 def _(spark, sf_dir):
     return rounded(sentiment.yearly_sentiment(_seasonal(spark, sf_dir)), "year_sentiment", "year_score")
 
 
+@query("q5d_yearly_sentiment_with_rules", f"{RULED_SEASONAL}, {YEARLY}")
+def _(spark, sf_dir):
+    return rounded(sentiment.yearly_sentiment(_ruled_seasonal(spark, sf_dir)), "year_sentiment", "year_score")
+
+
 # --- review and entity sentiment -----------------------------------------------------------------------
 
 
@@ -242,6 +273,16 @@ LEXICON_CLASSES = f"""select doc_id, max(c) filter (where side = 'p') as pc, max
 LENGTH_CLASSES = f"""select doc_id,
       case when p = '' then 0 else length({plain_sql("p")}) % 3 - 1 end as pc,
       case when n = '' then 0 else length({plain_sql("n")}) % 3 - 1 end as nc from j"""
+JUDGED_SIDES = "select doc_id, 'p' as side, p as t from j union all select doc_id, 'n' as side, n as t from j"
+LEMMA_CLASSES = f"""select j.doc_id, coalesce(max(c) filter (where side = 'p'), 0) as pc,
+      coalesce(max(c) filter (where side = 'n'), 0) as nc from j left join
+      (select doc_id, side, case when {COMPOUND} >= 0.05 then 1 when {COMPOUND} <= -0.05 then -1 else 0 end as c
+       from (select doc_id, side, coalesce(sum(valence), 0) as s from ({tokens_sql(normalised_sql(JUDGED_SIDES), punctuated=False)})
+         left join lex using (word) group by 1, 2)) using (doc_id) group by 1"""
+LEMMA_LENGTH_CLASSES = f"""select j.doc_id, case when any_value(p) = '' then 0 else
+        coalesce(max(length(t)) filter (where side = 'p'), 0) % 3 - 1 end as pc,
+      case when any_value(n) = '' then 0 else coalesce(max(length(t)) filter (where side = 'n'), 0) % 3 - 1 end as nc
+      from j left join ({normalised_sql(JUDGED_SIDES)}) using (doc_id) group by 1"""
 CLASS_NAME = "case when v > 0 then 'positive' when v < 0 then 'negative' else 'neutral' end"
 ENTITY_LABEL = """case when a is null then 'Nessuna recensione' when a > 0.2 and a < 0.4 then 'Piuttosto Positivo'
     when a >= 0.4 then 'Molto Positivo' when a < -0.2 and a > -0.3 then 'Piuttosto Negativo'
@@ -252,22 +293,36 @@ def _by_lexicon(spark, sf_dir):
     return sentiment.review_sentiment(text_reviews(spark, sf_dir), lexicon(spark, sf_dir), STRONG, TEXT)
 
 
-@query("q9a_plain_text", f"{TR} select doc_id, {plain_sql('Positive_Review')} as plain from r")
+@query("q9a_plain_text", f"{TR} select doc_id, {plain_sql('Positive_Review')} as p, {plain_sql('Negative_Review')} as n from r")
 def _(spark, sf_dir):
-    return text_reviews(spark, sf_dir).select("doc_id", plain_text(F.col("Positive_Review")).alias("plain"))
+    df = text_reviews(spark, sf_dir)
+    return df.select("doc_id", plain_text(F.col("Positive_Review")).alias("p"), plain_text(F.col("Negative_Review")).alias("n"))
+
+
+STOP_WORDS = ["the", "of", "and"]
+
+
+def normalised_sql(source: str) -> str:
+    """(doc_id, side, t) of ``source`` with t plain, without stop words, and in lemmas; no row where nothing is left."""
+    return f"""select doc_id, side, string_agg(coalesce(lemma, form), ' ' order by ix) as t
+      from (select doc_id, side, unnest(ws) as form, generate_subscripts(ws, 1) as ix
+        from (select doc_id, side, string_split_regex({plain_sql("t")}, '[{SPACE}]+') as ws from ({source})))
+      left join lex on word = form where form not in ('', 'the', 'of', 'and') group by 1, 2"""
+
+
+SIDES = """select doc_id, 'p' as side, Positive_Review as t from r union all
+    select doc_id, 'n' as side, Negative_Review as t from r"""
 
 
 @query(
     "q9a_normalised_text",
-    f"""{TR}, tok as (select doc_id, unnest(ws) as form, generate_subscripts(ws, 1) as ix
-      from (select doc_id, string_split_regex({plain_sql("Positive_Review")}, '[{SPACE}]+') as ws from r))
-    select r.doc_id, coalesce(n.t, '') as normalised_text from r left join
-      (select doc_id, string_agg(coalesce(lemma, form), ' ' order by ix) as t from tok left join lex on word = form
-       where form not in ('', 'the', 'of', 'and') group by doc_id) n using (doc_id)""",
+    f"""{TR}, n as ({normalised_sql(SIDES)})
+    select r.doc_id, coalesce(max(t) filter (where side = 'p'), '') as Positive_Review,
+      coalesce(max(t) filter (where side = 'n'), '') as Negative_Review from r left join n using (doc_id) group by 1""",
 )
 def _(spark, sf_dir):
     df, lex = text_reviews(spark, sf_dir), lexicon(spark, sf_dir)
-    return sentiment.normalised_texts(df, "Positive_Review", ["the", "of", "and"], lex, TEXT)
+    return sentiment.normalised_texts(df, ["Positive_Review", "Negative_Review"], STOP_WORDS, lex, TEXT)
 
 
 @query(
@@ -279,16 +334,38 @@ def _(spark, sf_dir):
     return _by_lexicon(spark, sf_dir)
 
 
+@query(
+    "q9b_review_sentiment_of_lemmas",
+    f"""{TR}, {review_rule_sql(LEMMA_CLASSES)}
+    select doc_id, Hotel_Name, v as sentiment_value, {CLASS_NAME} as sentiment from cl""",
+)
+def _(spark, sf_dir):
+    df, lex = text_reviews(spark, sf_dir), lexicon(spark, sf_dir)
+    return sentiment.review_sentiment(df, lex, STRONG, TEXT, STOP_WORDS, lex)
+
+
+def load_length_model():
+    """A model whose classes SQL can state: the length of the text modulo 3."""
+    return lambda texts: texts.str.len() % 3 - 1
+
+
 @query(
     "q9c_model_sentiment",
     f"""{TR}, {review_rule_sql(LENGTH_CLASSES)}
     select doc_id, Hotel_Name, v as sentiment_value, {CLASS_NAME} as sentiment from cl""",
 )
 def _(spark, sf_dir):
-    def load():  # a model whose classes SQL can state: the length of the text modulo 3
-        return lambda texts: texts.str.len() % 3 - 1
+    return sentiment.model_sentiment(text_reviews(spark, sf_dir), load_length_model, STRONG, TEXT)
 
-    return sentiment.model_sentiment(text_reviews(spark, sf_dir), load, STRONG, TEXT)
+
+@query(
+    "q9c_model_sentiment_of_lemmas",
+    f"""{TR}, {review_rule_sql(LEMMA_LENGTH_CLASSES)}
+    select doc_id, Hotel_Name, v as sentiment_value, {CLASS_NAME} as sentiment from cl""",
+)
+def _(spark, sf_dir):
+    df, lex = text_reviews(spark, sf_dir), lexicon(spark, sf_dir)
+    return sentiment.model_sentiment(df, load_length_model, STRONG, TEXT, STOP_WORDS, lex)
 
 
 @query(
@@ -330,9 +407,14 @@ def _(spark, sf_dir):
     return summary.corpus(summary.summary_reviews(text_reviews(spark, sf_dir), c=TEXT), TEXT)
 
 
+def unnamed(df):
+    """One entity without a name, which summaries must not lose."""
+    return df.withColumn("Hotel_Name", F.expr("nullif(Hotel_Name, 'src3')"))
+
+
 @query(
     "q10c_extractive_summary",
-    f"""{PICKED},
+    f"""{PICKED.replace("source as Hotel_Name", "nullif(source, 'src3') as Hotel_Name")},
     lines as (select Hotel_Name, place, 1 as side, regexp_extract_all(Positive_Review, '[^.!?\\n]+') as l from pk
       union all select Hotel_Name, place, 2 as side, regexp_extract_all(Negative_Review, '[^.!?\\n]+') as l from pk),
     sent as (select *, regexp_extract_all(lower(sentence), '\\p{{L}}+') as ws
@@ -345,10 +427,11 @@ def _(spark, sf_dir):
     sw as (select Hotel_Name, place, side, ix, round(sum(w), 6) as weight from wt group by all),
     top as (select *, row_number() over (partition by Hotel_Name order by weight desc, place, side, ix) as rk from sw)
     select Hotel_Name, string_agg(sentence, '. ' order by place, side, ix) as summary
-    from top join sent using (Hotel_Name, place, side, ix) where rk <= 3 group by 1""",
+    from (select top.*, sentence from top join sent on top.Hotel_Name is not distinct from sent.Hotel_Name
+      and top.place = sent.place and top.side = sent.side and top.ix = sent.ix) where rk <= 3 group by 1""",
 )
 def _(spark, sf_dir):
-    return summary.extractive_summary(text_reviews(spark, sf_dir), c=TEXT)
+    return summary.extractive_summary(unnamed(text_reviews(spark, sf_dir)), c=TEXT)
 
 
 @query(
@@ -364,14 +447,10 @@ def _(spark, sf_dir):
     return corpora.select("Hotel_Name", F.md5(summary.model_summary(F.col("corpus"), load)).alias("digest"))
 
 
-ANSWER = """case when doc_id % 3 = 0 then concat('<think>', Negative_Review, '</think>', Positive_Review)
-    else Positive_Review end"""
-
-
 @query(
     "q10d_without_reasoning",
-    f"{TR} select doc_id, md5(Positive_Review) as digest from r",
+    f"{TR} select doc_id, md5(concat(Positive_Review, Negative_Review)) as digest from r",
 )
 def _(spark, sf_dir):
-    df = text_reviews(spark, sf_dir).withColumn("answer", F.expr(ANSWER))
-    return df.select("doc_id", F.md5(without_reasoning(F.col("answer"))).alias("digest"))
+    answer = F.concat(F.col("Positive_Review"), F.lit("<think>"), F.reverse("Negative_Review"), F.lit("</think>"), F.col("Negative_Review"))
+    return text_reviews(spark, sf_dir).select("doc_id", F.md5(without_reasoning(answer)).alias("digest"))

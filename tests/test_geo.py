@@ -12,10 +12,16 @@ from guestbook.schema import Columns
 C = Columns(key=("id",))
 
 
+def unit(lat, lng):
+    lat, lng = math.radians(lat), math.radians(lng)
+    return math.cos(lat) * math.cos(lng), math.cos(lat) * math.sin(lng), math.sin(lat)
+
+
 def metres(lat1, lng1, lat2, lng2):
-    lat1, lng1, lat2, lng2 = map(math.radians, (lat1, lng1, lat2, lng2))
-    a = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lng2 - lng1) / 2) ** 2
-    return 2 * 6371000 * math.asin(math.sqrt(a))
+    """By the angle between the two directions from the centre of the earth."""
+    (a, b, c), (x, y, z) = unit(lat1, lng1), unit(lat2, lng2)
+    across = math.hypot(b * z - c * y, c * x - a * z, a * y - b * x)
+    return 6371000 * math.atan2(across, a * x + b * y + c * z)
 
 
 def cloud(seed, lat, lng, degrees, n):
@@ -92,6 +98,15 @@ def test_neighbours_of_a_crowded_place(spark):
     assert rows(got.groupBy("has_neighbours").count()) == [(False, 2), (True, 20001)]
 
 
+def test_positions_of_one_entity_do_not_meet_each_other(spark):
+    """A cell full of one entity's own positions, and one other entity far away."""
+    crowd = spark.range(30000).select(
+        F.lit("e").alias("Hotel_Name"), (45.0 + F.col("id") * 1e-9).alias("lat"), F.lit(9.0).alias("lng")
+    )
+    got = geo.neighbour_check(crowd.unionByName(entities(spark, [("far", 46.0, 9.0)])), 1000)
+    assert rows(got.groupBy("has_neighbours").count()) == [(False, 30001)]
+
+
 def test_neighbour_trend_needs_company(spark):
     df = entities(spark, [("a", 45.0, 9.0), ("b", 45.001, 9.0), ("c", 46.0, 9.0)]).withColumns(
         {"Review_Date": F.lit("2017-03-01").cast("date"), "Reviewer_Score": F.lit(8.0)}

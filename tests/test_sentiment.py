@@ -28,20 +28,24 @@ def evaluate(spark, values, function):
     return [r[0] for r in df.orderBy("i").select(function(F.col("x"))).collect()]
 
 
-TEXTS = [
-    "Visit http://x.y/z now www.a.b <b>Bold</b> it's 5 o'clock!", "No Negative", "no positive", None, "", "Caffè naïve ½ ² 日本 ٣",
-    "a < b\n c > d", "under_score nbsp em", "https", "<a><b>x>", "tab\tand\x0bvt\x1cfs",
-]
-
-
-def test_plain_text_equals_the_python_rule(spark):
-    def rule(x):
-        if not x or x.lower() in ("no negative", "no positive"):
-            return ""
-        x = re.sub(r"http\S+|www\S+|https\S+", "", x.lower())
-        return re.sub(r"\d+", "", re.sub(r"[^\w\s]", "", re.sub(r"<.*?>", "", x)))
-
-    assert evaluate(spark, TEXTS, text.plain_text) == [rule(x) for x in TEXTS]
+# Text and what is left of it.
+PLAIN = [
+    ("Visit http://x.y/z now www.a.b <b>Bold</b> it's 5 o'clock!", "visit  now  bold its  oclock"),
+    ("No Negative", ""),
+    ("no positive", ""),
+    (None, ""),
+    ("", ""),
+    ("Caffè naïve ½ ² 日本 ٣", "caffè naïve ½ ² 日本 "),
+    ("a < b\n c > d", "a  b\n c  d"),
+    ("under_score nbsp em", "under_score nbsp em"),
+    ("https", ""),
+    ("<a><b>x>", "x"),
+    ("tab\tand\x0bvt\x1cfs", "tab\tand\x0bvt\x1cfs"),
+]
+
+
+def test_plain_text(spark):
+    assert evaluate(spark, [given for given, _ in PLAIN], text.plain_text) == [left for _, left in PLAIN]
 
 
 def test_words_and_strip_follow_unicode_space(spark):
@@ -55,19 +59,22 @@ def test_bare_words(spark):
     assert evaluate(spark, values, text.bare_word) == ["good", "bad", ":)", "it's", "!!!", ""]
 
 
-def test_reasoning_block(spark):
-    def rule(x):
-        try:
-            block = "<think>" + x.split("<think>")[1].split("</think>")[0] + "</think>"
-        except IndexError:
-            return x
-        return x.replace(block, "")
+# Answer and what is left of it.
+REASONED = [
+    ("plain", "plain"),
+    ("<think>a\nb</think>answer", "answer"),
+    ("x<think></think>y", "xy"),
+    ("<think>a</think>b<think>a</think>c<think>d</think>", "bc<think>d</think>"),
+    ("<think>open", "<think>open"),
+    ("close</think>", "close</think>"),
+    ("<think>a<think>b</think>c", "<think>a<think>b</think>c"),
+    ("", ""),
+    (None, None),
+]
+
 
-    values = [
-        "plain", "<think>a\nb</think>answer", "x<think></think>y", "<think>a</think>b<think>a</think>c<think>d</think>",
-        "<think>open", "close</think>", "<think>a<think>b</think>c", "",
-    ]
-    assert evaluate(spark, values, text.without_reasoning) == [rule(x) for x in values]
+def test_reasoning_block(spark):
+    assert evaluate(spark, [given for given, _ in REASONED], text.without_reasoning) == [left for _, left in REASONED]
 
 
 def test_valences(spark, lexicon):
@@ -80,13 +87,18 @@ def test_valences(spark, lexicon):
 
 
 def test_negations_and_boosters(spark, lexicon):
-    rules = {"negations": ["not"], "boosters": {"very": 0.293, "slightly": -0.293}}
+    rules = {"negations": ["not"], "boosters": {"very": 0.293, "slightly": -0.293, "pretty": 0.293}}
+    lexicon = spark.createDataFrame([*LEXICON, ("pretty", 1.0)], "word string, valence double")
     df = reviews(
         spark, ("very good", ""), ("slightly bad", ""), ("not good", ""), ("not very good", ""), ("not a b c good", ""),
-        ("very x y good", ""), ("good", "very"), ("Not, VERY good!", ""),
+        ("very x y good", ""), ("good", "very"), ("Not, VERY good!", ""), ("very not good", ""), ("pretty good", ""),
+        ("pretty", ""), ("very bad not bad", ""),
     )
     got = sentiment.review_valences(df, ["id"], {"p": "Positive_Review"}, lexicon, **rules)
     expected = [2.293, -1.707, -1.48, 2.293 * -0.74, 2.0, 2 + 0.293 * 0.9, 2.0, 2.293 * -0.74]
+    expected += [2 * -0.74 - 0.293 * 0.95]  # the intensifier takes the sign that the negation has left
+    expected += [2.0, 0.0]  # a word of the lexicon is no modifier, an intensifier has no valence
+    expected += [-2.293 - 2 * -0.74]  # "very" is four words before the second "bad"
     assert [r.p for r in got.orderBy("id").collect()] == pytest.approx(expected)
 
 
@@ -108,64 +120,98 @@ def test_seasonal_and_yearly(spark, lexicon):
     assert year.label == "Neutrale"
 
 
+def test_published_rules_are_the_default(spark, lexicon):
+    df = reviews(spark, ("not good", ""), ("very good", ""), ("good", "")).withColumns(
+        {"Hotel_Address": F.col("id").cast("string"), "Reviewer_Score": F.lit(5.0), "Review_Date": F.lit("2017-01-05").cast("date")}
+    )
+    ruled = [r.avg_sentiment for r in sentiment.seasonal_sentiment(df, lexicon, C).orderBy("Hotel_Address").collect()]
+    assert ruled[0] < 0 < ruled[2] < ruled[1]
+    plain = sentiment.seasonal_sentiment(df, lexicon, C, negations=(), boosters={}).collect()
+    assert len({r.avg_sentiment for r in plain}) == 1
+
+
 def test_year_label(spark):
     df = spark.createDataFrame([(0.4,), (0.39,), (0.0,), (-0.01,)], "x double")
     assert [r[0] for r in df.select(labels.year_label(F.col("x"))).collect()] == ["Positivo", "Neutrale", "Neutrale", "Negativo"]
 
 
-def judge(positive, negative, classify):
-    """The review rule, one review at a time."""
-    positive, negative = positive.strip().lower(), negative.strip().lower()
-    negative = "" if negative in ("nothing", "none", "no negative") else negative
-    positive = "" if positive == "no positive" else positive
-    strong = {"all", "everything", "always"}
-    p, n = bool(strong & set(positive.split())), bool(strong & set(negative.split()))
-    if n and not p:
-        return -1
-    if p and not n:
-        return 1
-    if positive and not negative:
-        return classify(positive)
-    if negative and not positive:
-        return classify(negative)
-    a, b = len(positive) or 1, len(negative) or 1
-    score = classify(positive) * a / (a + b) + classify(negative) * b / (a + b)
-    return 1 if score > 0.3 else -1 if score < -0.3 else 0
-
-
-PAIRS = [
-    ("good", "bad"), ("good", "No Negative"), ("No Positive", "bad"), ("No Positive", "Nothing"), ("", ""), ("  ", "none"),
-    ("all was good", "bad"), ("good", "everything bad"), ("all good", "always bad"), ("overall good", "bad"),
-    ("great great great food", "bad"), ("good", "a long text that says bad"), ("good bad", "x"), ("good room", "plain words"),
-    ("good\nall", "bad"), (" Good ", "BAD "), ("allgood", "x all"), ("good view", "noisy room at night"),
-]
-
-
-def lexicon_class(x):
-    total = sum(dict(LEXICON).get(word, 0.0) for word in x.split())
-    compound = total / math.sqrt(total * total + 15)
-    return 1 if compound >= 0.05 else -1 if compound <= -0.05 else 0
+# Positive text, negative text, class: a strong word on one side decides, then the only side with a text, then the
+# mean of both classes weighted by length. The comments give the weighted means.
+JUDGED = [
+    ("good", "bad", 0),  # 1/7
+    ("good", "No Negative", 1),
+    ("No Positive", "bad", -1),
+    ("No Positive", "Nothing", 0),
+    ("", "", 0),
+    ("  ", "none", 0),
+    ("all was good", "bad", 1),
+    ("good", "everything bad", -1),
+    ("all good", "always bad", 0),  # -2/18
+    ("overall good", "bad", 1),  # 9/15
+    ("great great great food", "bad", 1),  # 19/25
+    ("good", "a long text that says bad", -1),  # -21/29
+    ("good bad", "x", 0),
+    ("good room", "plain words", 1),  # 9/20
+    ("good\nall", "bad", 1),
+    (" Good ", "BAD ", 0),
+    ("allgood", "x all", -1),
+    ("good view", "noisy room at night", 1),  # 9/28
+]
+PAIRS = [pair[:2] for pair in JUDGED]
+CLASSES = [pair[2] for pair in JUDGED]
 
 
 def test_review_rule(spark, lexicon):
     got = sentiment.review_sentiment(reviews(spark, *PAIRS), lexicon, c=C).orderBy("id").collect()
-    assert [r.sentiment_value for r in got] == [judge(p, n, lexicon_class) for p, n in PAIRS]
+    assert [r.sentiment_value for r in got] == CLASSES
     names = {1: "positive", 0: "neutral", -1: "negative"}
-    assert [r.sentiment for r in got] == [names[r.sentiment_value] for r in got]
+    assert [r.sentiment for r in got] == [names[value] for value in CLASSES]
 
 
-def test_model_hook(spark):
+def valence_model(log):
+    """A loader that notes its calls, of a model that knows the lexicon and notes the texts it is sent."""
     valences = dict(LEXICON)
 
     def load():
+        with open(log, "a") as file:
+            file.write("load\n")
+
         def score(batch):
+            with open(log, "a") as file:
+                file.writelines(f"text {x!r}\n" for x in batch)
             totals = batch.map(lambda x: sum(valences.get(word, 0.0) for word in x.split()))
             return (totals > 0.2).astype("int32") - (totals < -0.2).astype("int32")
 
         return score
 
-    got = sentiment.model_sentiment(reviews(spark, *PAIRS), load, c=C).orderBy("id").collect()
-    assert [r.sentiment_value for r in got] == [judge(p, n, lexicon_class) for p, n in PAIRS]
+    return load
+
+
+def test_model_hook(spark, tmp_path):
+    df = sentiment.model_sentiment(reviews(spark, *PAIRS), valence_model(tmp_path / "log"), c=C).orderBy("id")
+    assert [r.sentiment_value for r in df.collect()] == CLASSES
+
+
+def test_model_sees_each_needed_text_once(spark, tmp_path):
+    pairs = [("all was good", "bad"), ("good", "No Negative"), ("No Positive", "Nothing"), ("good", "bad"), ("fine", "")]
+    got = sentiment.model_sentiment(reviews(spark, *pairs).coalesce(1), valence_model(tmp_path / "log"), c=C)
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert rows(got.select("id", "sentiment_value")) == [(0, 1), (1, 1), (2, 0), (3, 0), (4, 0)]
+    noted = (tmp_path / "log").read_text().splitlines()
+    assert noted.count("load") == 1
+    assert sorted(x for x in noted if x != "load") == ["text 'bad'", "text 'fine'", "text 'good'", "text 'good'"]
+
+
+def test_classes_of_lemmas_without_stop_words(spark, tmp_path):
+    lexicon = spark.createDataFrame([("good", 2.0), ("bad", -2.0)], "word string, valence double")
+    lemmas = spark.createDataFrame([("goods", "good"), ("worse", "bad")], "form string, lemma string")
+    df = reviews(spark, ("The goods", ""), ("the", "Worse!"), ("good bad", ""), (None, "the"))
+    for max_bytes in (1 << 20, 0):
+        more = {"stop_words": ["the", "bad"], "lemmas": lemmas, "max_bytes": max_bytes}
+        got = sentiment.review_sentiment(df, lexicon, c=C, **more)
+        assert rows(got.select("id", "sentiment_value")) == [(0, 1), (1, -1), (2, 1), (3, 0)]
+        got = sentiment.model_sentiment(df, valence_model(tmp_path / "log"), c=C, **more)
+        assert rows(got.select("id", "sentiment_value")) == [(0, 1), (1, -1), (2, 1), (3, 0)]
 
 
 def test_null_texts_are_empty(spark, lexicon):
@@ -214,6 +260,13 @@ def test_extractive_summary(spark):
     assert rows(summary.extractive_summary(df, 1, c=C)) == [("h", "the pool is a dream")]
 
 
+def test_summaries_keep_the_entity_without_a_name(spark):
+    df = reviews(spark, ("the room. the pool is a dream!", "the room")).withColumns(
+        {"Hotel_Name": F.lit(None).cast("string"), "Total_Number_of_Reviews_Reviewer_Has_Given": F.col("id")}
+    )
+    assert rows(summary.extractive_summary(df, 1, c=C)) == [(None, "the pool is a dream")]
+
+
 def test_model_summary(spark):
     df = spark.createDataFrame([("text",)], "corpus string")
     answered = df.select(summary.model_summary(F.col("corpus"), lambda: lambda batch: "<think>x</think>" + batch))
