@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,26 +38,30 @@ RULE = ("_pos_strong", "_neg_strong", "_pos_length", "_neg_length")
 INTENSIFIERS = {word: STRENGTHENING for word in STRENGTHENING_WORDS} | {word: -STRENGTHENING for word in WEAKENING_WORDS}
 
 
-def _adjusted(
-    valence: Column, before: Sequence[Column], negations: Sequence[str], boosters: Mapping[str, float], in_lexicon: Column
-) -> Column:
-    """Valence of a word after the three words before it, nearest first.
-
-    A word that has a valence of its own is no modifier. An intensifier pushes the valence as it stands by then
-    away from zero or towards it; a negation turns it.
-    """
-    out = valence
-    for word, damping in zip(before, DISTANCE_DAMPING):
-        modifies = ~F.array_contains(in_lexicon, word)
+def _effects(
+    before: Sequence[str], negations: Sequence[str], boosters: Mapping[str, float], in_lexicon: Column
+) -> dict[str, Column]:
+    """For each of the three words before a word, nearest first, what it adds to a valence's strength and by what
+    it turns it. A word that has a valence of its own is no modifier."""
+    out = {}
+    for name, damping in zip(before, DISTANCE_DAMPING):
+        word, push = F.col(name), F.lit(0.0)
         for amount in sorted(set(boosters.values())):
-            group = [booster for booster, value in boosters.items() if value == amount]
-            push = F.when(out < 0, -amount * damping).otherwise(amount * damping)
-            out = F.when(word.isin(group) & modifies, out + push).otherwise(out)
-        if negations:
-            out = F.when(word.isin(list(negations)) & modifies, out * NEGATION_FACTOR).otherwise(out)
+            push = F.when(word.isin([x for x, value in boosters.items() if value == amount]), amount * damping).otherwise(push)
+        turn = F.when(word.isin(list(negations)), NEGATION_FACTOR).otherwise(1.0)
+        own = F.array_contains(in_lexicon, word)
+        out |= {f"{name}_push": F.when(own, 0.0).otherwise(push), f"{name}_turn": F.when(own, 1.0).otherwise(turn)}
     return out
 
 
+def _adjusted(valence: Column, before: Sequence[str]) -> Column:
+    """An intensifier pushes the valence as it stands by then away from zero or towards it; a negation turns it."""
+    for name in before:
+        push = F.col(f"{name}_push")
+        valence = (valence + F.when(valence < 0, -push).otherwise(push)) * F.col(f"{name}_turn")
+    return valence
+
+
 def review_valences(
     df: DataFrame,
     keep: Sequence[str],
@@ -112,7 +117,9 @@ def review_valences(
         modifiers = lexicon.filter(F.col("word").isin([*negations, *boosters])).agg(F.collect_set("word"))
         valued = valued.withColumns({name: F.when(value.isNotNull(), bare_word(F.col(name))) for name in before})
         value = F.when(F.col("word").isin(list(boosters)), 0.0).otherwise(value) if boosters else value
-        value = _adjusted(value, [F.col(name) for name in before], negations, boosters, modifiers.scalar())
+        # Columns of their own, so that the optimizer does not repeat them in every branch of the sum.
+        valued = valued.withColumns(_effects(before, negations, boosters, modifiers.scalar()))
+        value = _adjusted(value, before)
     return valued.groupBy(*keep).agg(
         *[F.coalesce(F.sum(F.when(F.col("_text") == name, value)), F.lit(0.0)).alias(name) for name in texts]
     )
@@ -269,10 +276,10 @@ def text_classes(texts: Sequence[Column], load_scorer: Callable[[], Scorer]) ->
         score = load_scorer()
         for batch in batches:
             asked = pd.concat([batch[name] for name in names], ignore_index=True)
-            classes, sent = pd.Series(0, index=asked.index, dtype="int32"), asked.notna()
+            classes, sent = np.zeros(len(asked), np.int32), asked.notna().to_numpy()
             if sent.any():
-                classes[sent] = list(score(asked[sent].reset_index(drop=True)))
-            yield pd.DataFrame(classes.to_numpy().reshape(len(names), -1).T, columns=names)
+                classes[sent] = score(asked[sent].reset_index(drop=True))
+            yield pd.DataFrame(classes.reshape(len(names), -1).T, columns=names)
 
     return classify(F.struct(*[text.alias(name) for name, text in zip(names, texts)]))
 
