@@ -10,7 +10,7 @@ import tiktoken
 from conftest import rows
 from guestbook.llm import byte_bpe, token_counts, token_files
 from guestbook.llm.elias_fano import EliasFano
-from guestbook.llm.pieces import PieceCache
+from guestbook.llm.pieces import Memory
 from llm.conftest import ODD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -76,11 +76,11 @@ def test_very_long_texts_go_in_parts(monkeypatch, library):
     assert got == [library.encode_ordinary(text) for text in texts]
 
 
-def test_piece_cache_stays_bounded():
+def test_memory_stays_bounded():
     asked = []
-    cache = PieceCache(lambda pieces: [asked.append(p) or p.upper() for p in pieces], most=3, longest=4)
+    cache = Memory(lambda pieces: [asked.append(p) or p.upper() for p in pieces], most=3, longest=4)
     for text in ("a b c", "a d e", "a b", "toolong a", "toolong"):
-        assert [list(x) for x in cache.look_up([text.split()])] == [text.upper().split()]
+        assert cache.look_up([text.split()]) == [text.upper().split()]
         assert len(cache.young) <= 8 and len(cache.old) <= 8
     assert asked.count("a") <= 2 and asked.count("toolong") == 2
 
