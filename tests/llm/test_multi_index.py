@@ -22,7 +22,7 @@ def expected(data, threshold=0.95):
     np.fill_diagonal(linked, False)
     ids = [row[0] for row in data]
     root = roots(len(data), zip(*np.nonzero(linked)))
-    return sorted((i, int(n), ids[r], i == ids[r]) for i, n, r in zip(ids, linked.sum(1), root))
+    return sorted(((i, int(n), ids[r], i == ids[r]) for i, n, r in zip(ids, linked.sum(1), root)), key=repr)
 
 
 def test_exact_when_all_cells_are_visited(spark, monkeypatch):
