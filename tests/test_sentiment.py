@@ -49,7 +49,7 @@ def test_plain_text(spark):
 
 
 def test_words_and_strip_follow_unicode_space(spark):
-    values = [x or "" for x in TEXTS] + ["  padded  ", "\x1cz\x85"]
+    values = [x or "" for x, _ in PLAIN] + ["  padded  ", "\x1cz\x85"]
     assert evaluate(spark, values, text.stripped) == [x.strip() for x in values]
     assert evaluate(spark, values, lambda x: text.kept_words(x)) == [x.split() for x in values]
 
