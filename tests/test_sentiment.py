@@ -98,7 +98,7 @@ def test_negations_and_boosters(spark, lexicon):
     expected = [2.293, -1.707, -1.48, 2.293 * -0.74, 2.0, 2 + 0.293 * 0.9, 2.0, 2.293 * -0.74]
     expected += [2 * -0.74 - 0.293 * 0.95]  # the intensifier takes the sign that the negation has left
     expected += [2.0, 0.0]  # a word of the lexicon is no modifier, an intensifier has no valence
-    expected += [-2.293 - 2 * -0.74]  # "very" is four words before the second "bad"
+    expected += [-2.293 + (2 * 0.74 + 0.293 * 0.9)]  # "very" is three words before the second "bad", by then turned
     assert [r.p for r in got.orderBy("id").collect()] == pytest.approx(expected)
 
 
