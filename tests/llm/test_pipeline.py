@@ -43,6 +43,20 @@ def test_near_duplicates_stage_by_brute_force(spark):
     assert rows(stage("near-duplicates")(spark, docs, SMALL)) == rows(docs.filter(docs.doc_id.isin(list(first))))
 
 
+def test_near_duplicates_stage_keeps_one_row_of_each_group(spark, documents):
+    one, two, three = ("some words that come first " * 9, "quite other words here " * 9, "a third text with nothing shared " * 9)
+    repeated = [(7, one)] * 1000
+    clashing = [(8, two), (8, three)]
+    kept = rows(stage("near-duplicates")(spark, documents(repeated + clashing), SMALL).select("doc_id", "text"))
+    assert kept == sorted([(7, one), (8, two), (8, three)], key=repr)
+    # Of two texts under one id, the one in a group with a smaller id goes.
+    kept = rows(stage("near-duplicates")(spark, documents([(1, one), (8, one), (8, two), (9, two)]), SMALL).select("doc_id", "text"))
+    assert kept == sorted([(1, one), (8, two)], key=repr)
+    # Null ids: one row stays of a group without ids, none of a group that has an id.
+    kept = rows(stage("near-duplicates")(spark, documents([(None, one), (None, one), (None, two), (3, two)]), SMALL).select("doc_id", "text"))
+    assert kept == sorted([(None, one), (3, two)], key=repr)
+
+
 def test_mixing_stage_keeps_all_rows_in_the_order_of_the_schedule(spark, tmp_path):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     stage("mixing")(spark, docs, SMALL).write.parquet(str(tmp_path / "m"))
