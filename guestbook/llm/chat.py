@@ -6,14 +6,14 @@ against the schema of the tool; and the conversation is written as JSON with sor
 escapes beyond what JSON asks for, so that equal conversations give equal bytes. A conversation is one result
 row and the largest unit that a task holds; calls and results are brought together before, by the shuffle.
 
-Defined results: of several results for a call the smallest text counts, and ``n_repeated`` counts the others;
-of several calls with the same identifier the first by turn, name and arguments counts and the others are
+Defined results: of several results for a call or an orphaned identifier the smallest text counts, and the others
+stand in ``repeated_results``, each distinct text with its copies, which ``n_repeated`` counts; of several calls with the same identifier the first by turn, name and arguments counts and the others are
 ``repeated``. A call without a result, a result without a call, arguments that are no JSON object, that break
 their schema or name an unknown tool are kept and marked. Calls on a cycle of needs, and those that need them,
 stand last in the order of turn and identifier, marked ``cyclic``; a need that is no call of the conversation is
 ignored. Null texts are empty, null roles ``unknown``, null turns come first. Rows with a null conversation
 are conversations of their own, equal ones together. A call or result with a null identifier links with
-nothing. Other columns are not read. Empty tables give an empty result.
+nothing: every such result is an orphan of its own. Other columns are not read. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -135,22 +135,25 @@ def formatted(messages: list[dict], calls: list[dict], schemas: dict[str, dict])
             entry["result"] = call["result"] or ""
         marks = ["cyclic"] * (name in cyclic) + ["repeated"] * (name is None) + ["pending"] * ("result" not in entry)
         entries.append(entry | ({"marks": marks} if marks else {}))
-    orphans = sorted((x for x in calls if not x["called"]), key=lambda x: (x["call_id"] or "", x["result"] or ""))
+    by_text = lambda x: (x["call_id"] or "", x["result"] or "", x["copies"] or 0)
+    orphans = sorted((x for x in calls if not x["called"] and x["copies"] is None), key=by_text)
+    again = sorted((x for x in calls if x["copies"] is not None), key=by_text)
     said = sorted(messages, key=lambda m: (_turn(m["turn"]), m["role"] or "", m["text"] or ""))
     chat = {
         "messages": [{"role": m["role"] or "unknown", "content": m["text"] or ""} for m in said],
         "tool_calls": entries,
         "orphans": [{"id": x["call_id"], "result": x["result"] or ""} for x in orphans],
     }
-    counted = {name: call for name, call in first.items() if call["answered"]}
+    if again:
+        chat["repeated_results"] = [{"id": x["call_id"], "result": x["result"] or "", "copies": x["copies"]} for x in again]
     return {
         "chat": canonical(chat),
         "n_messages": len(messages),
         "n_calls": len(called),
-        "n_linked": len(counted),
+        "n_linked": sum(call["answered"] for call in first.values()),
         "n_invalid": invalid,
         "n_orphans": len(orphans),
-        "n_repeated": len(repeated) + sum(x["copies"] - 1 for x in [*counted.values(), *orphans]),
+        "n_repeated": len(repeated) + sum(x["copies"] for x in again),
         "n_cyclic": len(cyclic),
     }
 
@@ -163,14 +166,17 @@ def _conversation(*values: str) -> Column:
 def linked_calls(calls: DataFrame, results: DataFrame) -> DataFrame:
     """Calls (conv_id, turn, call_id, name, arguments, needs) with results (conv_id, call_id, content)."""
     calls = calls.select("conv_id", _conversation("turn", "call_id", "name", "arguments"), "turn", "call_id", "name", "arguments", "needs", F.lit(True).alias("called"))
-    results = (
-        results.select("conv_id", "call_id", "content")
-        .groupBy("conv_id", "call_id")
-        .agg(F.min("content").alias("result"), F.count("*").alias("copies"))
-        .select("conv_id", "call_id", "result", "copies", F.lit(True).alias("answered"))
-    )
-    joined = calls.join(results.hint("shuffle_hash"), ["conv_id", "call_id"], "full")
-    return joined.select(
+    results = results.select("conv_id", "call_id", F.col("content").alias("result"))
+    linkable = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    texts = results.filter(linkable).groupBy("conv_id", "call_id", "result").agg(F.count("*").alias("copies"))
+    least = texts.groupBy("conv_id", "call_id").agg(F.min("result").alias("result"))
+    answers = least.withColumn("answered", F.lit(True))
+    again = texts.join(least.withColumnRenamed("result", "least"), ["conv_id", "call_id"])
+    again = again.withColumn("copies", F.col("copies") - F.col("result").eqNullSafe(F.col("least")).cast("long"))
+    joined = calls.join(answers.hint("shuffle_hash"), ["conv_id", "call_id"], "full")
+    every = joined.unionByName(again.filter("copies > 0").drop("least"), allowMissingColumns=True)
+    every = every.unionByName(results.filter(~linkable).withColumn("answered", F.lit(True)), allowMissingColumns=True)
+    return every.select(
         "conv_id",
         F.when(F.col("conv_id").isNull(), F.coalesce("alone", F.xxhash64("call_id", "result"))).alias("alone"),
         F.struct(

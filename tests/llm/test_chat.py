@@ -65,6 +65,23 @@ def test_nulls_and_empty_tables(spark):
     assert (two.n_calls, two.n_linked, two.n_orphans, two.n_repeated) == (2, 0, 1, 0)
 
 
+def test_no_result_is_lost(spark):
+    calls = [(1, 1, "a", "search", GOOD, [])]
+    results = [(1, "a", x) for x in ("r1", "r1", "r2", None)] + [(1, "z", "o1"), (1, "z", "o2"), (1, "z", "o2")]
+    results += [(1, None, x) for x in ("n1", "n2", "n2")] + [(None, None, "x"), (None, None, "y"), (None, "a", "v"), (None, "a", "w")]
+    got = made(spark, calls=calls, results=results).collect()
+    one = next(row for row in got if row.conv_id == 1)
+    held = json.loads(one.chat)
+    assert held["tool_calls"][0]["result"] == "r1"
+    assert held["orphans"] == [{"id": None, "result": x} for x in ("n1", "n2", "n2")] + [{"id": "z", "result": "o1"}]
+    assert held["repeated_results"] == [
+        {"id": "a", "result": "", "copies": 1}, {"id": "a", "result": "r1", "copies": 1}, {"id": "a", "result": "r2", "copies": 1}, {"id": "z", "result": "o2", "copies": 2},
+    ]
+    assert (one.n_linked, one.n_orphans, one.n_repeated) == (1, 4, 5)
+    alone = [json.loads(row.chat)["orphans"] for row in got if row.conv_id is None]
+    assert sorted(x["result"] for orphans in alone for x in orphans) == ["v", "w", "x", "y"] and len(alone) == 4
+
+
 def test_schema_rules():
     assert chat.problems(True, {"type": "integer"}) and chat.problems(1.5, {"type": "integer"})
     assert not chat.problems(1, {"type": "number", "minimum": 1, "maximum": 1})
