@@ -7,7 +7,8 @@ whose prefix occurs only once takes no further part. Suffixes with the same rank
 the array whose longest common prefix has at least that length, and the interval's first row is the earliest
 copy.
 
-A repeated run counts from ``min_words`` words in all its lines together. Every line that lies in a later copy
+A repeated run counts from ``min_words`` words in all its lines together. With ``word_bytes`` a line has at least
+a word for each such number of UTF-8 bytes, so that long lines count in scripts without spaces too. Every line that lies in a later copy
 of such a run is deleted; the earliest copy (smallest doc_id, then place) stays. A line that is not blank has a
 word at least, so each run that counts is covered by runs of at most ``min_words`` lines that count: the least
 that start at its lines and the least that end there. The array is therefore sorted to that depth, which takes
@@ -46,9 +47,13 @@ def _identity(doc_id: str, text: str) -> tuple[Column, Column]:
     return F.coalesce(F.col(f"`{doc_id}`").cast("long"), last), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
-def line_table(docs: DataFrame, min_words: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def line_table(docs: DataFrame, min_words: int, doc_id: str = "doc_id", text: str = "text", word_bytes: int | None = None) -> DataFrame:
     """Lines that are not blank: place, digest, and number of words up to ``min_words``."""
 
+    def counted(line: bytes) -> int:
+        words = len(line.split(None, min_words)[:min_words])
+        return min(min_words, max(words, len(line) // word_bytes)) if word_bytes else words
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             at, places, found, words = [], [], [], []
@@ -57,7 +62,7 @@ def line_table(docs: DataFrame, min_words: int, doc_id: str = "doc_id", text: st
                 at.append(np.full(len(lines), row))
                 places.append(np.arange(len(lines)))
                 found += [xxhash.xxh3_128_digest(line) for line in lines]
-                words += [len(line.split(None, min_words)[:min_words]) for line in lines]
+                words += [counted(line) for line in lines]
             if found:
                 at, digests = pa.array(np.concatenate(at)), np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
                 yield batch(
@@ -131,11 +136,11 @@ def later_copies(lines: DataFrame, min_words: int) -> DataFrame:
     return found
 
 
-def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text", word_bytes: int | None = None) -> DataFrame:
     """``docs`` without the later copies of repeated runs, with ``n_lines`` (not blank, before), ``n_removed``
     and ``kept``."""
     docs = docs.drop("n_lines", "n_removed", "kept")
-    runs = later_copies(line_table(docs, min_words, doc_id, text), min_words)
+    runs = later_copies(line_table(docs, min_words, doc_id, text, word_bytes), min_words)
     gone = runs.groupBy("doc", "version").agg(F.collect_set(F.struct("pos", "len")).alias("_runs"))
     doc, version = _identity(doc_id, text)
     marked = (

@@ -35,6 +35,13 @@ def test_lines_stage_by_brute_force(spark, documents):
     assert got.columns == docs.columns and rows(got.select("doc_id", "text", "n_chars")) == sorted(want, key=repr)
 
 
+def test_lines_stage_takes_scripts_without_spaces(spark, documents):
+    long, halves, short = "本網站使用餅乾以改善您的瀏覽體驗並分析流量請點此同意", ["使用者條款與隱私權政策聲明", "版權所有未經許可不得轉載"], "點此同意"
+    pairs = [(1, "\n".join([long, "甲", *halves, short])), (2, "\n".join(["乙", long, "丙", *halves, "丁", short]))]
+    got = rows(stage("lines")(spark, documents(pairs), SMALL).select("doc_id", "text"))
+    assert got == [(1, pairs[0][1]), (2, "\n".join(["乙", "丙", "丁", short]))]
+
+
 def test_near_duplicates_stage_by_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     held = sorted((row.doc_id, plain_fingerprint(row.text)) for row in docs.collect())
