@@ -12,8 +12,8 @@ block of at most ``BLOCK`` classes meets each query block of its shard once, so
 however many vectors crowd a cell. A task sends on a count for each class and the forest that its links span,
 never pairs. When only one of two linked vectors visits the other's cell, that visit counts for both.
 
-Defined results: vectors that are null, zero, or hold null or non-finite components, and those whose length is
-not the most frequent one, have no links and are components of their own. A null vec_id is no component's name
+Defined results: vectors that are null, zero, or hold null or non-finite components have no links and are
+components of their own. Vectors of different lengths do not link; each length has an index of its own. A null vec_id is no component's name
 unless nothing else is in it. Repeated rows are vectors of their own. Other columns are not read. An empty table
 gives an empty result.
 """
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -223,15 +224,14 @@ def class_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float
 def near_vectors(rows: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id (smallest vec_id reachable) and kept, for every row."""
     rows = rows.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").alias("vector"))
-    valid = rows.filter(_valid("vector"))
-    lengths = valid.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").head()
-    usable = F.expr(_valid("vector")) & (F.size("vector") == (lengths.size if lengths else 0))
-    usable = F.coalesce(usable, F.lit(False))
+    usable = F.coalesce(F.expr(_valid("vector")), F.lit(False))
+    lengths = sorted(row.size for row in rows.filter(usable).select(F.size("vector").alias("size")).distinct().collect())
     apart = rows.filter(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if lengths:
         classes = rows.filter(usable).groupBy("vector").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
         classes = settled(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-        found = settled(class_links(classes.select("cid", "vector", "copies"), threshold, recall), "class-links")
+        of_length = [classes.filter(F.size("vector") == n).select("cid", "vector", "copies") for n in lengths]
+        found = reduce(DataFrame.unionByName, [settled(class_links(some, threshold, recall), "class-links") for some in of_length])
         counts = found.filter("u = v").groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n"))
         roots = components(found.filter("u <> v").select("u", "v")).withColumnRenamed("node", "cid")
         named = classes.join(counts, "cid", "left").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))

@@ -71,3 +71,10 @@ def test_query_keeps_every_vector(spark):
     held = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     data = [(row.vec_id, row.embedding, 0) for row in held.collect()]
     assert rows(queries()["op1_multi_index"](spark, SMALL)) == expected(data)
+
+
+def test_vectors_of_every_length_link(spark):
+    data = [(i, [1.0, float(i % 2), 0.5]) for i in range(6)] + [(10, [0.0, 1.0]), (11, [0.0, 2.0]), (12, [1.0, 0.0]), (20, [3.0]), (21, [4.0]), (22, [-1.0])]
+    got = multi_index.near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    found = {row.vec_id: (row.n_links, row.component_id) for row in got.collect()}
+    assert found == {i: (2, i % 2) for i in range(6)} | {10: (1, 10), 11: (1, 10), 12: (0, 12), 20: (1, 20), 21: (1, 20), 22: (0, 22)}
