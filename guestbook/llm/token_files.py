@@ -10,14 +10,12 @@ adds up, plus what the block states itself.
 
 Defined results: a null text is an empty one, of which only the end id remains. A null ``doc_id`` sorts last;
 rows with the same ``doc_id`` are ordered by text. Extra columns are not read. An empty table gives an empty
-file set.
+file set. Texts are encoded where they are read; only ids travel, and the texts of rows that share an id.
 """
 
 from __future__ import annotations
 
-import functools
 import itertools
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -27,50 +25,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestbook.llm.batches import batch, narrow, texts_of
+from guestbook.llm.batches import batch, narrow
+from guestbook.llm.chunk_ids import encoder
 from guestbook.llm.elias_fano import EliasFano
-from guestbook.llm.pieces import ChunkMemory
+from guestbook.operators.joins import join_lookup
+from guestbook.shared import drop_tables, settled
 
 BLOCK_IDS = 1 << 16
 ROW_GROUP_BYTES = 16 << 20
-CACHED_CHUNKS = 300_000
 
+ENCODED = "doc_id long, tie string, ids binary, id_bytes int"
 BLOCK = (
     "shard int, block int, n_docs int, n_ids long, ids_before long, id_bytes int, ids binary, doc_ids binary,"
     " known_ids binary, low_bits int, low binary, high binary, samples binary"
 )
 
 
-@functools.cache
-def load(path: str) -> tuple[str, ChunkMemory]:
-    """Type of the file's integers, and what the library's tokenizer makes of chunks of text. One per worker."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    kind = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-
-    def encode(chunks: list[str]) -> list[bytes]:
-        found = [chunk.ids for chunk in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        flat = np.fromiter(itertools.chain.from_iterable(found), kind).tobytes()
-        ends = list(itertools.accumulate(len(ids) * int(kind[2]) for ids in found))
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
-
-    return kind, ChunkMemory(encode, CACHED_CHUNKS)
-
-
-def encode_texts(texts: list[str], path: str) -> Iterator[bytes]:
-    """The ids of every text in the file's integers; each chunk goes to the library once while it is remembered."""
-    return map(b"".join, load(path)[1].look_up(texts))
-
-
 def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encode every text with the tokenizer file at ``path``, append ``end_id`` to each, and write the blocks."""
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = encoder(path)
+        end = np.array([end_id], made.kind).tobytes()
+        for rows in batches:
+            ids = pa.array([found + end for found in made.texts(rows.column("text"))], pa.binary())
+            width = pa.array(np.full(rows.num_rows, made.width, np.int32))
+            yield batch(doc_id=rows.column("doc_id"), tie=rows.column("tie"), ids=ids, id_bytes=width)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, shard = load(path)[0], TaskContext.get().partitionId()
-        width = int(kind[2])
-        end = np.array([end_id], kind).tobytes()
+        shard, width = TaskContext.get().partitionId(), 0
         block, before, doc_ids, held = 0, 0, [], []
 
         def closed() -> pa.RecordBatch:
@@ -87,21 +70,28 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, doc_id: s
 
         size = 0
         for rows in batches:
-            for i, ids in zip(rows.column("doc_id").to_pylist(), encode_texts(texts_of(rows.column("text")), path)):
-                n = len(ids) // width + 1
+            for i, ids, width in zip(rows.column("doc_id").to_pylist(), rows.column("ids").to_pylist(), rows.column("id_bytes").to_pylist()):
+                n = len(ids) // width
                 if held and size + n > BLOCK_IDS:
                     yield closed()
                     block, before, doc_ids, held, size = block + 1, before + size, [], [], 0
                 doc_ids.append(i)
-                held.append(ids + end)
+                held.append(ids)
                 size += n
         if held:
             yield closed()
 
-    order = (F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first())
     rows = narrow(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text")
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order)
-    rows.mapInArrow(work, BLOCK).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
+    repeated = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    rows = join_lookup(rows, repeated.select("doc_id", F.lit(True).alias("is_repeated")), "doc_id", "left", costly=True)
+    tie = F.when(F.col("doc_id").isNull() | F.col("is_repeated"), F.col("text"))
+    encoded = rows.select("doc_id", tie.alias("tie"), "text").mapInArrow(encode, ENCODED)
+    order = (F.col("doc_id").asc_nulls_last(), F.col("tie").asc_nulls_first())
+    # The range shuffle looks at its input twice; a table keeps the texts from being encoded twice.
+    encoded = settled(encoded, "token-ids")
+    placed = encoded.repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order)
+    placed.mapInArrow(work, BLOCK).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
+    drop_tables(encoded)
 
 
 BLOCK_SCHEMA = pa.schema(

@@ -5,10 +5,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from conftest import rows
-from guestbook.llm import byte_bpe, token_counts, token_files
+from guestbook.llm import byte_bpe, chunk_ids, token_counts, token_files
 from guestbook.llm.elias_fano import EliasFano
 from guestbook.llm.pieces import Memory
 from llm.conftest import ODD
@@ -136,3 +137,17 @@ def test_elias_fano_selects_every_position():
             coded = EliasFano.of(positions, universe)
             assert coded.all().tolist() == positions.tolist() == [coded.select(k) for k in range(count)]
     assert EliasFano.of(np.arange(0, 10**6, 100), 10**6).n_bytes() * 8 < 10**4 * 9.5
+
+
+def test_encoded_chunks_equal_the_library(monkeypatch):
+    made = chunk_ids.Encoder(BYTES)
+    letters = "abcdeéñ \n'1ßΣİ漢😀  \t\x0b\x1c\x85\r\xa0 ªº.,$​́"
+    rng = random.Random(5)
+    texts = TEXTS + ["'really don't'll ª × ǀ", "a  b   c ", "x <|endoftext|>y " * 3] + ["".join(rng.choices(letters, k=rng.randint(1, 60))) for _ in range(3000)]
+    want = [made._by_library([text or ""])[0] for text in texts]
+    for slice_bytes, cached, long in ((1 << 20, 1 << 20, 1 << 20), (500, 50, 40)):
+        monkeypatch.setattr(chunk_ids, "SLICE_BYTES", slice_bytes)
+        monkeypatch.setattr(chunk_ids, "CACHED_CHUNKS", cached)
+        monkeypatch.setattr(chunk_ids, "LONG_CHARS", long)
+        assert list(made.texts(pa.array(texts, pa.string()))) == want
+    assert not made.whole.encode("").ids and chunk_ids.Encoder(WORDS).by_chunks is False
