@@ -25,8 +25,10 @@ from guestbook.llm.pieces import CHUNK, segments
 
 SLICE_BYTES = 12 << 20
 LONG_CHARS = 2 << 20
-CACHED_CHUNKS = 800_000
+CACHED_WORDS = 1_500_000
+CACHED_CHUNKS = 200_000
 LONGEST = 64  # characters of a chunk that is remembered
+SHORT = 8  # characters of a pre-token that is remembered besides the chunks that it stands in
 AT_ONCE = 4_000  # pre-tokens in one call of the library
 
 #: White space before a space: there a chunk does not begin at every space.
@@ -64,8 +66,9 @@ class Encoder:
                 self.n_bytes[i] = len(token)
             bare = {"pre_tokenizer": None, "post_processor": None, "added_tokens": [], "truncation": None, "padding": None}
             self.merger = Tokenizer.from_str(json.dumps(spec | bare))
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.plain: dict[str, bytes] = {}  # pre-tokens and chunks that do not stand after a single space
+        self.words, self.used = pa.array([], pa.string()), np.zeros(0, np.int32)  # words after a space; the slice that used them last
+        self.ids, self.bounds, self.slices = np.zeros(0, self.kind), np.zeros(1, np.int64), 0
 
     def texts(self, column: pa.Array) -> Iterator[bytes]:
         """The ids of every text of a column in the file's integers, in its order; a null text is empty."""
@@ -110,53 +113,76 @@ class Encoder:
         bounds, words = split.offsets.to_numpy().astype(np.int64), split.values
         heads = self._chunks(words.take(pa.array(bounds[:-1])).to_pylist())
         coded = words.dictionary_encode()
-        found = self._chunks([" " + word for word in coded.dictionary.to_pylist()])
-        flat = np.frombuffer(b"".join(found), self.kind)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
-        at = coded.indices.to_numpy()
-        n = sizes[at]
+        at, n_kept = self._words(coded.dictionary)
+        at = at[coded.indices.to_numpy()]
+        n = np.diff(self.bounds)[at]
         n[bounds[:-1]] = 0
         ends = np.cumsum(n)
-        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[at] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        ids = self.ids[np.repeat(self.bounds[at] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
         rows = np.append(0, ends)[bounds].tolist()
+        self._forget(n_kept)
         for head, a, b in zip(heads, rows, rows[1:]):
             yield head + ids[a:b].tobytes()
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks. What was seen last is remembered in two generations: when the young one is full it becomes
-        the old one, and what is used again moves back."""
-        if len(self.young) > CACHED_CHUNKS:
-            self.old, self.young = self.young, {}
-        found = list(map(self.young.get, chunks))
-        gaps = [k for k, ids in enumerate(found) if ids is None]
-        if not gaps:
-            return found
-        missing = [chunks[k] for k in gaps]
-        known = dict(zip(missing, map(self.old.get, missing)))
-        self._add([chunk for chunk, ids in known.items() if ids is None], known)
-        for k, chunk in zip(gaps, missing):
-            found[k] = known[chunk]
-        self.young.update(known if all(len(chunk) <= LONGEST for chunk in known) else {chunk: ids for chunk, ids in known.items() if len(chunk) <= LONGEST})
-        return found
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, int]:
+        """Where the ids of distinct words that stand after a space are held, after those that were not have been
+        added; and how many of all the held words may be kept."""
+        self.slices += 1
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        missing = np.nonzero(at < 0)[0]
+        is_long = pc.greater(pc.utf8_length(words.take(pa.array(missing))), LONGEST).to_numpy(zero_copy_only=False)
+        missing = np.concatenate((missing[~is_long], missing[is_long]))
+        at[missing] = len(self.words) + np.arange(len(missing))
+        n_kept = len(self.words) + len(missing) - int(is_long.sum())
+        new = words.take(pa.array(missing))
+        found = self._new_chunks([" " + word for word in new.to_pylist()])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        self.words = pa.concat_arrays([self.words, new])
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(found), self.kind)))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+        self.used = np.concatenate((self.used, np.zeros(len(missing), np.int32)))
+        self.used[at] = self.slices
+        return at, n_kept
+
+    def _forget(self, n_kept: int) -> None:
+        """Drop long words, and beyond the limit the half that was not used for longest."""
+        keep = np.arange(len(self.words)) < n_kept
+        if n_kept > CACHED_WORDS:
+            keep &= self.used > np.partition(self.used, n_kept // 2)[n_kept // 2]
+        if not keep.all():
+            sizes = np.diff(self.bounds)
+            self.ids, sizes = self.ids[np.repeat(keep, sizes)], sizes[keep]
+            self.words, self.used = self.words.filter(pa.array(keep)), self.used[keep]
+            self.bounds = np.append(0, np.cumsum(sizes))
 
-    def _add(self, chunks: list[str], known: dict[str, bytes]) -> None:
-        """The ids of chunks that no memory holds, and of the pre-tokens they are cut into."""
-        words, compound, strange = [], [], []
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks as they stand."""
+        if len(self.plain) > CACHED_CHUNKS:
+            self.plain.clear()
+        missing = list(dict.fromkeys(chunk for chunk in chunks if chunk not in self.plain))
+        known = dict(zip(missing, self._new_chunks(missing)))
+        self.plain.update((chunk, ids) for chunk, ids in known.items() if len(chunk) <= LONGEST)
+        return [known[chunk] if chunk in known else self.plain[chunk] for chunk in chunks]
+
+    def _new_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks: those that are several pre-tokens, or not surely one, are cut first."""
+        single, compound, strange = [], [], []
         for chunk in chunks:
             if ONE_WORD.fullmatch(chunk):
-                words.append(chunk)
+                single.append(chunk)
             elif KNOWN_CHARS.fullmatch(chunk):
                 compound.append(chunk)
             else:
                 strange.append(chunk)
-        known.update(zip(words, self._merged(words)))
+        known = dict(zip(single, self._merged(single)))
         cut = [PRE_TOKEN.findall(chunk) for chunk in compound]
-        more = {piece: self.young.get(piece) or self.old.get(piece) or known.get(piece) for pieces in cut for piece in pieces}
-        new = [piece for piece, ids in more.items() if ids is None]
-        more.update(zip(new, self._merged(new)))
-        known.update((piece, more[piece]) for piece in new)
-        known.update((chunk, b"".join([more[piece] for piece in pieces])) for chunk, pieces in zip(compound, cut))
+        pieces = {piece: known.get(piece) or self.plain.get(piece) for some in cut for piece in some}
+        new = [piece for piece, ids in pieces.items() if ids is None]
+        pieces.update(zip(new, self._merged(new)))
+        known.update((chunk, b"".join([pieces[piece] for piece in some])) for chunk, some in zip(compound, cut))
         known.update(zip(strange, self._by_library(strange)))
+        self.plain.update((piece, pieces[piece]) for piece in new if len(piece) <= SHORT)
+        return [known[chunk] for chunk in chunks]
 
     def _merged(self, pieces: list[str]) -> list[bytes]:
         """Ids of pre-tokens."""

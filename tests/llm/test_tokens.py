@@ -148,6 +148,7 @@ def test_encoded_chunks_equal_the_library(monkeypatch):
     for slice_bytes, cached, long in ((1 << 20, 1 << 20, 1 << 20), (500, 50, 40)):
         monkeypatch.setattr(chunk_ids, "SLICE_BYTES", slice_bytes)
         monkeypatch.setattr(chunk_ids, "CACHED_CHUNKS", cached)
+        monkeypatch.setattr(chunk_ids, "CACHED_WORDS", cached)
         monkeypatch.setattr(chunk_ids, "LONG_CHARS", long)
         assert list(made.texts(pa.array(texts, pa.string()))) == want
     assert not made.whole.encode("").ids and chunk_ids.Encoder(WORDS).by_chunks is False
