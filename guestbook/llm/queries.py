@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestbook.llm import byte_bpe, chat, exact, language, lines, mixing, multi_index, simhash, token_counts, token_files
+from guestbook.llm import byte_bpe, chat, exact, language, lines, mixing, multi_index, packing, simhash, token_counts, token_files
 from guestbook.shared import new_table_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,9 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     calls, results = tool_traffic(conversations)
     return chat.chats(conversations.filter("role is null or role not in ('user', 'assistant')"), calls, results, TOOLS)
+
+
+@_query("op12_best_fit_packing")
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2,048 tokens over all documents, with a digest of every piece."""
+    return packing.digested(packing.packed(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0))
