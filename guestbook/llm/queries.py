@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guestbook.llm import byte_bpe, chat, exact, language, lines, mixing, multi_index, packing, simhash, token_counts, token_files
+from guestbook.llm import byte_bpe, chat, divergence, exact, language, lines, mixing, multi_index, packing, simhash, token_counts, token_files, vector_codes
 from guestbook.shared import new_table_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,102 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of at most 2,048 tokens over all documents, with a digest of every piece."""
     return packing.digested(packing.packed(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0))
+
+
+OP11_SQL = r"""
+with d as (
+  select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents
+), t as (
+  select doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d
+), kept as (
+  select lang, term from t group by lang, term having count(distinct doc) >= 30
+), sizes as (
+  select lang, count(k.term) as v from (select distinct lang from d) left join kept k using (lang) group by lang
+), found as (
+  select lang, source, term, count(*) as n from t join kept using (lang, term) group by lang, source, term
+), grouped as (
+  select g.lang, g.source, coalesce(sum(f.n), 0) as n_group
+  from (select distinct lang, source from d) g left join found f on f.lang = g.lang and f.source = g.source group by g.lang, g.source
+), share as (
+  select g.lang, g.source, k.term, coalesce(f.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(f.n, 0) + 5)) // (g.n_group + 5 * s.v)::hugeint as p
+  from grouped g join kept k on k.lang = g.lang join sizes s on s.lang = g.lang
+  left join found f on f.lang = g.lang and f.source = g.source and f.term = k.term
+), whole as (
+  select f.lang, f.term, 1 + (1000000000::hugeint * (sum(f.n) + 5)) // (any_value(l.n_lang) + 5 * any_value(s.v))::hugeint as q
+  from found f join sizes s on s.lang = f.lang join (select lang, sum(n_group) as n_lang from grouped group by lang) l on l.lang = f.lang
+  group by f.lang, f.term
+), pairs as (
+  select a.lang, a.source, b.source as item, coalesce(x.value, 0) as value
+  from grouped a join grouped b on a.lang = b.lang and a.source <> b.source
+  left join (
+    select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+    from share a join share b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by a.lang, a.source, b.source
+  ) x on x.lang = a.lang and x.source = a.source and x.item = b.source
+), items as (
+  select lang, source, 'pair' as part, item, value from pairs
+  union all
+  select s.lang, s.source, 'term', s.term, s.p - w.q from share s join whole w on w.lang = s.lang and w.term = s.term where s.n > 0 and s.p > w.q
+), ranked as (
+  select lang, source, part, item, value::bigint as value,
+    row_number() over (partition by lang, source, part order by value desc, encode(item))::int as rank
+  from items
+)
+select * from ranked where part = 'pair' or rank <= 50
+"""
+
+
+@_query("op11_source_divergence", OP11_SQL)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are apart, and the terms that set each apart."""
+    return divergence.source_divergence(_documents(spark, sf_dir))
+
+
+OP13_START = """
+with v as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), x as (
+  select vec_id, k // w as part, k % w as i, e[k + 1] as x
+  from (select vec_id, e, len(e) // 16 as w, unnest(range(len(e))) as k from v)
+), c0 as (
+  select part, entry, i, x as c
+  from x join (select vec_id, row_number() over (order by vec_id) - 1 as entry from v qualify entry < 64) using (vec_id)
+)"""
+
+OP13_ROUND = """, a{n} as (
+  select vec_id, part, m % 1024 as entry, m // 1024 as d
+  from (
+    select vec_id, part, min(d * 1024 + entry) as m
+    from (select vec_id, part, entry, sum((x - c) * (x - c))::bigint as d from x join c{n} using (part, i) group by vec_id, part, entry)
+    group by vec_id, part
+  )
+)"""
+
+OP13_MOVE = """, c{m} as (
+  select part, entry, i, case when n is null then c else (s - (s % n + n) % n) // n end as c
+  from c{n} left join (
+    select part, entry, i, sum(x)::bigint as s, count(*) as n from a{n} join x using (vec_id, part) group by part, entry, i
+  ) using (part, entry, i)
+)"""
+
+OP13_END = """, r as (
+  select vec_id, string_agg(printf('%02x', entry), '' order by part) as code, sum(d)::bigint as error from a2 group by vec_id
+)
+select r.vec_id, r.code, r.error, (sum(r.error) over (partition by v.label))::bigint as label_error,
+  (select sha256(string_agg(c::varchar, ',' order by part, entry, i)) from c2) as codebooks_sha256
+from r join v using (vec_id)
+"""
+
+OP13_SQL = "".join([OP13_START, *[OP13_ROUND.format(n=n) + OP13_MOVE.format(n=n, m=n + 1) for n in range(2)], OP13_ROUND.format(n=2), OP13_END])
+
+
+@_query("op13_vector_codes", OP13_SQL)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A code of 16 bytes for every vector, with its error and a digest of the codebooks."""
+    found, books = vector_codes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    code = F.lower(F.hex("codes")).alias("code")
+    digest = F.lit(vector_codes.digest(books)).alias("codebooks_sha256")
+    return vector_codes.with_label_error(found).select("vec_id", code, "error", "label_error", digest)
