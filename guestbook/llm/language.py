@@ -37,6 +37,7 @@ SLOT_BITS = 20
 PROBES = 2
 MIN_SHARE = 2e-5  # of a language's n-grams of one length: rarer ones are noise
 CHARS = 1 << 18
+ROWS_AT_ONCE = 256  # texts that a task holds as Python objects
 UNKNOWN = "und"
 
 
@@ -184,7 +185,7 @@ def predict(docs: DataFrame, learned: LanguageFilter, text: str = "text") -> Dat
     held = docs.sparkSession.sparkContext.broadcast(learned)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in (rows.slice(at, ROWS_AT_ONCE) for rows in batches for at in range(0, rows.num_rows, ROWS_AT_ONCE)):
             found = [held.value.predict(one) for one in texts_of(rows.column(text))]
             rows = rows.append_column("lang_pred", pa.array([language for language, _ in found], pa.string()))
             yield rows.append_column("score", pa.array([score for _, score in found], pa.float64()))

@@ -37,6 +37,7 @@ from guestbook.llm.ordered import ranked
 from guestbook.shared import drop_tables, settled
 
 MIN_WORDS = 4
+ROWS_AT_ONCE = 256  # texts that a task holds as Python objects
 PLACE = ["doc", "version", "pos"]
 LINES = "doc long, version long, pos long, d1 long, d2 long, words int"
 
@@ -55,7 +56,7 @@ def line_table(docs: DataFrame, min_words: int, doc_id: str = "doc_id", text: st
         return min(min_words, max(words, len(line) // word_bytes)) if word_bytes else words
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in (rows.slice(at, ROWS_AT_ONCE) for rows in batches for at in range(0, rows.num_rows, ROWS_AT_ONCE)):
             at, places, found, words = [], [], [], []
             for row, held in enumerate(encoded_texts_of(rows.column("text"))):
                 lines = [line for line in map(bytes.strip, held.split(b"\n")) if line]
@@ -141,29 +142,30 @@ def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id:
     and ``kept``."""
     docs = docs.drop("n_lines", "n_removed", "kept")
     runs = later_copies(line_table(docs, min_words, doc_id, text, word_bytes), min_words)
-    gone = runs.groupBy("doc", "version").agg(F.collect_set(F.struct("pos", "len")).alias("_runs"))
+    gone = runs.groupBy("doc", "version").agg(F.collect_set(F.struct("pos", "len")).alias("runs"))
     doc, version = _identity(doc_id, text)
-    marked = (
-        docs.withColumns({"_doc": doc, "_version": version})
-        .join(gone, (F.col("_doc") == F.col("doc")) & (F.col("_version") == F.col("version")), "left")
-        .select(*[F.col(f"`{name}`") for name in docs.columns], "_runs")
-    )
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])  # its names cannot clash with those of the join
+    marked = docs.select(doc.alias("doc"), version.alias("version"), row.alias("row")).join(gone, ["doc", "version"], "left").select("row", "runs")
+    at = docs.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            texts, n_lines, n_removed = [], [], []
-            for held, runs in zip(texts_of(rows.column(text)), rows.column("_runs").to_pylist()):
-                lines = held.split("\n")
-                full = [k for k, line in enumerate(lines) if line.strip(WHITE_SPACE)]
-                out = {full[k] for run in runs or () for k in range(run["pos"], run["pos"] + run["len"])}
-                left = "\n".join(line for k, line in enumerate(lines) if k not in out) if out else held
-                texts.append(left if len(out) < len(full) else "")
-                n_lines.append(len(full))
-                n_removed.append(len(out))
-            columns = {name: rows.column(name) for name in rows.schema.names[:-1]}
-            columns[text] = pa.array(texts, pa.string())
-            kept = pa.array(np.array(n_removed) < np.array(n_lines))
-            yield batch(**columns, n_lines=pa.array(n_lines, pa.int64()), n_removed=pa.array(n_removed, pa.int64()), kept=kept)
+            for start in range(0, rows.num_rows, ROWS_AT_ONCE):
+                some = rows.slice(start, ROWS_AT_ONCE)
+                columns = some.column("row").flatten()
+                texts, n_lines, n_removed = [], [], []
+                for held, runs in zip(texts_of(columns[at]), some.column("runs").to_pylist()):
+                    lines = held.split("\n")
+                    full = [k for k, line in enumerate(lines) if line.strip(WHITE_SPACE)]
+                    out = {full[k] for run in runs or () for k in range(run["pos"], run["pos"] + run["len"])}
+                    left = "\n".join(line for k, line in enumerate(lines) if k not in out) if out else held
+                    texts.append(left if len(out) < len(full) else "")
+                    n_lines.append(len(full))
+                    n_removed.append(len(out))
+                columns[at] = pa.array(texts, pa.string())
+                kept = pa.array(np.array(n_removed) < np.array(n_lines))
+                added = [pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()), kept]
+                yield pa.RecordBatch.from_arrays([*columns, *added], names=schema.names)
 
     schema = docs.withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit(True)}).schema
     return marked.mapInArrow(work, schema)

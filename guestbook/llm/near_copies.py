@@ -5,11 +5,13 @@ under as many multipliers. Two texts of similarity s share a band with probabili
 at 0.8, more above. Every candidate link is verified by the exact Jaccard similarity of the two sets. Texts with
 equal sets are one class and are compared once.
 
-Links are verified in two rounds. First each member of a band is compared with the band's smallest member; then,
-only in bands whose members are still in different components, all members of different components whose sizes allow
-the similarity. So every pair that shares a band is compared unless its ends are already connected, and a large group
-of near copies takes one comparison for each member. The second round grows with the square of a group only for texts
-that share bands and are not near.
+Links are verified in two rounds. First each member of a band is compared with the band's smallest member, which
+connects a large group of near copies by one comparison for each member. The second round takes only texts of bands
+whose members are still in different components, and pairs them by prefixes: with its shingles in ascending order of
+how many of these texts have them, a set of n shares one of its first n - ceil(0.8 n) + 1 with every set that is
+similar enough. So texts that share a template, but not 0.8 of their shingles, meet by their rare shingles alone, that
+is mostly not at all; what they have in common is in no prefix. Sizes and places in the prefix leave out pairs that
+cannot reach the similarity any more. Sets are compared row by row in Spark, whatever their sizes.
 
 Defined results: words are parted by ASCII white space and compared without the case of ASCII letters, as in
 ``simhash``; up to five words are one shingle; texts without words are copies of each other. Extra columns are
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 
 from guestbook.llm.batches import batch, encoded_texts_of, narrow
 from guestbook.llm.components import components
-from guestbook.shared import settled
+from guestbook.operators.joins import join_lookup
+from guestbook.shared import drop_tables, settled
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -85,34 +88,51 @@ def _sketches(rows: DataFrame) -> DataFrame:
 
 
 def _sets(rows: DataFrame) -> DataFrame:
-    """(key, shingles) with the hashes of the set as bytes."""
+    """(key, shingles) with the hashes of the set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            held = [shingles(text).tobytes() for text in encoded_texts_of(rows.column("text"))]
-            yield batch(key=rows.column("key"), shingles=pa.array(held, pa.binary()))
-
-    return rows.mapInArrow(work, "key long, shingles binary")
-
+            for at in range(0, rows.num_rows, PART):
+                some = rows.slice(at, PART)
+                held = [shingles(text).view(np.int64) for text in encoded_texts_of(some.column("text"))]
+                yield batch(key=some.column("key"), shingles=pa.array(held, pa.list_(pa.int64())))
 
-def _verified(rows: DataFrame, pairs: DataFrame, similarity: float, name: str) -> DataFrame:
-    """The ``pairs(u, v)`` whose sets are similar enough. The sets are made of the texts that have a pair."""
-    pairs = settled(pairs, f"{name}-candidates")
-    asked = pairs.selectExpr("explode(array(u, v)) as key").distinct()
-    sets = settled(_sets(rows.join(asked, "key", "left_semi")), f"{name}-sets")
+    return rows.mapInArrow(work, "key long, shingles array<long>")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            near = []
-            for a, b in zip(rows.column("a"), rows.column("b")):
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                near.append(both >= similarity * (len(a) + len(b) - both))
-            yield rows.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
 
+def _verified(sets: DataFrame, pairs: DataFrame, similarity: float, name: str) -> DataFrame:
+    """The ``pairs(u, v)`` whose sets are similar enough."""
     left = sets.select(F.col("key").alias("u"), F.col("shingles").alias("a"))
     right = sets.select(F.col("key").alias("v"), F.col("shingles").alias("b"))
-    return settled(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(work, "u long, v long"), name)
+    compared = pairs.join(left.hint("merge"), "u").join(right.hint("merge"), "v")
+    compared = compared.select("u", "v", F.size(F.array_intersect("a", "b")).alias("n_both"), (F.size("a") + F.size("b")).alias("n"))
+    return settled(compared.filter(F.col("n_both") >= similarity * (F.col("n") - F.col("n_both"))).select("u", "v"), name)
+
+
+def _by_prefix(sets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (u, v) of different ``roots(key, root)`` among all that may be similar enough.
+
+    Any order of shingles that is the same for all sets gives all pairs; the ascending one keeps prefixes apart.
+    """
+    each = settled(sets.select("key", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")), "shingle-rows")
+    times = each.groupBy("shingle").agg(F.count("*").alias("times")).filter("times > 1")
+    found = each.hint("merge").join(times, "shingle", "left").withColumn("times", F.coalesce("times", F.lit(1)))
+    order = F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("order")
+    prefix = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-9).cast("int") + 1
+    found = found.groupBy("key", "size").agg(order).select("key", "size", F.posexplode(F.slice("order", F.lit(1), prefix)).alias("at", "o"))
+    found = found.filter("o.times > 1").select("key", "size", "at", F.col("o.shingle").alias("shingle"))
+    found = found.hint("merge").join(roots, "key")
+    ends = found.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("shingle")
+    found = settled(found.hint("merge").join(ends, "shingle", "left_semi"), "prefixes")
+    other = found.selectExpr("shingle", "key as v", "root as v_root", "size as v_size", "at as v_at")
+    both = found.hint("merge").join(other, "shingle").filter("key < v and root <> v_root").filter(_fits(similarity, "size", "v_size"))
+    least = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("size") + F.col("v_size")) - 1e-9)
+    both = both.filter(F.least(F.col("size") - F.col("at"), F.col("v_size") - F.col("v_at")) + F.least("at", "v_at") >= least)
+    return both.select(F.col("key").alias("u"), "v").distinct()
+
+
+def _fits(similarity: float, a: str, b: str) -> str:
+    return f"least({a}, {b}) >= {similarity} * greatest({a}, {b})"
 
 
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY, key: str = "key", text: str = "text") -> DataFrame:
@@ -121,23 +141,25 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, key: str = "key
     rows = narrow(docs, key=key, text=text)
     sketches = settled(_sketches(rows), "sketches")
     classes = settled(sketches.groupBy("d1", "d2").agg(F.min("key").alias("node")), "classes")
-    alone = sketches.join(classes.select(F.col("node").alias("key")), "key", "left_semi")
-    every = alone.select(F.col("key").alias("node"), "size", F.explode("bands").alias("band"))
+    alone = sketches.hint("merge").join(classes.select(F.col("node").alias("key")), "key", "left_semi")
+    every = settled(alone.select(F.col("key").alias("node"), "size", F.explode("bands").alias("band")), "bands")
     shared = every.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last").select("band", "hub")
-    members = settled(every.join(shared, "band"), "band-members")  # a hot band is split by adaptive execution
-    sizes = alone.select(F.col("key").alias("hub"), F.col("size").alias("hub_size"))
-    fits = f"least(size, {{0}}) >= {similarity} * greatest(size, {{0}})"
-    asked = members.filter("node <> hub").select("node", "hub", "size").distinct().join(sizes, "hub")
-    asked = asked.filter(fits.format("hub_size")).selectExpr("hub as u", "node as v")
-    links = _verified(rows, asked, similarity, "hub-links")
+    members = settled(every.hint("merge").join(shared, "band"), "band-members")  # a hot band is split by adaptive execution
+    sizes = members.filter("node = hub").select("hub", F.col("size").alias("hub_size")).distinct()
+    asked = members.filter("node <> hub").select("node", "hub", "size").distinct().hint("merge").join(sizes, "hub")
+    asked = settled(asked.filter(_fits(similarity, "size", "hub_size")).selectExpr("hub as u", "node as v"), "hub-pairs")
+    wanted = asked.selectExpr("explode(array(u, v)) as key").distinct()
+    sets = settled(_sets(join_lookup(rows, wanted, "key", "left_semi", costly=True)), "sets")
+    links = _verified(sets, asked, similarity, "hub-links")
+    drop_tables(every, sets, asked)
     roots = settled(components(links), "hub-components")
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = members.hint("merge").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
-    placed = settled(placed.join(mixed, "band", "left_semi").select("band", "node", "hub", "root", "size"), "mixed-bands")
-    other = placed.selectExpr("band", "node as v", "root as v_root", "size as v_size")
-    apart = placed.join(other, "band").filter("node < v and node <> hub and root <> v_root").filter(fits.format("v_size"))
-    more = _verified(rows, apart.select(F.col("node").alias("u"), "v").distinct(), similarity, "cross-links")
+    open_ends = settled(placed.hint("merge").join(mixed, "band", "left_semi").select(F.col("node").alias("key"), "root").distinct(), "open-ends")
+    sets = settled(_sets(join_lookup(rows, open_ends.select("key"), "key", "left_semi")), "open-sets")
+    more = _verified(sets, settled(_by_prefix(sets, open_ends, similarity), "prefix-pairs"), similarity, "cross-links")
     roots = components(links.unionByName(more))
-    named = classes.join(roots, "node", "left").select("d1", "d2", F.coalesce("root", "node").alias("component"))
+    drop_tables(sets, open_ends, members)
+    named = classes.hint("merge").join(roots, "node", "left").select("d1", "d2", F.coalesce("root", "node").alias("component"))
     # A set with many copies is one row of ``named`` and many of ``sketches``: adaptive execution splits its partition.
     return sketches.select("key", "d1", "d2").hint("merge").join(named, ["d1", "d2"]).select("key", "component")

@@ -71,6 +71,17 @@ def test_chains_odd_texts_and_common_passages_by_brute_force(documents):
     assert got == sorted(enumerate(expected(texts)), key=repr)
 
 
+def test_texts_of_one_template_are_not_compared_in_pairs(documents, monkeypatch):
+    draw, template, compared = random.Random(8), [f"t{i}" for i in range(200)], []
+    texts = [" ".join(template + [f"x{draw.random()}" for _ in range(100)]) for _ in range(400)]
+    texts += [" ".join(copy_at(texts[k].split(" "), 0.82, draw)) for k in range(40)]
+    plain = near_copies._verified
+    monkeypatch.setattr(near_copies, "_verified", lambda sets, pairs, *more: compared.append(pairs.count()) or plain(sets, pairs, *more))
+    got = rows(near_copies.near_copies(documents(list(enumerate(texts))), key="doc_id"))
+    assert got == [(k, k if k < 400 else k - 400) for k in range(440)]
+    assert sum(compared) < 20 * len(texts)
+
+
 def test_the_given_documents_by_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     held = sorted((row.doc_id, row.text) for row in docs.collect())

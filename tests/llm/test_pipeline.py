@@ -7,7 +7,6 @@ import corpus_pipeline
 from guestbook.llm import byte_bpe, language, simhash
 from llm.conftest import ODD
 from llm.test_lines import expected as lines_expected
-from llm.test_simhash import plain_fingerprint, roots
 
 
 def stage(name):
@@ -42,14 +41,6 @@ def test_lines_stage_takes_scripts_without_spaces(spark, documents):
     assert got == [(1, pairs[0][1]), (2, "\n".join(["乙", "丙", "丁", short]))]
 
 
-def test_near_duplicates_stage_by_brute_force(spark):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    held = sorted((row.doc_id, plain_fingerprint(row.text)) for row in docs.collect())
-    links = [(a, b) for a in range(len(held)) for b in range(a) if (held[a][1] ^ held[b][1]).bit_count() <= 4]
-    first = {held[r][0] for r in roots(len(held), links)}
-    assert rows(stage("near-duplicates")(spark, docs, SMALL)) == rows(docs.filter(docs.doc_id.isin(list(first))))
-
-
 def test_near_duplicates_stage_keeps_one_row_of_each_group(spark, documents):
     one, two, three = ("some words that come first " * 9, "quite other words here " * 9, "a third text with nothing shared " * 9)
     repeated = [(7, one)] * 1000
