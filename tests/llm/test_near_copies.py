@@ -78,7 +78,7 @@ def test_texts_of_one_template_are_not_compared_in_pairs(documents, monkeypatch)
     plain = near_copies._verified
     monkeypatch.setattr(near_copies, "_verified", lambda sets, pairs, *more: compared.append(pairs.count()) or plain(sets, pairs, *more))
     got = rows(near_copies.near_copies(documents(list(enumerate(texts))), key="doc_id"))
-    assert got == [(k, k if k < 400 else k - 400) for k in range(440)]
+    assert got == sorted([(k, k if k < 400 else k - 400) for k in range(440)], key=repr)
     assert sum(compared) < 20 * len(texts)
 
 
