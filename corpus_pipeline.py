@@ -9,18 +9,32 @@ reads that order from the files and returns it with the token ids.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guestbook.llm import byte_bpe, language, lines, mixing, near_copies
-from guestbook.shared import settled
+from guestbook.shared import drop_tables, scope, settled
 
 LEAST_SCORE = 0.3
 WORD_BYTES = 16
 
 
+def tidy(stage):
+    """Of the tables that a stage writes, leave those that its result reads."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with scope(spark) as tables:
+            return tables.keep(stage(spark, docs, sf_dir))
+
+    return run_stage
+
+
+@tidy
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in a language learned from the labelled ones that are not held out; ``und`` and
     scores under ``LEAST_SCORE`` are rejected. The columns stay as they are."""
@@ -30,6 +44,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.filter(kept).select(*docs.columns)
 
 
+@tidy
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of repeated runs of lines with four words or ``WORD_BYTES`` bytes for each of
     them; documents of which nothing is left go."""
@@ -37,6 +52,7 @@ def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.filter("kept").withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
+@tidy
 def deduplicate_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first row of every group of near-duplicates: by doc_id, a null one last, then by the row's own key, so
     that repeated rows, rows that share an id and rows without one leave one row too."""
@@ -48,12 +64,14 @@ def deduplicate_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return keyed.join(settled(first, "first-of-group"), "_key", "left_semi").select(*docs.columns)
 
 
+@tidy
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the schedule: sources by the square roots of their sizes."""
     placed = settled(mixing.mixed(docs), "mixed")
     return mixing.in_order(placed).select(*docs.columns)
 
 
+@tidy
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the place of its row in the files: (part, row) is the training order."""
     try:
@@ -80,5 +98,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = settled(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scope(spark) as tables:  # what a stage writes for itself goes with it
+            done = tables.keep(settled(stage(spark, docs, sf_dir), f"stage-{name}"))
+        drop_tables(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
