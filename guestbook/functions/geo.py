@@ -63,6 +63,19 @@ def home_cell(lat: Column, lng: Column, side: float) -> Column:
     return F.struct(band.alias("band"), F.pmod(F.floor((lng + 180) / 360 * cells), cells).alias("slot"))
 
 
+def wholly_within(lat: Column, lng: Column, band: Column, slot: Column, side: float, metres: float) -> Column:
+    """Whether every point of a grid cell is surely within ``metres``: its corners are, and it does not reach round to
+    the far side of the globe, where its inside can be farther away than its corners."""
+    step = math.degrees(side / EARTH_RADIUS)
+    cells = _cells_around(band, step)
+    south, west, width = band * step - 90, slot / cells * 360 - 180, 360 / cells
+    near = (cells >= 8) & (F.abs(F.pmod(west + width / 2 - lng + 540, F.lit(360)) - 180) < 90)
+    for corner_lat in (F.greatest(south, F.lit(-90.0)), F.least(south + step, F.lit(90.0))):
+        for corner_lng in (west, west + width):
+            near = near & (haversine(lat, lng, corner_lat, corner_lng) <= metres * (1 - SLACK))
+    return near
+
+
 def reached_cells(lat: Column, lng: Column, side: float, metres: float) -> Column:
     """Array of every grid cell that can hold a point within ``metres``, poles and date line included."""
     step = math.degrees(side / EARTH_RADIUS)

@@ -54,6 +54,13 @@ def kept_words(text: Column, stop_words: Sequence[str] = ()) -> Column:
     return F.filter(words(text), lambda word: ~word.isin(drop))
 
 
+def grams(text: Column, size: Column) -> Column:
+    """All runs of ``size`` characters in a text, in order; none in a shorter text, and one empty run of size 0."""
+    places = F.greatest(F.length(text) - size + 1, F.lit(0))
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(places, F.lit(1))), lambda at: F.substring(text, at, size))
+    return F.when(places == 0, F.array().cast("array<string>")).when(size == 0, F.array(F.lit(""))).otherwise(runs)
+
+
 def without_reasoning(text: Column) -> Column:
     """Text without its first reasoning block; other texts stay as they are.
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guestbook.functions.geo import distance_band, haversine, home_cell, near_box, reached_cells
+from guestbook.functions.geo import distance_band, haversine, home_cell, near_box, reached_cells, wholly_within
+from guestbook.functions.labels import year_month
 from guestbook.operators.joins import BROADCAST_BYTES, join_lookup
 from guestbook.operators.scores import monthly_trend, reputation
 from guestbook.schema import REVIEWS, Columns
@@ -145,3 +146,67 @@ def neighbour_trend(
     near = nearby_reviews(df, lat, lng, max_distance, c)
     several = near.agg(F.min(c.entity) != F.max(c.entity)).scalar()
     return monthly_trend(near, c).filter(several)
+
+
+CELLS_A_RADIUS = 4
+
+
+def surroundings_trend(
+    df: DataFrame, max_distance: float = 1000, c: Columns = REVIEWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """For every position of an entity that has neighbours, the monthly mean score of all reviews within
+    ``max_distance`` metres (its own among them), their number, and the mean of its own reviews there.
+
+    Reviews are first summed by position and month, and these sums by grid cell. An entity takes a cell that lies
+    wholly within its circle as one sum; only in the cells that the circle's edge crosses are positions measured, each
+    once however many entities and reviews it has. Entities at one position ask once.
+    """
+    side = max_distance / CELLS_A_RADIUS
+    month = year_month(F.col(c.date)).alias("YearMonth")
+    placed = df.filter(F.col(c.lat).isNotNull() & F.col(c.lng).isNotNull())
+    sums = [F.sum(c.score).alias("_sum"), F.count(c.score).alias("_scored"), F.count("*").alias("_reviews")]
+    own = placed.groupBy(F.col(c.entity).alias("_entity"), F.col(c.lat).alias("_lat"), F.col(c.lng).alias("_lng"), month).agg(*sums)
+    own = settled(own, "own-months")
+    more = [F.sum(name).alias(name) for name in ("_sum", "_scored", "_reviews")]
+    spots = own.groupBy("_lat", "_lng", "YearMonth").agg(*more)
+    spots = spots.withColumn("_cell", home_cell(F.col("_lat"), F.col("_lng"), side)).select("*", "_cell.band", "_cell.slot").drop("_cell")
+    spots = settled(spots, "spot-months")
+    cells = spots.groupBy("band", "slot", "YearMonth").agg(*more)
+    checked = neighbour_check(df, max_distance, c, max_bytes).filter("has_neighbours")
+    asking = settled(checked.select(F.col(c.lat).alias("_from_lat"), F.col(c.lng).alias("_from_lng")).distinct(), "asking")
+    reached = asking.withColumn("_cell", F.explode(reached_cells(F.col("_from_lat"), F.col("_from_lng"), side, max_distance)))
+    reached = reached.select("_from_lat", "_from_lng", "_cell.band", "_cell.slot")
+    filled = spots.select("band", "slot").distinct()
+    reached = join_lookup(reached, filled, ["band", "slot"], "left_semi", costly=True, max_bytes=max_bytes)
+    inside = wholly_within(F.col("_from_lat"), F.col("_from_lng"), F.col("band"), F.col("slot"), side, max_distance)
+    reached = settled(reached.withColumn("_inside", F.coalesce(inside, F.lit(False))), "reached-cells")
+    whole = join_lookup(reached.filter("_inside"), cells, ["band", "slot"], costly=True, max_bytes=max_bytes)
+    places = spots.select("band", "slot", "_lat", "_lng").distinct()
+    edge = join_lookup(reached.filter("not _inside"), places, ["band", "slot"], costly=True, max_bytes=max_bytes)
+    edge = edge.filter(haversine(F.col("_from_lat"), F.col("_from_lng"), F.col("_lat"), F.col("_lng")) <= max_distance)
+    edge = join_lookup(edge.drop("band", "slot"), spots.drop("band", "slot"), ["_lat", "_lng"], max_bytes=max_bytes)
+    found = ["_from_lat", "_from_lng", "YearMonth", "_sum", "_scored", "_reviews"]
+    around = whole.select(*found).unionByName(edge.select(*found)).groupBy("_from_lat", "_from_lng", "YearMonth").agg(*more)
+    around = around.select(
+        F.col("_from_lat").alias("_lat"),
+        F.col("_from_lng").alias("_lng"),
+        "YearMonth",
+        F.try_divide("_sum", "_scored").alias("surroundings_score"),
+        F.col("_reviews").alias("surroundings_reviews"),
+    )
+    named = checked.select(F.col(c.entity).alias("_entity"), F.col(c.lat).alias("_lat"), F.col(c.lng).alias("_lng"))
+    found = join_lookup(named, around, ["_lat", "_lng"], costly=True, max_bytes=max_bytes)
+    own = own.select("_entity", "_lat", "_lng", "YearMonth", F.try_divide("_sum", "_scored").alias("own_score"))
+    # Months without a date are months too; positions and names are never null here.
+    both = (F.col("f.YearMonth").eqNullSafe(F.col("o.YearMonth"))) & (F.col("f._entity") == F.col("o._entity"))
+    both = both & (F.col("f._lat") == F.col("o._lat")) & (F.col("f._lng") == F.col("o._lng"))
+    compared = found.alias("f").hint("merge").join(own.alias("o"), both, "left")
+    return compared.select(
+        F.col("f._entity").alias(c.entity),
+        F.col("f._lat").alias(c.lat),
+        F.col("f._lng").alias(c.lng),
+        "f.YearMonth",
+        "own_score",
+        "surroundings_score",
+        "surroundings_reviews",
+    )

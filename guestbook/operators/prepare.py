@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from guestbook.functions.fixed_values import CITIES
 from guestbook.functions.parsing import cities_of, first_number, in_city, repaired_address, tag_list, us_date, whole_number
+from guestbook.functions.text import grams
 from guestbook.operators.joins import BROADCAST_BYTES, join_lookup, measured_bytes
 from guestbook.schema import DOUBLE_COLUMNS, INT_COLUMNS, REVIEWS, Columns
+from guestbook.shared import settled
 
 
 def typed_reviews(raw: DataFrame) -> DataFrame:
@@ -46,10 +48,12 @@ def unique_gazetteer(gazetteer: DataFrame) -> DataFrame:
     )
 
 
-def located_addresses(addresses: DataFrame, gazetteer: DataFrame, c: Columns = REVIEWS) -> DataFrame:
+def located_addresses(
+    addresses: DataFrame, gazetteer: DataFrame, c: Columns = REVIEWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Look each (distinct) address up under its repaired spelling; unknown ones get NULL coordinates."""
     spelled = addresses.withColumn("address", repaired_address(F.col(c.address)))
-    return spelled.join(unique_gazetteer(gazetteer), "address", "left").select(
+    return join_lookup(spelled, unique_gazetteer(gazetteer), "address", "left", costly=True, max_bytes=max_bytes).select(
         c.address, F.col("g_lat").alias("lat_f"), F.col("g_lng").alias("lng_f")
     )
 
@@ -70,7 +74,7 @@ def fill_coordinates(
         joined = df.withColumn(key, F.when(lacks_coordinates(c), address)).join(F.broadcast(lookup), key, "left")
     else:
         key, address = "_address", F.col(c.address)
-        lookup = located_addresses(addresses_without_coordinates(df, c), gazetteer, c).select(
+        lookup = located_addresses(addresses_without_coordinates(df, c), gazetteer, c, max_bytes).select(
             F.col(c.address).alias(key), F.col("lat_f").alias("_lat_f"), F.col("lng_f").alias("_lng_f")
         )
         lookup = lookup.filter(F.col("_lat_f").isNotNull() | F.col("_lng_f").isNotNull())
@@ -101,3 +105,42 @@ def reviews_in_city(df: DataFrame, city: str, c: Columns = REVIEWS) -> DataFrame
 def reviews_by_city(df: DataFrame, cities: tuple[str, ...] = CITIES, c: Columns = REVIEWS) -> DataFrame:
     """One row per review and city of the list that its address names."""
     return df.withColumn("city", F.explode(cities_of(F.col(c.address), cities)))
+
+
+CITY_GRAM = 4
+
+
+def cities_in_addresses(
+    addresses: DataFrame, cities: DataFrame, c: Columns = REVIEWS, gram: int = CITY_GRAM, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """(address, city) for every distinct address and every city of ``cities(city)`` that it names.
+
+    A name can only be in an address that has all its grams of ``gram`` characters. Of these the one that the fewest
+    addresses have is the key under which a name is joined with the addresses; what meets there is then searched for
+    the whole name. So a list of any length takes an equi join, and no address is held against all names. A shorter
+    name is its own gram; an empty one is in every address.
+    """
+    texts = settled(addresses.select(F.col(c.address).alias("_text")).filter(F.col("_text").isNotNull()).distinct(), "addresses")
+    names = cities.select(F.col("city")).filter(F.col("city").isNotNull()).distinct()
+    names = settled(names.withColumn("_size", F.least(F.length("city"), F.lit(gram))), "city-names")
+    sizes = sorted(row._size for row in names.select("_size").distinct().collect())  # at most gram + 1
+    own = names.select("city", "_size", F.explode(F.array_distinct(grams(F.col("city"), F.col("_size")))).alias("_gram"))
+    every = F.array_distinct(F.flatten(F.array(*[grams(F.col("_text"), F.lit(size)) for size in sizes] or [F.array().cast("array<string>")])))
+    of_text = texts.select("_text", F.explode(every).alias("_gram"))
+    wanted = own.select("_gram").distinct()
+    held = settled(join_lookup(of_text, wanted, "_gram", "left_semi", costly=True, max_bytes=max_bytes), "address-grams")
+    times = join_lookup(own, held.groupBy("_gram").agg(F.count("*").alias("_times")), "_gram", "left", costly=True, max_bytes=max_bytes)
+    times = times.withColumn("_times", F.coalesce("_times", F.lit(0)))
+    keys = times.groupBy("city").agg(F.min(F.struct("_times", "_gram")).alias("_key")).filter("_key._times > 0")
+    keys = keys.select("city", F.col("_key._gram").alias("_gram"))
+    found = join_lookup(held, keys, "_gram", costly=True, max_bytes=max_bytes).filter(F.contains("_text", "city"))
+    return found.select(F.col("_text").alias(c.address), "city")
+
+
+def reviews_by_listed_city(
+    df: DataFrame, cities: DataFrame, c: Columns = REVIEWS, gram: int = CITY_GRAM, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """One row per review and city of the table ``cities(city)`` that its address names."""
+    found = cities_in_addresses(df, cities, c, gram, max_bytes)
+    named = found.groupBy(c.address).agg(F.collect_list("city").alias("city"))
+    return join_lookup(df, named, c.address, costly=True, max_bytes=max_bytes).withColumn("city", F.explode("city")).select(*df.columns, "city")

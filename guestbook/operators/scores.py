@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from guestbook.functions.fixed_values import POSITIVE_SCORE
@@ -10,6 +10,7 @@ from guestbook.functions.labels import trend_label, year_month
 from guestbook.operators.joins import BROADCAST_BYTES, join_lookup
 from guestbook.operators.topk import first_k_per_group
 from guestbook.schema import REVIEWS, Columns
+from guestbook.shared import settled
 
 
 def review_length(df: DataFrame, c: Columns = REVIEWS) -> DataFrame:
@@ -49,6 +50,37 @@ def entity_reputation(df: DataFrame, entity: str, recent_reviews: int = 30, c: C
     return reputation(of_entity(df, entity, c), recent_reviews, c)
 
 
+def moving_reputation(df: DataFrame, recent_reviews: int = 30, c: Columns = REVIEWS) -> DataFrame:
+    """For every review, the mean score of the newest ``recent_reviews`` of its entity up to that review.
+
+    Rows are sorted by entity and age over all partitions, so that an entity with much of the table fills as many
+    partitions as its rows need. The frame of a partition's last rows reaches into the partitions after it: their
+    first rows are handed back to it (the halo), and a window over one partition's part of an entity sees all it needs.
+    Where a partition's rows begin is known from one count for each.
+    """
+    halo, order = recent_reviews - 1, [F.desc(c.date), *[F.col(name) for name in c.key]]
+    columns = list(dict.fromkeys([c.entity, c.date, c.score, *c.key]))
+    placed = df.select(*columns).repartitionByRange(F.col(c.entity), *order).sortWithinPartitions(F.col(c.entity), *order)
+    at = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    placed = settled(placed.withColumns({"_part": F.spark_partition_id(), "_at": at}), "by-age")
+    sizes = sorted((row["_part"], row["n"]) for row in placed.groupBy("_part").agg(F.count("*").alias("n")).collect())
+    handed = []
+    for k, (part, _) in enumerate(sizes):
+        left = halo
+        for later, n in sizes[k + 1 :]:
+            if left <= 0:
+                break
+            handed.append((later, part, left))
+            left -= n
+    halos = df.sparkSession.createDataFrame(handed, "_part int, _to int, _rows int")
+    heads = placed.filter(F.col("_at") < halo).join(F.broadcast(halos), "_part").filter("_at < _rows")
+    heads = heads.select(*columns, F.col("_to").alias("_part"), F.lit(True).alias("_lent"))
+    frame = Window.partitionBy("_part", c.entity).orderBy(*order).rowsBetween(0, halo)
+    both = placed.select(*columns, "_part", F.lit(False).alias("_lent")).unionByName(heads)
+    moving = both.withColumn("avg_recent_score", F.avg(c.score).over(frame))
+    return moving.filter(~F.col("_lent")).select(*columns, "avg_recent_score")
+
+
 def with_trend(reputations: DataFrame) -> DataFrame:
     """Add the direction; a difference that rounds to 0 counts as worsening."""
     return reputations.withColumn("trend", trend_label(F.col("score_difference")))

@@ -31,6 +31,7 @@ from guestbook.operators.joins import BROADCAST_BYTES, join_lookup
 from guestbook.operators.prepare import with_total_review
 from guestbook.operators.scores import of_entity
 from guestbook.schema import REVIEWS, Columns
+from guestbook.shared import settled
 
 # Of a judged review, what the review rule needs besides the two classes.
 RULE = ("_pos_strong", "_neg_strong", "_pos_length", "_neg_length")
@@ -196,23 +197,41 @@ def _combined(positive_class: Column, negative_class: Column) -> Column:
 
 
 def _normalised(
-    df: DataFrame, keep: Sequence[str], texts: Sequence[str], stop_words: Sequence[str], lemmas: DataFrame | None, max_bytes: int
+    df: DataFrame,
+    keep: Sequence[str],
+    texts: Sequence[str],
+    stop_words: Sequence[str],
+    lemmas: DataFrame | None,
+    max_bytes: int,
+    splits: DataFrame | None = None,
 ) -> DataFrame:
     """The ``keep`` columns, which must identify a review, and the texts plain, without stop words, each word
-    as its lemma."""
-    if lemmas is None:
+    as its lemma. With tables to look words up in, reviews are dealt out once as they are; lookups that fit a broadcast
+    leave a review's words in their task, where they come together again."""
+    if lemmas is None and splits is None:
         plain = {
             name: F.array_join(kept_words(plain_text(F.col(name)), stop_words), " ") if stop_words else plain_text(F.col(name))
             for name in texts
         }
         return df.select(*keep, *[plain[name].alias(name) for name in texts])
-    sides = F.array(*[F.struct(F.lit(n).alias("side"), kept_words(plain_text(F.col(name)), stop_words).alias("words")) for n, name in enumerate(texts)])
-    listed = df.select(*keep, F.explode(sides).alias("_side")).select(*keep, "_side.side", "_side.words")
-    tokens = listed.select(*keep, "side", F.posexplode_outer("words").alias("_at", "form"))
-    found = join_lookup(tokens, lemmas.select("form", "lemma"), "form", "left", max_bytes=max_bytes)
+    first = stop_words if splits is None else ()
+    sides = F.array(*[F.struct(F.lit(n).alias("side"), kept_words(plain_text(F.col(name)), first).alias("words")) for n, name in enumerate(texts)])
+    listed = df.select(*keep, *texts).repartition(*keep).select(*keep, F.explode(sides).alias("_side"))
+    tokens = listed.select(*keep, "_side.side", F.posexplode_outer("_side.words").alias("_at", "form"))
+    place = ["side", "_at"]
+    if splits is not None:
+        found = join_lookup(tokens, splits.select("form", F.col("words").alias("_pieces")), "form", "left", max_bytes=max_bytes)
+        pieces = F.posexplode(F.coalesce("_pieces", F.array("form"))).alias("_piece", "form")
+        tokens, place = found.select(*keep, *place, pieces), [*place, "_piece"]
+        if stop_words:  # a review keeps a row when all its words go
+            tokens = tokens.withColumn("form", F.when(~F.col("form").isin(list(stop_words)), F.col("form")))
+    word = F.col("form")
+    if lemmas is not None:
+        tokens = join_lookup(tokens, lemmas.select("form", "lemma"), "form", "left", max_bytes=max_bytes)
+        word = F.coalesce("lemma", "form")
     # One review's words come together here, never more.
-    spoken = F.array_sort(F.collect_list(F.struct("side", "_at", F.coalesce("lemma", "form").alias("word"))))
-    gathered = found.groupBy(*keep).agg(spoken.alias("_words"))
+    spoken = F.array_sort(F.collect_list(F.struct(*place, word.alias("word"))))
+    gathered = tokens.groupBy(*keep).agg(spoken.alias("_words"))
 
     def side(n: int) -> Column:
         mine = F.filter("_words", lambda word: word["side"] == n)
@@ -221,6 +240,17 @@ def _normalised(
     return gathered.select(*keep, *[side(n).alias(name) for n, name in enumerate(texts)])
 
 
+def lemma_valences(lexicon: DataFrame, lemmas: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``lexicon(word, valence)`` for forms as they stand in a text: a form of ``lemmas(form, lemma)`` has the valence of
+    its lemma, or the sum over its words, and any other word its own."""
+    named = lexicon.select("word", F.col("word").alias("lemma"), F.lit(0).alias("_is_form"))
+    named = named.unionByName(lemmas.select(F.col("form").alias("word"), "lemma", F.lit(1).alias("_is_form")))
+    named = named.groupBy("word").agg(F.max_by("lemma", "_is_form").alias("lemma"))
+    pieces = named.select("word", F.explode(words(F.lower("lemma"))).alias("_lemma"))
+    valued = join_lookup(pieces, lexicon.select(F.col("word").alias("_lemma"), F.col("valence").cast("double").alias("valence")), "_lemma", max_bytes=max_bytes)
+    return settled(valued.groupBy("word").agg(F.sum("valence").alias("valence")), "lemma-valences")
+
+
 def review_sentiment(
     df: DataFrame,
     lexicon: DataFrame,
@@ -233,9 +263,12 @@ def review_sentiment(
 ) -> DataFrame:
     """Class -1/0/1 of every review: entity, key, ``sentiment_value`` and ``sentiment``.
 
-    Texts are classed after stop words went and ``lemmas(form, lemma)`` replaced their forms.
+    Texts are classed after stop words went and ``lemmas(form, lemma)`` replaced their forms. Where no word modifies
+    another, the lemmas are looked up in the lexicon instead of in the texts, whose words then stay where they are.
     """
     keep = [c.entity, *c.key, *RULE]
+    if lemmas is not None and not rules.get("negations") and not rules.get("boosters"):
+        lexicon, lemmas = lemma_valences(lexicon, lemmas, max_bytes), None
     judged = _normalised(_judged(df, strong_words, c), keep, ["_pos", "_neg"], stop_words, lemmas, max_bytes)
     totals = review_valences(
         judged, keep, {"_p": "_pos", "_n": "_neg"}, lexicon, punctuated=False, max_bytes=max_bytes, **rules
@@ -316,14 +349,16 @@ def normalised_texts(
     lemmas: DataFrame | None = None,
     c: Columns = REVIEWS,
     max_bytes: int = BROADCAST_BYTES,
+    splits: DataFrame | None = None,
 ) -> DataFrame:
     """Key of each review and its plain texts without stop words, each word as its lemma.
 
-    ``lemmas(form, lemma)`` has one row per form; a form that is not in it stays as it is. Words are parted by
-    single spaces, and an empty text stays empty.
+    ``lemmas(form, lemma)`` has one row per form; a form that is not in it stays as it is. ``splits(form, words)`` has
+    forms that stand for several words ("cannot"); these take the form's place, in their order, before stop words go.
+    Words are parted by single spaces, and an empty text stays empty.
     """
     texts = [texts] if isinstance(texts, str) else list(texts)
-    if lemmas is None:
+    if lemmas is None and splits is None:
         plain = [F.array_join(kept_words(plain_text(F.col(name)), stop_words), " ").alias(name) for name in texts]
         return df.select(*c.key, *plain)
-    return _normalised(df, list(c.key), texts, stop_words, lemmas, max_bytes)
+    return _normalised(df, list(c.key), texts, stop_words, lemmas, max_bytes, splits)

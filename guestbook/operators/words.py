@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guestbook.functions.fixed_values import DESCRIPTIVE_POS
+from guestbook.operators.joins import BROADCAST_BYTES, join_lookup
 from guestbook.operators.topk import first_k_per_group
 from guestbook.schema import REVIEWS, Columns
 
@@ -15,7 +16,9 @@ def descriptive_words(lexicon: DataFrame) -> DataFrame:
     return lexicon.filter(F.col("pos").isin(*DESCRIPTIVE_POS)).select("word")
 
 
-def _word_scores(df: DataFrame, texts: dict[str, str], lexicon: DataFrame, min_frequency: int, c: Columns) -> DataFrame:
+def _word_scores(
+    df: DataFrame, texts: dict[str, str], lexicon: DataFrame, min_frequency: int, c: Columns, max_bytes: int
+) -> DataFrame:
     """Aggregate first, look words up afterwards: the lexicon meets each frequent word once, not each token,
     and a word that fills a third of the table is already one row per input partition when it is shuffled."""
     sides = F.array(*[F.struct(F.lit(side).alias("polarity"), F.col(name).alias("text")) for side, name in texts.items()])
@@ -28,38 +31,44 @@ def _word_scores(df: DataFrame, texts: dict[str, str], lexicon: DataFrame, min_f
         )
         .filter(F.col("word") != "")
     )
-    return (
+    frequent = (
         tokens.groupBy("polarity", "word")
         .agg(F.avg(c.score).alias("avg_score"), F.count("word").alias("word_count"))
         .filter(F.col("word_count") >= min_frequency)
-        .join(descriptive_words(lexicon), "word", "left_semi")
-        .select("polarity", "word", "avg_score", "word_count")
     )
+    found = join_lookup(frequent, descriptive_words(lexicon), "word", "left_semi", max_bytes=max_bytes)
+    return found.select("polarity", "word", "avg_score", "word_count")
 
 
-def positive_words(df: DataFrame, lexicon: DataFrame, min_frequency: int = 1000, c: Columns = REVIEWS) -> DataFrame:
+def positive_words(
+    df: DataFrame, lexicon: DataFrame, min_frequency: int = 1000, c: Columns = REVIEWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Words of the positive texts, best mean score first."""
-    scores = _word_scores(df, {"positive": c.positive_text}, lexicon, min_frequency, c).drop("polarity")
+    scores = _word_scores(df, {"positive": c.positive_text}, lexicon, min_frequency, c, max_bytes).drop("polarity")
     return scores.orderBy(F.desc("avg_score"), "word")
 
 
-def negative_words(df: DataFrame, lexicon: DataFrame, min_frequency: int = 1000, c: Columns = REVIEWS) -> DataFrame:
+def negative_words(
+    df: DataFrame, lexicon: DataFrame, min_frequency: int = 1000, c: Columns = REVIEWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Words of the negative texts, worst mean score first."""
-    scores = _word_scores(df, {"negative": c.negative_text}, lexicon, min_frequency, c).drop("polarity")
+    scores = _word_scores(df, {"negative": c.negative_text}, lexicon, min_frequency, c, max_bytes).drop("polarity")
     return scores.orderBy("avg_score", "word")
 
 
-def word_scores(df: DataFrame, lexicon: DataFrame, min_frequency: int = 1000, c: Columns = REVIEWS) -> DataFrame:
+def word_scores(
+    df: DataFrame, lexicon: DataFrame, min_frequency: int = 1000, c: Columns = REVIEWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Both word tables in one scan, told apart by ``polarity``."""
-    return _word_scores(df, {"positive": c.positive_text, "negative": c.negative_text}, lexicon, min_frequency, c)
+    return _word_scores(df, {"positive": c.positive_text, "negative": c.negative_text}, lexicon, min_frequency, c, max_bytes)
 
 
 def top_words(
-    df: DataFrame, lexicon: DataFrame, n: int = 20, min_frequency: int = 100, c: Columns = REVIEWS
+    df: DataFrame, lexicon: DataFrame, n: int = 20, min_frequency: int = 100, c: Columns = REVIEWS, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """The n best words of the positive texts and the n worst of the negative ones, from one scan.
 
     The rank runs over the small table of frequent words, of which Spark keeps n before the shuffle.
     """
     best_first = F.when(F.col("polarity") == "positive", -F.col("avg_score")).otherwise(F.col("avg_score"))
-    return first_k_per_group(word_scores(df, lexicon, min_frequency, c), ["polarity"], [best_first, "word"], n)
+    return first_k_per_group(word_scores(df, lexicon, min_frequency, c, max_bytes), ["polarity"], [best_first, "word"], n)

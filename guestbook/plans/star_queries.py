@@ -16,6 +16,7 @@ from guestbook.plans.relations import (
     poi_values_sql,
     reviews,
     star_sql,
+    table,
 )
 from guestbook.schema import REVIEW_COLUMNS
 from guestbook.shared import new_table_path
@@ -362,6 +363,24 @@ def _(spark, sf_dir):
     return scores.reputation(reviews(spark, sf_dir, *DATED), recent_reviews=2000, c=STAR)
 
 
+@query(
+    "q4_moving_reputation",
+    f"""{star(*DATED)} select {KEY}, Hotel_Name, Reviewer_Score, avg(Reviewer_Score) over (partition by Hotel_Name
+      order by {NEWEST} rows between current row and 29 following) as avg_recent_score from r""",
+)
+def _(spark, sf_dir):
+    return scores.moving_reputation(reviews(spark, sf_dir, *DATED), c=STAR).drop("Review_Date")
+
+
+@query(
+    "q4_moving_reputation_of_many_recent",
+    f"""{star(*DATED)} select {KEY}, Hotel_Name, Reviewer_Score, avg(Reviewer_Score) over (partition by Hotel_Name
+      order by {NEWEST} rows between current row and 1999 following) as avg_recent_score from r""",
+)
+def _(spark, sf_dir):
+    return scores.moving_reputation(reviews(spark, sf_dir, *DATED), recent_reviews=2000, c=STAR).drop("Review_Date")
+
+
 @query("q4s_entity_reputation", f"{REPUTATION} select * from rep where Hotel_Name = '{ONE_ENTITY}'")
 def _(spark, sf_dir):
     return scores.entity_reputation(reviews(spark, sf_dir, *DATED), ONE_ENTITY, c=STAR)
@@ -587,3 +606,43 @@ def _(spark, sf_dir):
 @query("q13b_close_neighbour_check", neighbours_sql(150))
 def _(spark, sf_dir):
     return geo.neighbour_check(reviews(spark, sf_dir, *PLACED), 150, max_bytes=0)
+
+
+def surroundings_sql(metres: int) -> str:
+    near = distance_sql("a.lat", "a.lng", "b.lat", "b.lng")
+    return f"""{star(*PLACED, "Review_Date", "Reviewer_Score")},
+    p as (select lat, lng, Hotel_Name, strftime(Review_Date, '%Y-%m') as YearMonth, sum(Reviewer_Score) as s, count(*) as n
+      from r where lat is not null and lng is not null group by all),
+    e as (select distinct Hotel_Name, lat, lng from p),
+    a as (select a.Hotel_Name, a.lat, a.lng, b.YearMonth, sum(b.s) / sum(b.n) as surroundings_score,
+        cast(sum(b.n) as bigint) as surroundings_reviews
+      from e a join p b on {near} <= {metres}
+      where exists (select 1 from e x where x.Hotel_Name <> a.Hotel_Name and {near.replace("b.", "x.")} <= {metres}) group by all)
+    select a.*, p.s / p.n as own_score from a left join p on p.Hotel_Name = a.Hotel_Name and p.lat = a.lat and p.lng = a.lng
+      and p.YearMonth = a.YearMonth"""
+
+
+@query("q13b_surroundings_trend", surroundings_sql(1000))
+def _(spark, sf_dir):
+    return geo.surroundings_trend(reviews(spark, sf_dir, *PLACED, "Review_Date", "Reviewer_Score"))
+
+
+@query("q13b_close_surroundings_trend", surroundings_sql(150))
+def _(spark, sf_dir):
+    return geo.surroundings_trend(reviews(spark, sf_dir, *PLACED, "Review_Date", "Reviewer_Score"), 150, max_bytes=0)
+
+
+CITY_TABLE = "select r_name as city from region union select s_name from supplier union select right(s_name, 3) from supplier"
+
+
+@query(
+    "p11_reviews_by_city_table",
+    f"""{star("Hotel_Address", "Reviewer_Score")}, cities as ({CITY_TABLE})
+    select city, count(*) as reviews, avg(Reviewer_Score) as avg_score from r join cities on contains(Hotel_Address, city)
+    group by city""",
+)
+def _(spark, sf_dir):
+    names = {name: table(spark, sf_dir, name) for name in ("region", "supplier")}
+    cities = spark.sql(CITY_TABLE.replace("from region", "from {region}").replace("from supplier", "from {supplier}"), **names)
+    named = prepare.reviews_by_listed_city(reviews(spark, sf_dir, "Hotel_Address", "Reviewer_Score"), cities)
+    return named.groupBy("city").agg(F.count("*").alias("reviews"), F.avg("Reviewer_Score").alias("avg_score"))

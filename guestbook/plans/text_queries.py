@@ -325,6 +325,29 @@ def _(spark, sf_dir):
     return sentiment.normalised_texts(df, ["Positive_Review", "Negative_Review"], STOP_WORDS, lex, TEXT)
 
 
+# Long words of the lexicon stand for two: their first four letters, of which some are stop words, and the rest.
+SPLIT_SQL = """splits as (select word as form, [substring(word, 1, 4), substring(word, 5)] as pieces from lex where length(word) >= 7)"""
+
+
+@query(
+    "q9a_normalised_split_forms",
+    f"""{TR}, {SPLIT_SQL},
+    w as (select doc_id, side, unnest(ws) as form, generate_subscripts(ws, 1) as ix
+      from (select doc_id, side, string_split_regex({plain_sql("t")}, '[{SPACE}]+') as ws from ({SIDES}))),
+    x as (select doc_id, side, ix, unnest(coalesce(pieces, [w.form])) as form,
+        generate_subscripts(coalesce(pieces, [w.form]), 1) as sub from w left join splits on splits.form = w.form where w.form <> ''),
+    n as (select doc_id, side, string_agg(coalesce(lemma, form), ' ' order by ix, sub) as t from x left join lex on word = form
+      where form not in ('the', 'of', 'and', 'stat') group by 1, 2)
+    select r.doc_id, coalesce(max(t) filter (where side = 'p'), '') as Positive_Review,
+      coalesce(max(t) filter (where side = 'n'), '') as Negative_Review from r left join n using (doc_id) group by 1""",
+)
+def _(spark, sf_dir):
+    df, lex = text_reviews(spark, sf_dir), lexicon(spark, sf_dir)
+    splits = lex.filter("length(word) >= 7").selectExpr("word as form", "array(substring(word, 1, 4), substring(word, 5)) as words")
+    stop = [*STOP_WORDS, "stat"]
+    return sentiment.normalised_texts(df, ["Positive_Review", "Negative_Review"], stop, lex, TEXT, splits=splits)
+
+
 @query(
     "q9b_review_sentiment",
     f"""{TR}, {review_rule_sql(LEXICON_CLASSES)}

@@ -122,3 +122,51 @@ def test_nearby_reputation_sees_all_reviews_of_an_entity(spark):
     ).withColumn("Review_Date", F.lit("2017-03-01").cast("date"))
     for max_bytes in (1 << 25, 0):
         assert rows(geo.nearby_reputation(df, 45.0, 9.0, c=C, max_bytes=max_bytes)) == [("a", 6.0, 6.0, 0.0)]
+
+
+def plain_surroundings(points, radius):
+    """(entity, lat, lng, month, own mean, mean around, reviews around) by measuring every pair."""
+    out, spots = [], sorted({(name, lat, lng) for name, lat, lng, _, _ in points})
+    for name, lat, lng in spots:
+        near = [p for p in points if metres(lat, lng, p[1], p[2]) <= radius]
+        if len({p[0] for p in near}) < 2:
+            continue
+        for month in {p[3][:7] for p in near}:
+            around = [p[4] for p in near if p[3][:7] == month]
+            own = [p[4] for p in near if p[3][:7] == month and p[:3] == (name, lat, lng)]
+            mean = [sum(x for x in held if x is not None) / n if (n := sum(x is not None for x in held)) else None for held in (own, around)]
+            out.append((name, lat, lng, month, *mean, len(around)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("max_bytes", [0, 1 << 25])
+def test_surroundings(spark, centre, max_bytes):
+    rng = random.Random(5)
+    places = cloud(6, *centre, 0.03, 60)
+    points = [(*rng.choice(places), f"2017-0{rng.randint(1, 3)}-1{rng.randint(0, 9)}", rng.choice([2.5, 5.0, 9.0, None])) for _ in range(400)]
+    df = spark.createDataFrame(points + [("gone", None, 1.0, "2017-01-01", 5.0)], "Hotel_Name string, lat double, lng double, day string, Reviewer_Score double")
+    df = df.withColumn("Review_Date", F.to_date("day"))
+    got = geo.surroundings_trend(df, 1000, C, max_bytes)
+    assert got.columns == ["Hotel_Name", "lat", "lng", "YearMonth", "own_score", "surroundings_score", "surroundings_reviews"]
+    assert rows(got) == plain_surroundings(points, 1000)
+
+
+def test_cells_within_a_circle_hold_no_point_outside(spark, centre):
+    """Of points drawn in the reached cells, all those in cells taken whole are near."""
+    places = cloud(9, *centre, 0.05, 300)
+    df = entities(spark, places).withColumn("cell", columns.home_cell(F.col("lat"), F.col("lng"), 250.0))
+    pairs = df.alias("a").crossJoin(df.alias("b"))
+    inside = columns.wholly_within(F.col("a.lat"), F.col("a.lng"), F.col("b.cell.band"), F.col("b.cell.slot"), 250.0, 1000.0)
+    far = columns.haversine(*[F.col(name) for name in ("a.lat", "a.lng", "b.lat", "b.lng")])
+    counted = pairs.withColumn("inside", inside).withColumn("far", far).agg(F.count_if("inside"), F.count_if(F.expr("inside and far > 1000")), F.count_if(F.expr("inside and far > 500"))).first()
+    assert counted[1] == 0 and (abs(centre[0]) > 80 or counted[0] > 300 and counted[2] > 0)
+
+
+def test_crowds_are_not_listed_in_pairs(spark):
+    """500 entities within a hundred metres: sums of cells meet them, never each other's positions."""
+    rng = random.Random(1)
+    points = [(f"e{i}", 45.46 + rng.uniform(0, 0.0005), 9.19 + rng.uniform(0, 0.0005), 5.0) for i in range(500)]
+    df = spark.createDataFrame(points, "Hotel_Name string, lat double, lng double, Reviewer_Score double")
+    df = df.withColumn("Review_Date", F.lit("2017-01-01").cast("date"))
+    got = geo.surroundings_trend(df, 1000, C)
+    assert got.select("surroundings_reviews").distinct().collect() == [(500,)] and got.count() == 500

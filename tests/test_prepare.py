@@ -1,5 +1,6 @@
 import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -149,8 +150,57 @@ def test_poi_csv(spark, tmp_path):
 def test_export_word_scores(spark, tmp_path):
     path = str(tmp_path / "words")
     schema = "word string, avg_score double, word_count bigint"
-    export_word_scores(
-        spark.createDataFrame([("good", 9.5, 10)], schema), spark.createDataFrame([("bad", 3.5, 7)], schema), path
-    )
+    scores = [("good", 9.5, 10, "positive"), ("bad", 3.5, 7, "negative")]
+    export_word_scores(spark.createDataFrame(scores, f"{schema}, polarity string"), path)
     back = spark.read.schema(f"{schema}, polarity string").option("header", True).csv(path)
     assert rows(back) == [("bad", 3.5, 7, "negative"), ("good", 9.5, 10, "positive")]
+
+
+ADDRESSES = ["Via Roma 1 Milan", "Milano Road, London", "Parisian Way 3", "", "Lo", None, "a" * 50, "São Paulo", "漢字 Tokyo", "Via Roma 1 Milan"]
+
+
+@pytest.mark.parametrize("gram", [1, 2, 4, 9])
+@pytest.mark.parametrize("max_bytes", [0, 1 << 25])
+def test_reviews_by_listed_city(spark, gram, max_bytes):
+    names = ["Milan", "Milano", "Lo", "L", "", "Paris", "paris", "Rome", "São Paulo", "漢", None, "aaaa", "Via Roma 1 Milan!", "Milan", "n"]
+    df = spark.createDataFrame(list(enumerate(ADDRESSES)), "id int, Hotel_Address string").withColumn("city_of", F.lit(1))
+    cities = spark.createDataFrame([(name,) for name in names], "city string")
+    want = [(i, text, 1, name) for i, text in enumerate(ADDRESSES) if text is not None for name in {n for n in names if n is not None} if name in text]
+    got = prepare.reviews_by_listed_city(df, cities, gram=gram, max_bytes=max_bytes)
+    assert got.columns == [*df.columns, "city"] and rows(got) == sorted(want, key=repr)
+
+
+def test_no_address_is_held_against_all_names(spark, monkeypatch):
+    joined, join = [], prepare.join_lookup
+    monkeypatch.setattr(prepare, "join_lookup", lambda *args, **how: joined.append(join(*args, **how)) or joined[-1])
+    cities = spark.range(10_000).select(F.concat(F.lit("City of "), F.sha2(F.col("id").cast("string"), 256)).alias("city"))
+    df = spark.range(300).select(F.concat(F.lit("1 Main Road, City of "), F.sha2((F.col("id") * 7).cast("string"), 256)).alias("Hotel_Address"))
+    found = prepare.cities_in_addresses(df, cities)
+    assert found.count() == 300
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert joined[-1].count() < 10 * 300  # what meets on a key
+
+
+def test_no_city_or_no_address(spark):
+    cities, df = spark.createDataFrame([("a",)], "city string"), spark.createDataFrame([("a",)], "Hotel_Address string")
+    assert prepare.reviews_by_listed_city(df, cities.filter("false")).count() == 0
+    assert prepare.reviews_by_listed_city(df.filter("false"), cities).count() == 0
+
+
+def large_gazetteer(spark, tmp_path):
+    """More than the limit as rows, little as Parquet."""
+    path = str(tmp_path / "gazetteer")
+    place = spark.range(600_000).select(F.concat(F.lit("address "), "id").alias("address"), F.lit(1.0).alias("g_lat"), F.lit(2.0).alias("g_lng"))
+    place.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_large_gazetteer_is_not_broadcast(spark, tmp_path):
+    gazetteer = large_gazetteer(spark, tmp_path)
+    df = spark.createDataFrame([("address 5", None, 9.0), ("address 6", 3.0, 4.0), ("nowhere", None, None)], "Hotel_Address string, lat double, lng double")
+    located = prepare.located_addresses(prepare.addresses_without_coordinates(df), gazetteer)
+    assert rows(located) == [("address 5", 1.0, 2.0), ("nowhere", None, None)]
+    assert "BroadcastHashJoin" not in located._jdf.queryExecution().executedPlan().toString()
+    filled = prepare.fill_coordinates(df, gazetteer)
+    assert rows(filled) == [("address 5", 1.0, 9.0), ("address 6", 3.0, 4.0), ("nowhere", None, None)]

@@ -137,3 +137,73 @@ def test_words(spark):
     assert [tuple(r) for r in words.negative_words(df, lexicon, 2).collect()] == [("bad", 19 / 3, 3)]
     assert rows(words.word_scores(df, lexicon, 2)) == [("negative", "bad", 19 / 3, 3), ("positive", "good", 8.0, 2)]
     assert rows(words.top_words(df, lexicon, 1, 1).select("polarity", "word")) == [("negative", "bad"), ("positive", "well")]
+
+
+@pytest.fixture
+def hot(spark):
+    """An entity with a third of the rows, many small ones, equal dates, missing scores, dates and names."""
+    data = [("hot" if i % 3 == 0 else f"e{i % 61}", day(i * 37 % 11), 1.0 + i % 9 if i % 13 else None, i) for i in range(3000)]
+    data += [("hot", None, 5.0, 9000 + i) for i in range(5)] + [(None, day(1), 2.0, 9100), (None, day(2), 3.0, 9101)]
+    schema = "Hotel_Name string, Review_Date date, Reviewer_Score double, id int"
+    return data, spark.createDataFrame(data, schema).repartition(6)
+
+
+def moving(data, n):
+    groups, out = {}, []
+    for row in data:
+        groups.setdefault(row[0], []).append(row)
+    for name, group in groups.items():
+        group.sort(key=lambda row: (row[1] is None, -row[1].toordinal() if row[1] else 0, row[3]))
+        for k, row in enumerate(group):
+            held = [score for _, _, score, _ in group[k : k + n] if score is not None]
+            out.append((name, row[1], row[2], row[3], sum(held) / len(held) if held else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("partitions, n", [(1, 30), (4, 1), (7, 30), (40, 30), (40, 700), (5, 100_000)])
+def test_moving_reputation(spark, hot, partitions, n):
+    data, df = hot
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert rows(scores.moving_reputation(df, n, C)) == moving(data, n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_hot_entity_fills_many_windows(spark, hot, monkeypatch):
+    from guestbook import shared
+
+    written = []
+    monkeypatch.setattr(scores, "settled", lambda df, name: written.append(shared.settled(df, name)) or written[-1])
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        scores.moving_reputation(hot[1], 30, C)
+        parts = written[0].filter("Hotel_Name = 'hot'").groupBy("_part").count().collect()
+        assert len(parts) >= 4 and max(row["count"] for row in parts) < 400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_moving_reputation_of_nothing(hot):
+    assert rows(scores.moving_reputation(hot[1].filter("false"), 30, C)) == []
+
+
+def large_lexicon(spark, tmp_path):
+    """More than the limit as rows, little as Parquet."""
+    path = str(tmp_path / "lexicon")
+    spark.range(700_000).select(F.concat(F.lit("w"), "id").alias("word"), F.lit("a").alias("pos")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_large_lexicon_is_not_broadcast(spark, tmp_path):
+    texts = [("w1 w2 w2 w999999999 good", "w3", 8.0), ("w1", "w3 bad", 6.0)]
+    df = spark.createDataFrame(texts, "Positive_Review string, Negative_Review string, Reviewer_Score double")
+    found = words.word_scores(df, large_lexicon(spark, tmp_path), 1)
+    assert rows(found) == [("negative", "w3", 7.0, 2), ("positive", "w1", 7.0, 2), ("positive", "w2", 8.0, 2)]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    small = words.word_scores(df, large_lexicon(spark, tmp_path / "again").limit(9), 1)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
