@@ -10,6 +10,7 @@ reads that order from the files and returns it with the token ids.
 from __future__ import annotations
 
 import functools
+import re
 
 import public_tokenizers
 from pyspark.errors import AnalysisException
@@ -21,13 +22,22 @@ from guestbook.shared import drop_tables, scope, settled
 
 LEAST_SCORE = 0.3
 WORD_BYTES = 16
+BATCH_BYTES = 4 << 20  # of whole texts that go to Python and back at a time
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def size_in_bytes(setting: str) -> int:
+    """A setting's number of bytes: plain, or with a unit like ``64MB``."""
+    number, unit = re.fullmatch(r"(\d+) *([kmgt]?)i?b?", setting.strip().lower()).groups()
+    return int(number) << 10 * "-kmgt".index(unit or "-")
 
 
 def tidy(stage):
-    """Of the tables that a stage writes, leave those that its result reads."""
+    """Hold the batches of texts small, and of the tables that a stage writes, leave those that its result reads."""
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set(BATCH_SETTING, min(BATCH_BYTES, size_in_bytes(spark.conf.get(BATCH_SETTING))))
         with scope(spark) as tables:
             return tables.keep(stage(spark, docs, sf_dir))
 
