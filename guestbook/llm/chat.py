@@ -11,7 +11,7 @@ stand in ``repeated_results``, each distinct text with its copies, which ``n_rep
 ``repeated``. A call without a result, a result without a call, arguments that are no JSON object, that break
 their schema or name an unknown tool are kept and marked. Calls on a cycle of needs, and those that need them,
 stand last in the order of turn and identifier, marked ``cyclic``; a need that is no call of the conversation is
-ignored. Null texts are empty, null roles ``unknown``, null turns come first. Rows with a null conversation
+ignored. Null texts are empty (of several results for a call a null text counts after all others), null roles ``unknown``, null turns come first. Rows with a null conversation
 are conversations of their own, equal ones together. A call or result with a null identifier links with
 nothing: every such result is an orphan of its own. Other columns are not read. Empty tables give an empty result.
 """
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from guestbook.llm.batches import batch
 
+KEYWORDS = set("type enum minimum maximum minLength maxLength required properties additionalProperties items title description default".split())
 TYPES = {"string": str, "boolean": bool, "array": list, "object": dict, "null": type(None)}
 
 CHAT = (
@@ -40,16 +41,33 @@ def canonical(value) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
+def _is(value, kind: str | None) -> bool:
+    if kind in ("integer", "number"):
+        return not isinstance(value, bool) and isinstance(value, int if kind == "integer" else (int, float))
+    return kind is None or isinstance(value, TYPES[kind])
+
+
+def check_schema(schema: dict, at: str = "") -> None:
+    """Refuse what ``problems`` would pass over in silence: unknown keywords and unknown types."""
+    if unknown := sorted(set(schema) - KEYWORDS):
+        raise ValueError(f"{at or '/'}: {', '.join(unknown)} cannot be checked")
+    kinds = schema.get("type")
+    for kind in kinds if isinstance(kinds, list) else [kinds]:
+        if kind is not None and kind not in (*TYPES, "integer", "number"):
+            raise ValueError(f"{at or '/'}: {kind} is no type")
+    for name, some in schema.get("properties", {}).items():
+        check_schema(some, f"{at}/{name}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}/items")
+
+
 def problems(value, schema: dict, at: str = "") -> list[str]:
     """What breaks the schema: type, enum, minimum, maximum, minLength, maxLength, required, properties,
     additionalProperties and items are understood."""
-    kind, found = schema.get("type"), []
-    if kind in ("integer", "number"):
-        fits = not isinstance(value, bool) and isinstance(value, int if kind == "integer" else (int, float))
-    else:
-        fits = kind is None or isinstance(value, TYPES[kind])
-    if not fits:
-        return [f"{at or '/'} is no {kind}"]
+    kinds, found = schema.get("type"), []
+    kinds = kinds if isinstance(kinds, list) else [kinds]
+    if not any(_is(value, kind) for kind in kinds):
+        return [f"{at or '/'} is no {' or '.join(map(str, kinds))}"]
     if "enum" in schema and value not in schema["enum"]:
         found.append(f"{at or '/'} is none of the choices")
     if isinstance(value, (int, float)) and not isinstance(value, bool):
@@ -75,13 +93,20 @@ def problems(value, schema: dict, at: str = "") -> list[str]:
 def checked_arguments(name: str | None, arguments: str | None, schemas: dict[str, dict]) -> tuple[object, list[str]]:
     """The arguments as a value, or as the text that they are, and what is wrong with them."""
     try:
-        value = json.loads(arguments or "", parse_constant=lambda word: float(word.replace("Infinity", "inf")))
-        canonical(value)
-    except ValueError:
+        value = json.loads(arguments or "", parse_constant=lambda word: float(word.replace("Infinity", "inf")), parse_int=_whole)
+        canonical(value).encode()
+        if name not in schemas:
+            return value, ["the tool is unknown"]
+        return value, problems(value, schemas[name])
+    except RecursionError:
+        return arguments or "", ["/ is too deep"]
+    except ValueError:  # no JSON, a number that JSON does not have, or half of a surrogate pair
         return arguments or "", ["/ is no JSON"]
-    if name not in schemas:
-        return value, ["the tool is unknown"]
-    return value, problems(value, schemas[name])
+
+
+def _whole(digits: str) -> int | float:
+    """A number of any length: one beyond what Python reads as a whole number becomes a float, or no JSON."""
+    return int(digits) if len(digits) <= 4_300 else float(digits)
 
 
 def topological(needs: dict[str, list[str]], order: dict[str, tuple]) -> tuple[list[str], set[str]]:
@@ -196,6 +221,8 @@ def linked_calls(calls: DataFrame, results: DataFrame) -> DataFrame:
 def chats(messages: DataFrame, calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per conversation: canonical JSON and counts of what was linked, invalid, orphaned, repeated
     or cyclic."""
+    for schema in schemas.values():
+        check_schema(schema)
     said = messages.select("conv_id", _conversation("turn", "role", "text"), F.struct("turn", "role", "text").alias("message"))
     both = said.unionByName(linked_calls(calls, results), allowMissingColumns=True)
     whole = both.groupBy("conv_id", "alone").agg(F.collect_list("message").alias("messages"), F.collect_list("call").alias("calls"))

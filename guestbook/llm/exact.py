@@ -9,7 +9,7 @@ nonmembers have been grouped among themselves. Only digests travel, never texts;
 aggregates, so that a group with a third of all rows reaches a bucket as a single row.
 
 Defined results: a null text is an empty one. A null ``doc_id`` comes after all others when ties are broken.
-Rows with the same ``doc_id`` and equal texts count each in ``group_size`` and share their row's fate. Extra
+Of rows with the same ``doc_id`` and equally long texts the first as read stays; each counts in ``group_size``. Extra
 columns are not read. An empty table gives an empty result.
 """
 
@@ -34,8 +34,8 @@ LEVELS = 24
 SLACK = 2.0
 
 DIGESTS = "doc_id long, digest binary, n_points int"
-SHARD = "bucket int, sizes array<int>, bits binary, digests binary, winners array<long>, points array<int>, copies array<long>"
-LOOKED_UP = "digest binary, doc_id long, n_points int, copies long, known boolean"
+SHARD = "bucket int, sizes array<int>, bits binary, digests binary, winners array<long>, winner_rows array<long>, points array<int>, copies array<long>"
+LOOKED_UP = "digest binary, doc_id long, row_id long, n_points int, copies long, known boolean"
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,8 +51,8 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 
 def _winner() -> Column:
-    """Most code points first, then the smallest id; a null id loses against any other."""
-    return F.max(F.struct("n_points", F.bitwise_not("doc_id").alias("minus_id")))
+    """Most code points first, then the smallest id, then the first row; a null id loses against any other."""
+    return F.max(F.struct("n_points", F.bitwise_not("doc_id").alias("minus_id"), F.bitwise_not("row_id").alias("minus_row")))
 
 
 def distinct(rows: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def distinct(rows: DataFrame) -> DataFrame:
     return (
         rows.groupBy("digest")
         .agg(_winner().alias("best"), F.sum("copies").alias("copies"))
-        .select("digest", F.bitwise_not("best.minus_id").alias("doc_id"), "best.n_points", "copies")
+        .select("digest", F.bitwise_not("best.minus_id").alias("doc_id"), F.bitwise_not("best.minus_row").alias("row_id"), "best.n_points", "copies")
     )
 
 
@@ -147,6 +147,7 @@ class History:
                     "bits": [np.packbits(hashed.bits).tobytes()],
                     "digests": [b"".join(table.column("digest").to_pylist())],
                     "winners": pa.array([table.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                    "winner_rows": pa.array([table.column("row_id").to_pylist()], pa.list_(pa.int64())),
                     "points": pa.array([table.column("n_points").to_pylist()], pa.list_(pa.int32())),
                     "copies": pa.array([table.column("copies").to_pylist()], pa.list_(pa.int64())),
                 }
@@ -168,7 +169,7 @@ class History:
                 hashed = PerfectHash(shard["sizes"], bits, slots[int(bits.sum()) :])
                 found = theirs.column("digest").to_pylist()
                 known = [k >= 0 and slots[k] == digest for k, digest in zip(hashed.slots(found), found)]
-                held = pa.table({"doc_id": pa.array(shard["winners"], pa.int64()), "n_points": pa.array(shard["points"], pa.int32()), "copies": pa.array(shard["copies"], pa.int64())})
+                held = pa.table({"doc_id": pa.array(shard["winners"], pa.int64()), "row_id": pa.array(shard["winner_rows"], pa.int64()), "n_points": pa.array(shard["points"], pa.int32()), "copies": pa.array(shard["copies"], pa.int64())})
                 out = [_looked_up(found, theirs, np.array(known, bool)), _looked_up(slots, held, np.ones(len(slots), bool))]
             return pa.concat_tables(out)
 
@@ -184,6 +185,7 @@ def _looked_up(found: list[bytes], table: pa.Table, known: np.ndarray) -> pa.Tab
         {
             "digest": pa.array(found, pa.binary()),
             "doc_id": table.column("doc_id").cast(pa.int64()),
+            "row_id": table.column("row_id").cast(pa.int64()),
             "n_points": table.column("n_points").cast(pa.int32()),
             "copies": table.column("copies").cast(pa.int64()),
             "known": pa.array(known, pa.bool_()),
@@ -198,7 +200,8 @@ def exact_duplicates(docs: DataFrame, in_history: Column, doc_id: str = "doc_id"
     which digests go into the tables and which are looked up, never the result. Columns: doc_id, keep_id,
     group_size, kept, text_sha256, in_history (the text is one of the history's).
     """
-    rows = settled(digests(docs, doc_id, text).withColumn("_old", F.coalesce(in_history, F.lit(False))), "digests")
+    rows = digests(docs, doc_id, text).withColumns({"_old": F.coalesce(in_history, F.lit(False)), "row_id": F.monotonically_increasing_id()})
+    rows = settled(rows, "digests")
     counted = rows.withColumn("copies", F.lit(1).cast("long"))
     arrived = counted.filter("not _old")
     history = History.of(distinct(counted.filter("_old")), arrived.count())
@@ -206,14 +209,14 @@ def exact_duplicates(docs: DataFrame, in_history: Column, doc_id: str = "doc_id"
     groups = (
         looked_up.groupBy("digest")
         .agg(_winner().alias("best"), F.sum("copies").alias("group_size"), F.max("known").alias("in_history"))
-        .select("digest", F.bitwise_not("best.minus_id").alias("keep_id"), "group_size", "in_history")
+        .select("digest", F.bitwise_not("best.minus_id").alias("keep_id"), F.bitwise_not("best.minus_row").alias("keep_row"), "group_size", "in_history")
     )
     # A hot digest is one row of ``groups`` and many of ``rows``: adaptive execution splits its partition.
     return rows.hint("merge").join(settled(groups, "digest-groups"), "digest").select(
         "doc_id",
         "keep_id",
         "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        (F.col("row_id") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
         "in_history",
     )

@@ -49,11 +49,15 @@ def letters() -> np.ndarray:
         char = chr(point)
         if char.isalpha():
             table[point] = ord(char.lower()[0])
-    marks = [p for p in range(0x300, 0x3000) if unicodedata.category(chr(p)) in ("Mn", "Mc")]
-    table[marks] = marks  # marks belong to the word they stand in
+    table[marks()] = marks()  # marks belong to the word they stand in
     return table
 
 
+@functools.cache
+def marks() -> np.ndarray:
+    return np.array([p for p in range(0x300, 0x3000) if unicodedata.category(chr(p)) in ("Mn", "Mc")], np.uint32)
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
 
@@ -124,14 +128,15 @@ class LanguageFilter:
 
     def predict(self, text: str) -> tuple[str, float]:
         """Language and corrected share of its n-grams; very long texts are counted in pieces."""
-        total, hits = 0, np.zeros(len(self.languages), np.int64)
+        total, hits, has_letter = 0, np.zeros(len(self.languages), np.int64), False
         for at in range(0, len(text), CHARS):
             points = cleaned(text[max(0, at - 3) : at + CHARS])
+            has_letter = has_letter or bool(((points != 32) & ~np.isin(points, marks())).any())
             for n in GRAMS:
                 hashes = hashed_grams(points, n)
                 total += len(hashes)
                 hits += self.hits(hashes)
-        if not total or not self.languages:
+        if not has_letter or not total or not self.languages:
             return UNKNOWN, 0.0
         shares = (hits / total - self.false_positives) / np.maximum(1e-9, 1 - self.false_positives)
         best = int(np.argmax(shares))

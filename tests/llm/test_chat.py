@@ -1,6 +1,8 @@
 import json
 
+import pytest
 from conftest import SMALL, rows
+from pyspark.sql import functions as F
 
 from guestbook.llm import chat
 from guestbook.llm.queries import TOOLS
@@ -125,3 +127,29 @@ def test_query_by_brute_force(spark):
         lost = [x for (c, t), x in turns.items() if c == conv_id and x.role == "assistant" and t - 1 not in calls]
         assert row.n_orphans == len(lost)
     assert len(rows(queries()["op3_chat_format"](spark, SMALL))) == len(got)
+
+
+def test_arguments_that_no_file_can_hold_or_no_stack_can_read():
+    schemas = {"t": {"type": "object", "properties": {"n": {"type": ["integer", "null"]}}}}
+    half, deep = '{"query":"\\ud800"}', '{"a":' * 100_000 + "1" + "}" * 100_000
+    assert chat.checked_arguments("t", half, schemas) == (half, ["/ is no JSON"])
+    assert chat.checked_arguments("t", deep, schemas) == (deep, ["/ is too deep"])
+    assert chat.checked_arguments("t", '{"n":null}', schemas) == ({"n": None}, [])
+    assert chat.checked_arguments("t", '{"n":"1"}', schemas)[1] == ["/n is no integer or null"]
+    assert chat.checked_arguments("t", '{"n":' + "9" * 5000 + "}", schemas)[1] == ["/ is no JSON"]  # beyond any float
+    with pytest.raises(ValueError, match="pattern"):
+        chat.check_schema({"type": "object", "properties": {"n": {"type": "string", "pattern": "x"}}})
+    with pytest.raises(ValueError, match="no type"):
+        chat.check_schema({"items": {"type": ["text"]}})
+
+
+def test_bad_arguments_and_clashing_columns_reach_the_file(spark):
+    calls = spark.createDataFrame([(1, 1, "a", "t", '{"q":"\\ud800"}', []), (1, 2, "b", "t", "[" * 50_000, None)], "conv_id long, turn int, call_id string, name string, arguments string, needs array<string>")
+    results = spark.createDataFrame([(1, "a", None), (1, "a", "r1"), (1, "b", "x")], "conv_id long, call_id string, content string")
+    messages = spark.createDataFrame([(1, 0, "system", "hello")], "conv_id long, turn int, role string, text string")
+    clash = lambda df: df.withColumns({name: F.lit(name) for name in ("alone", "result", "copies", "message", "call", "called", "chat")})
+    row = chat.chats(clash(messages), clash(calls), clash(results), {"t": {"type": "object"}}).collect()[0]
+    held = json.loads(row.chat)
+    assert [call["errors"] for call in held["tool_calls"]] == [["/ is no JSON"], ["/ is too deep"]]
+    assert held["tool_calls"][0]["result"] == "r1" and held["repeated_results"] == [{"copies": 1, "id": "a", "result": ""}]
+    assert (row.n_calls, row.n_linked, row.n_invalid, row.n_repeated) == (2, 2, 2, 1)

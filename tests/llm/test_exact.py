@@ -15,8 +15,8 @@ def expected(pairs):
         groups.setdefault(hashlib.sha256(bare.encode()).hexdigest(), []).append((doc_id, text or ""))
     out = []
     for digest, members in groups.items():
-        keep = min(members, key=lambda m: (-len(m[1]), m[0] is None, m[0] or 0))[0]
-        out += [(doc_id, keep, len(members), doc_id == keep, digest) for doc_id, _ in members]
+        order = sorted(members, key=lambda m: (-len(m[1]), m[0] is None, m[0] or 0))
+        out += [(doc_id, order[0][0], len(members), k == 0, digest) for k, (doc_id, _) in enumerate(order)]
     return sorted(out, key=repr)
 
 
@@ -39,6 +39,14 @@ def test_empty_table_and_clashing_columns(documents):
     assert rows(exact_duplicates(clashing, F.col("doc_id") < 120).drop("in_history")) == expected(PAIRS)
 
 
+def test_one_row_stays_of_rows_that_share_an_id(documents):
+    pairs = [(7, "a b"), (7, "a  b"), (7, "a b"), (9, "ab"), (5, "x"), (5, "x"), (None, "y"), (None, "y")]
+    for history in (F.lit(False), F.lit(True), F.col("doc_id") < 6):
+        got = exact_duplicates(documents(pairs), history).collect()
+        kept = [(row.doc_id, row.keep_id, row.group_size) for row in got if row.kept]
+        assert sorted(kept, key=repr) == [(5, 5, 2), (7, 7, 4), (None, None, 2)] and len(got) == 8
+
+
 def test_history_tells_which_texts_it_knows(documents):
     got = exact_duplicates(documents([(1, "a"), (2, "b"), (9, "a"), (8, "c")]), F.col("doc_id") < 5)
     assert dict(rows(got.select("doc_id", "in_history"))) == {1: True, 2: True, 9: True, 8: False}

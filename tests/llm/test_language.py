@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 from conftest import SMALL, rows
@@ -68,3 +69,34 @@ def test_long_texts_are_counted_whole(spark, monkeypatch):
     monkeypatch.setattr(language, "CHARS", 1000)
     parts = learned.predict(text)
     assert whole[0] == parts[0] == "fr" and abs(whole[1] - parts[1]) < 0.01
+
+
+def test_marks_alone_are_no_letters(spark, documents):
+    learned = language.learn(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    got = language.predict(documents([(1, "́̂ ः"), (2, "é"), (3, "12 ́")]), learned).select("doc_id", "lang_pred", "score")
+    found = {row.doc_id: row for row in got.collect()}
+    assert (found[1].lang_pred, found[1].score, found[3].lang_pred) == ("und", 0.0, "und") and found[2].lang_pred != "und"
+
+
+def test_counts_by_plain_sets(spark):
+    """Grams of one text counted with sets of plain strings, against the filter's corrected shares."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    learned = language.learn(docs)
+    held = {}
+    for lang in learned.languages:
+        times = {n: Counter() for n in language.GRAMS}
+        for row in docs.filter(docs.lang == lang).collect():
+            for n in language.GRAMS:
+                times[n].update(plain_grams(row.text, n))
+        held[lang] = {gram for n, counts in times.items() for gram, k in counts.items() if k >= max(2, language.MIN_SHARE * counts.total())}
+    for row in docs.limit(60).collect():
+        grams = [gram for n in language.GRAMS for gram in plain_grams(row.text, n)]
+        share = {lang: sum(gram in own for gram in grams) / len(grams) for lang, own in held.items()}
+        lang, score = learned.predict(row.text)
+        assert lang == max(sorted(share), key=share.get) and abs(score - share[lang]) < 0.02
+
+
+def plain_grams(text, n):
+    words = "".join(c.lower() if c.isalpha() else " " for c in text).split()
+    joined = " " + " ".join(words) + " "
+    return [gram for gram in (joined[i : i + n] for i in range(len(joined) - n + 1)) if " " not in gram[1:-1] and gram.strip()]
