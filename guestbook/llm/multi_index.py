@@ -6,7 +6,10 @@ outside their regions, and cells are taken by ascending sums of both until a bou
 of neighbours at the threshold is found. The staircase of cells below the bound is that traversal. Candidates
 are verified with the exact cosine in double precision.
 
-Codebooks and bound come from a bounded sample of vectors and simulated neighbours; every vector is indexed.
+Codebooks and bound come from a bounded sample; every vector is indexed. The bound is what the target share needs of
+the neighbours that are in the sample, of neighbours simulated in directions between vectors of the sample (which stay
+in its subspace, if it lies in one), and of neighbours in any direction, whichever is most. It is never more than the
+squared distance 2 * (1 - threshold) of two linked unit vectors, beyond which no link lies: a target of 1 is that.
 Equal vectors are one class with a number of copies. Work is dealt by the first codeword, in blocks: each home
 block of at most ``BLOCK`` classes meets each query block of its shard once, so that a task holds two blocks
 however many vectors crowd a cell. A task sends on a count for each class and the forest that its links span,
@@ -36,16 +39,25 @@ from guestbook.shared import settled
 THRESHOLD = 0.95
 TARGET_RECALL = 0.9995
 SAMPLE = 16_384
-MOST_CODEWORDS = 256
+SAMPLE_OF_WORD = 64
+REAL_PAIRS_OF = 4_096  # vectors of the sample that are compared with each other
+MOST_CODEWORDS = 1_024
 BLOCK = 4_096
 ROUNDS = 8
 
 
 def units(rows: np.ndarray) -> np.ndarray:
+    """Unit vectors; the largest component is scaled first, so that no square is out of range."""
     rows = rows.astype(np.float64)
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True, initial=np.finfo(np.float64).tiny)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def codewords(count: int) -> int:
+    """Of each half for so many vectors: about sixteen to a cell, up to the largest codebooks."""
+    return int(np.clip(2 ** round(np.log2(max(1.0, np.sqrt(count) / 4))), 1, MOST_CODEWORDS))
+
+
 def squared_distances(points: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.maximum(0, (points**2).sum(1)[:, None] - 2 * points @ words.T + (words**2).sum(1))
 
@@ -73,23 +85,32 @@ class MultiIndex:
 
     @classmethod
     def of(cls, sample: np.ndarray, count: int, threshold: float, recall: float) -> MultiIndex:
-        """``count`` vectors will be indexed: about sixteen to a cell, up to the largest codebooks."""
-        k = int(np.clip(2 ** round(np.log2(max(1.0, np.sqrt(count) / 4))), 1, MOST_CODEWORDS))
-        cut = sample.shape[1] // 2
+        """``count`` vectors will be indexed."""
+        k, cut = codewords(count), sample.shape[1] // 2
         halves = [codebook(sample[:, :cut], k, 1), codebook(sample[:, cut:], k, 2)]
-        gaps = [np.sqrt(squared_distances(words, words)) for words in halves]
-        index = cls(halves, gaps)
-        random = np.random.default_rng(3)
-        away = random.standard_normal(sample.shape)
-        away -= (away * sample).sum(1, keepdims=True) * sample
-        length = np.linalg.norm(away, axis=1, keepdims=True)
-        near = threshold * sample + np.sqrt(1 - threshold**2) * away / np.where(length > 0, length, 1)
-        cells, outside = index.cells(near), index.outside(sample)
-        every = np.arange(len(sample))
-        sums = outside[0][every, cells[:, 0]] + outside[1][every, cells[:, 1]]
-        index.bound = float(np.quantile(sums, recall)) + 1e-9
+        index = cls(halves, [np.sqrt(squared_distances(words, words)) for words in halves])
+        farthest = max(0.0, 2 * (1 - threshold))
+        if recall < 1:
+            random, asked = np.random.default_rng(3), [index._beyond(*_pairs_within(sample[:REAL_PAIRS_OF], threshold))]
+            between = sample[random.permutation(len(sample))] - sample[random.permutation(len(sample))]
+            for away in (between, random.standard_normal(sample.shape)):
+                away = away - (away * sample).sum(1, keepdims=True) * sample
+                length = np.linalg.norm(away, axis=1, keepdims=True)
+                near = threshold * sample + np.sqrt(1 - threshold**2) * away / np.where(length > 0, length, 1)
+                asked.append(index._beyond(sample, near))
+            farthest = min(farthest, max(float(np.quantile(sums, recall)) for sums in asked if len(sums)))
+        index.bound = farthest + 1e-9
         return index
 
+    def _beyond(self, queries: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """For pairs of vectors: how far each query is outside the cell of its neighbour."""
+        found = []
+        for at in range(0, len(queries), 4096):
+            cells, outside = self.cells(near[at : at + 4096]), self.outside(queries[at : at + 4096])
+            every = np.arange(len(cells))
+            found.append(outside[0][every, cells[:, 0]] + outside[1][every, cells[:, 1]])
+        return np.concatenate(found or [np.zeros(0)])
+
     def _parts(self, points: np.ndarray) -> list[np.ndarray]:
         cut = self.halves[0].shape[1]
         return [points[:, :cut], points[:, cut:]]
@@ -110,6 +131,15 @@ class MultiIndex:
         return out
 
 
+def _pairs_within(points: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of different vectors that link, both ways; of very many, evenly spaced ones."""
+    linked = points @ points.T >= threshold
+    np.fill_diagonal(linked, False)
+    a, b = np.nonzero(linked)
+    step = max(1, len(a) // SAMPLE)
+    return points[a[::step]], points[b[::step]]
+
+
 def _valid(vector: str) -> str:
     return (
         f"{vector} is not null and size({vector}) > 0 and forall({vector}, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
@@ -179,9 +209,10 @@ def class_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float
     """(u, v, n) over ``classes(cid, vector, copies)`` of equal length: a row with u = v adds n links to class
     u, any other is an edge of a forest that spans the links."""
     spark, count = classes.sparkSession, classes.count()
-    share = min(1.0, SAMPLE / max(1, count))
+    wanted = max(SAMPLE, SAMPLE_OF_WORD * codewords(count))
+    share = min(1.0, wanted / max(1, count))
     drawn = classes.filter(F.pmod(F.xxhash64("cid"), F.lit(1 << 40)) <= int(share * (1 << 40)))
-    sample = units(_matrix(drawn.select("vector").limit(2 * SAMPLE).toArrow().column(0).combine_chunks()))
+    sample = units(_matrix(drawn.select("vector").limit(2 * wanted).toArrow().column(0).combine_chunks()))
     index = spark.sparkContext.broadcast(MultiIndex.of(sample, count, threshold, recall))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

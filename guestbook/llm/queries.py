@@ -123,7 +123,26 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trips(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
-@_query("op1_multi_index")
+OP1_SQL = """
+with recursive v as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings
+), u as (
+  select r, vec_id, case when e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+    and list_max(list_transform(e, lambda x: abs(x))) > 0 then e end as e from v
+), links as (
+  select a.r as a, b.r as b from u a join u b on a.r <> b.r and len(a.e) = len(b.e)
+  where list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.95
+), reached as (
+  select r as a, r as b from u union select reached.a, links.b from reached join links on reached.b = links.a
+), least as (
+  select reached.a as r, min(u.vec_id) as component_id from reached join u on u.r = reached.b group by reached.a
+)
+select u.vec_id, (select count(*) from links where links.a = u.r) as n_links, component_id, u.vec_id = component_id as kept
+from u join least using (r)
+"""
+
+
+@_query("op1_multi_index", OP1_SQL)
 def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 

@@ -1,10 +1,13 @@
 import numpy as np
+import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from guestbook.llm import multi_index
 from llm.conftest import roots
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
+DOUBLES = SCHEMA.replace("float", "double")
 
 
 def vectors(n=600, dim=16, seed=1):
@@ -28,9 +31,52 @@ def expected(data, threshold=0.95):
 def test_exact_when_all_cells_are_visited(spark, monkeypatch):
     monkeypatch.setattr(multi_index, "BLOCK", 100)
     data = [(i, v, 0) for i, v in enumerate(vectors())]
-    got = multi_index.near_vectors(spark.createDataFrame(data, SCHEMA), recall=1.0)
-    links = sum(row[1] for row in rows(got))
-    assert links >= 0.999 * sum(row[1] for row in expected(data))
+    assert rows(multi_index.near_vectors(spark.createDataFrame(data, SCHEMA), recall=1.0)) == expected(data)
+
+
+def sets_of_vectors(kind, n, seed=5):
+    """Vectors of rank 3 in 24 components, in clusters, or with few components that are not zero; near copies of some."""
+    random = np.random.default_rng(seed)
+    if kind == "rank 3":
+        base = random.standard_normal((n, 3)) @ random.standard_normal((3, 24))
+    elif kind == "clusters":
+        base = random.standard_normal((12, 24))[random.integers(0, 12, n)] + 0.12 * random.standard_normal((n, 24))
+    else:
+        base = random.standard_normal((n, 24)) * (random.random((n, 24)) < 0.15)
+        base[:, 0] += 0.01
+    copies = random.integers(0, n, n // 4)
+    base[: len(copies)] = base[copies] * random.uniform(0.5, 2, (len(copies), 1)) + 0.02 * base[random.permutation(n)[: len(copies)]]
+    return base
+
+
+@pytest.mark.parametrize("kind", ["rank 3", "clusters", "sparse"])
+def test_recall_off_isotropic_data(spark, kind):
+    """With the codebooks of a million vectors, of which the sample has few."""
+    points = multi_index.units(sets_of_vectors(kind, 3000))
+    linked = points @ points.T >= 0.95
+    np.fill_diagonal(linked, False)
+    a, b = np.nonzero(linked)
+    for recall, least in ((multi_index.TARGET_RECALL, 0.99), (1.0, 1.0)):
+        index = multi_index.MultiIndex.of(points[::3], 1_000_000, 0.95, recall)
+        visited = index._beyond(points[a], points[b]) <= index.bound
+        back = index._beyond(points[b], points[a]) <= index.bound
+        assert len(a) > 500 and np.mean(visited | back) >= least
+    data = [(i, [float(x) for x in row], 0) for i, row in enumerate(points[:600])]
+    got, want = rows(multi_index.near_vectors(spark.createDataFrame(data, DOUBLES), recall=1.0)), expected(data)
+    assert got == want
+
+
+def test_lengths_out_of_range(spark):
+    data = [(1, [1e200, 1e200], 0), (2, [2e200, 2e200], 0), (3, [1e-200, 0.0], 0), (4, [2e-200, 0.0], 0), (5, [1e-310, 0.0], 0)]
+    got = multi_index.near_vectors(spark.createDataFrame(data, DOUBLES)).collect()
+    assert {row.vec_id: row.component_id for row in got} == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3}
+
+
+def test_clashing_columns(spark):
+    data = [(i, v, 0) for i, v in enumerate(vectors(60))]
+    table = spark.createDataFrame(data, SCHEMA)
+    clash = table.withColumns({name: F.lit(name) for name in ("vector", "cid", "n", "u", "v", "shard", "home", "copies", "kept", "n_links")})
+    assert rows(multi_index.near_vectors(clash)) == rows(multi_index.near_vectors(table))
 
 
 def test_recall_and_no_link_below_the_threshold(spark):
