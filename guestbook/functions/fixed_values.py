@@ -111,6 +111,21 @@ WEAKENING_WORDS = (
     "occasionally", "partly", "scarce", "scarcely", "slight", "slightly", "somewhat", "sorta", "sortof", "sort-of",
 )
 
+# Further published rules. After a contrast word valences weigh more, before it less; a word in capitals
+# among others that are not is stronger, and so is a text with exclamation marks or several question marks.
+CONTRAST_WORDS = ("but",)
+BEFORE_CONTRAST = 0.5
+AFTER_CONTRAST = 1.5
+CAPITALS = 0.733
+EXCLAMATION = 0.292
+MOST_EXCLAMATIONS = 4
+QUESTION = 0.18
+MOST_QUESTIONS = 3
+MANY_QUESTIONS = 0.96
+
+# Endings of compared adjectives and what stands in their place in the base form.
+ADJECTIVE_ENDINGS = (("er", ""), ("est", ""), ("er", "e"), ("est", "e"))
+
 # Labels of the mean review class of an entity.
 VERY_POSITIVE = "Molto Positivo"
 FAIRLY_POSITIVE = "Piuttosto Positivo"

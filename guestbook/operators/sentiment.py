@@ -15,11 +15,19 @@ from pyspark.sql import functions as F
 
 from guestbook.functions import labels
 from guestbook.functions.fixed_values import (
+    AFTER_CONTRAST,
+    BEFORE_CONTRAST,
+    CAPITALS,
     DISTANCE_DAMPING,
     EMPTY_NEGATIVES,
     EMPTY_POSITIVES,
+    EXCLAMATION,
+    MANY_QUESTIONS,
+    MOST_EXCLAMATIONS,
+    MOST_QUESTIONS,
     NEGATION_FACTOR,
     NEGATIONS,
+    QUESTION,
     STRENGTHENING,
     STRENGTHENING_WORDS,
     STRONG_WORDS,
@@ -72,6 +80,9 @@ def review_valences(
     boosters: Mapping[str, float] | None = None,
     punctuated: bool = True,
     max_bytes: int = BROADCAST_BYTES,
+    phrases: DataFrame | None = None,
+    contrast: Sequence[str] = (),
+    emphasis: bool = False,
 ) -> DataFrame:
     """Sum of word valences per review: the ``keep`` columns, which must identify a review, and for every
     entry of ``texts`` (result name -> text column) the sum over that text; 0 for an empty one. Words are
@@ -79,28 +90,51 @@ def review_valences(
 
     With ``negations`` or ``boosters`` the words before a word modify it; a booster has no valence itself. A
     lexicon above ``max_bytes`` meets the tokens in a shuffle, in which adaptive execution splits hot words.
+
+    ``phrases(phrase, valence)`` are entries of several words. From left to right, the longest phrase that begins at a
+    word that no phrase has taken yet counts in place of its words. What comes before the first ``contrast`` word of a
+    text weighs half, what comes after it one and a half times. With ``emphasis``, words in capitals among others that
+    are not count more, and closing marks push a text's sum away from zero. Texts stay where they are: of a text with
+    phrases, its valued words and phrases travel, with their places.
     """
     boosters = dict(boosters or {})
+    placed = phrases is not None or bool(contrast) or emphasis
     sides = F.array(
         *[
-            F.struct(F.lit(name).alias("name"), words(F.lower(F.coalesce(F.col(column), F.lit("")))).alias("pieces"))
+            F.struct(
+                F.lit(name).alias("name"),
+                words(F.coalesce(F.col(column), F.lit("")) if emphasis else F.lower(F.coalesce(F.col(column), F.lit("")))).alias("pieces"),
+                (_marks(F.coalesce(F.col(column), F.lit(""))) if emphasis else F.lit(0.0)).alias("marks"),
+            )
             for name, column in texts.items()
         ]
     )
     kept = [F.col(name) for name in keep]
-    listed = df.select(*kept, F.explode(sides).alias("_side")).select(*kept, "_side.name", "_side.pieces")
-    listed = listed.withColumnRenamed("name", "_text")
-    if negations or boosters:
-        listed = listed.select(
-            *kept, "_text", "pieces", *[F.concat(F.array(*[F.lit("")] * n), "pieces").alias(f"before{n}") for n in (1, 2, 3)]
-        )
-        zipped = F.arrays_zip("pieces", "before1", "before2", "before3")
-        tokens = listed.select(*kept, "_text", F.explode(zipped).alias("_token")).select(*kept, "_text", "_token.*")
+    listed = df.select(*kept, F.explode(sides).alias("_side"))
+    listed = listed.select(*kept, F.col("_side.name").alias("_text"), "_side.pieces", F.col("_side.marks").alias("_marks"))
+    before = ["before1", "before2", "before3"] if negations or boosters else []
+    zipped = ["pieces", *before, *(["shout"] if emphasis else [])]
+    if emphasis:
+        listed = listed.withColumn("shout", _shouted(F.col("pieces"))).withColumn("pieces", F.transform("pieces", F.lower))
+    if placed and punctuated:
+        listed, punctuated = listed.withColumn("pieces", F.transform("pieces", bare_word)), False
+    for n, name in enumerate(before, 1):
+        listed = listed.withColumn(name, F.concat(F.array(*[F.lit("")] * n), "pieces"))
+    carried = [*kept, "_text"]
+    if placed:
+        turn = F.lit(None).cast("int")
+        for name in contrast:
+            turn = F.least(turn, F.nullif(F.array_position("pieces", name).cast("int"), F.lit(0)))
+        longest = phrases.agg(F.max(F.size(words(F.col("phrase"))))).first()[0] or 1 if phrases is not None else 1
+        listed = listed.withColumns({"_turn": turn - 1, "_all": F.col("pieces")})
+        tokens = listed.select(*carried, "_marks", "_turn", "_all", F.posexplode(F.arrays_zip(*zipped)).alias("_at", "_token"))
+        tokens = tokens.select(*carried, "_marks", "_turn", "_at", F.slice("_all", F.col("_at") + 1, F.lit(longest)).alias("_next"), "_token.*")
+        tokens = tokens.filter(F.col("pieces").isNotNull())
+    elif before:
+        tokens = listed.select(*carried, F.explode(F.arrays_zip(*zipped)).alias("_token")).select(*carried, "_token.*")
         tokens = tokens.filter(F.col("pieces").isNotNull())
-        before = ["before1", "before2", "before3"]
     else:
-        tokens = listed.select(*kept, "_text", F.explode("pieces").alias("pieces"))
-        before = []
+        tokens = listed.select(*carried, F.explode("pieces").alias("pieces"))
     if punctuated:
         # Two steps, so that the trimming is evaluated once per word.
         tokens = tokens.withColumn("_bare", bare(F.col("pieces")))
@@ -111,7 +145,18 @@ def review_valences(
     valued = join_lookup(
         tokens, lexicon.select("word", F.col("valence").cast("double").alias("_valence")), "word", "left", max_bytes=max_bytes
     )
+    if placed:
+        valued = valued.withColumn("_size", F.lit(1))
+    if phrases is not None:
+        entries = phrases.select(words(F.lower("phrase")).alias("_phrase"), F.col("valence").cast("double").alias("_valence"))
+        entries = entries.withColumns({"word": F.col("_phrase")[0], "_size": F.size("_phrase")})
+        found = join_lookup(tokens, entries, "word", max_bytes=max_bytes)
+        found = found.filter(F.slice("_next", F.lit(1), F.col("_size")) == F.col("_phrase")).select(*valued.columns)
+        valued = valued.unionByName(found)
     value = F.col("_valence")
+    if emphasis:
+        shout = F.when(F.col("shout"), F.when(value < 0, -CAPITALS).when(value > 0, CAPITALS).otherwise(0.0)).otherwise(0.0)
+        valued = valued.withColumn("_valence", value + shout)
     if before:
         # Only words with a valence have the words before them looked at. Of the lexicon, the modifiers in it
         # are all that matters there: no more words than there are modifiers.
@@ -121,9 +166,61 @@ def review_valences(
         # Columns of their own, so that the optimizer does not repeat them in every branch of the sum.
         valued = valued.withColumns(_effects(before, negations, boosters, modifiers.scalar()))
         value = _adjusted(value, before)
-    return valued.groupBy(*keep).agg(
-        *[F.coalesce(F.sum(F.when(F.col("_text") == name, value)), F.lit(0.0)).alias(name) for name in texts]
-    )
+    if contrast:
+        valued = valued.withColumn("_value", value)
+        value = F.col("_value") * F.when(F.col("_at") < F.col("_turn"), BEFORE_CONTRAST).when(F.col("_at") > F.col("_turn"), AFTER_CONTRAST).otherwise(1.0)
+    if phrases is not None:
+        entry = F.struct("_text", "_at", (-F.col("_size")).alias("_longest"), value.alias("_value"))
+        gathered = valued.groupBy(*keep).agg(
+            F.array_sort(F.collect_list(F.when(value.isNotNull(), entry))).alias("_entries"), *_mark_columns(texts, emphasis)
+        )
+        sums = {name: _taken(name) for name in texts}
+    else:
+        sums = {name: F.coalesce(F.sum(F.when(F.col("_text") == name, value)), F.lit(0.0)) for name in texts}
+        gathered = valued.groupBy(*keep).agg(*[total.alias(name) for name, total in sums.items()], *_mark_columns(texts, emphasis))
+        sums = {name: F.col(name) for name in texts}
+    if emphasis:
+        gathered = gathered.select("*") if phrases is None else gathered.select("*", *[total.alias(name) for name, total in sums.items()])
+        sums = {name: F.col(name) + F.signum(F.col(name)) * F.col(f"_marks_{name}") for name in texts}
+    return gathered.select(*keep, *[total.alias(name) for name, total in sums.items()])
+
+
+def _mark_columns(texts: Mapping[str, str], emphasis: bool) -> list[Column]:
+    """What each text's closing marks add, if they count: it is the same in all rows of a text."""
+    return [F.coalesce(F.max(F.when(F.col("_text") == name, F.col("_marks"))), F.lit(0.0)).alias(f"_marks_{name}") for name in texts if emphasis]
+
+
+def _marks(text: Column) -> Column:
+    def times(mark: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+    questions = times("?")
+    asked = F.when(questions > MOST_QUESTIONS, MANY_QUESTIONS).when(questions > 1, questions * QUESTION).otherwise(0.0)
+    return F.least(times("!"), F.lit(MOST_EXCLAMATIONS)) * EXCLAMATION + asked
+
+
+def _shouted(pieces: Column) -> Column:
+    """For every word, whether it is in capitals in a text of which not all words are."""
+    upper = F.transform(pieces, lambda word: (word == F.upper(word)) & (word != F.lower(word)))
+    return F.when(F.forall(upper, lambda is_upper: is_upper), F.transform(pieces, lambda word: F.lit(False))).otherwise(upper)
+
+
+def _taken(text: str) -> Column:
+    """Sum of a text's entries that are taken: by place, the longest first, each where the one before ends at the latest."""
+    entries = F.filter("_entries", lambda entry: entry["_text"] == text)
+    none = F.struct(F.lit(0).alias("free"), F.lit(0.0).alias("total"))
+
+    def step(held: Column, entry: Column) -> Column:
+        taken = F.struct((entry["_at"] - entry["_longest"]).alias("free"), (held["total"] + entry["_value"]).alias("total"))
+        return F.when(entry["_at"] >= held["free"], taken).otherwise(held)
+
+    return F.aggregate(entries, none, step, lambda held: held["total"])
+
+
+def split_lexicon(lexicon: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A ``lexicon(word, valence)`` with entries of several words as the words and ``phrases(phrase, valence)``."""
+    several = F.size(words(F.col("word"))) > 1
+    return lexicon.filter(~several), lexicon.filter(several).select(F.col("word").alias("phrase"), "valence")
 
 
 def seasonal_sentiment(
@@ -133,13 +230,15 @@ def seasonal_sentiment(
     negations: Sequence[str] = NEGATIONS,
     boosters: Mapping[str, float] = INTENSIFIERS,
     max_bytes: int = BROADCAST_BYTES,
+    **rules,
 ) -> DataFrame:
     """Mean compound sentiment, mean score and review count per entity, address and season, by the published
-    negations and intensifiers or others; with none of them, words count by themselves."""
+    negations and intensifiers or others; with none of them, words count by themselves. ``rules``: phrases, contrast
+    and emphasis of ``review_valences``."""
     seasons = with_total_review(df, c).withColumn("Season", labels.season(F.col(c.date)))
     keep = [c.entity, c.address, "Season", c.score, *c.key]
     totals = review_valences(
-        seasons, keep, {"_total": "Total_Review"}, lexicon, negations, boosters, max_bytes=max_bytes
+        seasons, keep, {"_total": "Total_Review"}, lexicon, negations, boosters, max_bytes=max_bytes, **rules
     )
     return (
         totals.withColumn("Net_Sentiment", labels.compound(F.col("_total")))

@@ -10,7 +10,7 @@ from guestbook.functions import labels
 from guestbook.functions.text import plain_text, without_reasoning
 from guestbook.operators import prepare, sentiment, summary, words
 from guestbook.plans.registry import query, rounded
-from guestbook.plans.relations import TEXT, lexicon, text_reviews
+from guestbook.plans.relations import TEXT, lexicon, table, text_reviews
 from guestbook.shared import new_table_path
 from guestbook.sources import export_word_scores
 
@@ -166,6 +166,57 @@ def _(spark, sf_dir):
     return _compounds(spark, sf_dir, long_words, **RULES)
 
 
+# The first two and the first three words of each text of ``benchmark``, where these are words in small letters.
+PHRASE_SQL = """select phrase, cast(length(phrase) % 7 - 3 as double) as valence from (
+      select distinct regexp_extract(lower(text), '^[a-z]+ [a-z]+', 0) as phrase from {benchmark}
+      union select distinct regexp_extract(lower(text), '^[a-z]+ [a-z]+ [a-z]+', 0) as phrase from {benchmark}) x
+    where phrase <> ''"""
+PHRASED_TOTALS = f"""tok as ({tokens_sql(BOTH)}),
+    phr as ({PHRASE_SQL.format(benchmark="benchmark")}),
+    ent as (select doc_id, ix as place, 1 as n, valence as v from tok join lex using (word)
+      union all select a.doc_id, a.ix, 2, valence from tok a join tok b on b.doc_id = a.doc_id and b.ix = a.ix + 1
+        join phr on phrase = concat(a.word, ' ', b.word)
+      union all select a.doc_id, a.ix, 3, valence from tok a join tok b on b.doc_id = a.doc_id and b.ix = a.ix + 1
+        join tok c on c.doc_id = a.doc_id and c.ix = a.ix + 2 join phr on phrase = concat(a.word, ' ', b.word, ' ', c.word)),
+    fold as (select doc_id, list_reduce(list(struct_pack(place := place::bigint, n := n::bigint, v := v) order by place, n desc),
+        lambda a, x: case when x.place >= a.place then struct_pack(place := x.place + x.n, n := 0::bigint, v := a.v + x.v) else a end,
+        struct_pack(place := 0::bigint, n := 0::bigint, v := 0::double)).v as s from ent group by doc_id),
+    total as (select r.doc_id, coalesce(s, 0) as s from r left join fold using (doc_id))"""
+CONTRAST_TOTALS = f"""tok as ({tokens_sql(BOTH)}),
+    turn as (select doc_id, min(ix) as turn from tok where word = 'and' group by 1),
+    total as (select doc_id, coalesce(sum(valence * case when ix < turn then 0.5e0 when ix > turn then 1.5e0 else 1 end), 0) as s
+      from tok left join turn using (doc_id) left join lex using (word) group by doc_id)"""
+EMPHASIS_TOTALS = f"""raw as (select doc_id, t, string_split_regex(t, '[{SPACE}]+') as ws from ({BOTH})),
+    tone as (select doc_id, len(list_filter(ws, lambda w: w = upper(w) and w <> lower(w))) < len(ws) as mixed,
+      least(length(t) - length(replace(t, '!', '')), 4) * 0.292e0 + case when length(t) - length(replace(t, '?', '')) > 3 then 0.96e0
+        when length(t) - length(replace(t, '?', '')) > 1 then (length(t) - length(replace(t, '?', ''))) * 0.18e0 else 0 end as marks
+      from raw),
+    cased as (select doc_id, ix, w from (select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as ix from raw)),
+    tok as ({tokens_sql(BOTH)}),
+    sums as (select doc_id, coalesce(sum(valence + case when mixed and w = upper(w) and w <> lower(w) then sign(valence) * 0.733e0 else 0 end), 0) as s
+      from tok join cased using (doc_id, ix) join tone using (doc_id) left join lex using (word) group by doc_id),
+    total as (select doc_id, s + sign(s) * marks as s from sums join tone using (doc_id))"""
+
+
+def _phrases(spark, sf_dir):
+    return spark.sql(PHRASE_SQL, benchmark=table(spark, sf_dir, "benchmark"))
+
+
+@query("q5a_compound_sentiment_of_phrases", f"{TR}, {PHRASED_TOTALS} select doc_id, round({COMPOUND}, 6) as compound from total")
+def _(spark, sf_dir):
+    return _compounds(spark, sf_dir, phrases=_phrases(spark, sf_dir))
+
+
+@query("q5a_compound_sentiment_with_contrast", f"{TR}, {CONTRAST_TOTALS} select doc_id, round({COMPOUND}, 6) as compound from total")
+def _(spark, sf_dir):
+    return _compounds(spark, sf_dir, contrast=["and"])
+
+
+@query("q5a_compound_sentiment_with_emphasis", f"{TR}, {EMPHASIS_TOTALS} select doc_id, round({COMPOUND}, 6) as compound from total")
+def _(spark, sf_dir):
+    return _compounds(spark, sf_dir, emphasis=True)
+
+
 def seasonal_sql(totals: str) -> str:
     return f"""{TR}, {totals},
     sea as (select Hotel_Name, Hotel_Address, case when month(Review_Date) in (12, 1, 2) then 'Winter'
