@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guestbook.llm.batches import batch, narrow, texts_of
+from guestbook.llm.batches import batch, give_back, narrow, texts_of
 from guestbook.llm.pieces import ChunkMemory, Memory
 
 BUCKETS = (2, 4, 8, 12, 16, 24, 32, 64, 128, 256)
@@ -189,7 +189,7 @@ def load(ranks_path: str, pattern: str) -> tuple[ByteBpe, ChunkMemory]:
     def encode(chunks: list[str]) -> list[bytes]:
         return list(map(b"".join, pieces.look_up([compiled.findall(chunk) for chunk in chunks])))
 
-    return bpe, ChunkMemory(encode, CACHED)
+    return bpe, ChunkMemory(encode, CACHED, pieces)
 
 
 def encode_texts(texts: list[str], ranks_path: str, pattern: str) -> Iterator[bytes]:
@@ -200,7 +200,7 @@ def encode_texts(texts: list[str], ranks_path: str, pattern: str) -> Iterator[by
 def with_token_ids(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with ``token_ids`` (binary, little-endian unsigned 32-bit integers) and ``n_tokens``.
 
-    Columns of these names are replaced.
+    Columns of these names are replaced. A task forgets its chunks at its end: the worker's memory is free for others.
     """
     docs = docs.drop("token_ids", "n_tokens")
 
@@ -209,6 +209,8 @@ def with_token_ids(docs: DataFrame, ranks_path: str, pattern: str, text: str = "
             ids = list(encode_texts(texts_of(rows.column(text)), ranks_path, pattern))
             rows = rows.append_column("token_ids", pa.array(ids, pa.binary()))
             yield rows.append_column("n_tokens", pa.array([len(x) // 4 for x in ids], pa.int64()))
+        load(ranks_path, pattern)[1].clear()
+        give_back()
 
     schema = docs.withColumns({"token_ids": F.lit(b""), "n_tokens": F.lit(0).cast("long")}).schema
     return docs.mapInArrow(work, schema)

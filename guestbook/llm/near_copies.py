@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guestbook.llm.batches import batch, encoded_texts_of, narrow
+from guestbook.llm.batches import batch, encoded_texts_of, give_back, narrow
 from guestbook.llm.components import components
 from guestbook.operators.joins import join_lookup
 from guestbook.shared import drop_tables, settled
@@ -83,6 +83,7 @@ def _sketches(rows: DataFrame) -> DataFrame:
                 size=pa.array(sizes, pa.int64()),
                 bands=pa.array(found, pa.list_(pa.int64())),
             )
+        give_back()
 
     return rows.mapInArrow(work, "key long, d1 long, d2 long, size long, bands array<long>")
 
@@ -96,6 +97,7 @@ def _sets(rows: DataFrame) -> DataFrame:
                 some = rows.slice(at, PART)
                 held = [shingles(text).view(np.int64) for text in encoded_texts_of(some.column("text"))]
                 yield batch(key=some.column("key"), shingles=pa.array(held, pa.list_(pa.int64())))
+        give_back()
 
     return rows.mapInArrow(work, "key long, shingles array<long>")
 

@@ -65,6 +65,9 @@ class Memory:
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
     def look_up(self, lists: list[list[str]]) -> list[list]:
         """The values of each list's keys, after all that are missing have been made together."""
         if len(self.young) > self.most:
@@ -93,12 +96,18 @@ def gaps(values: list) -> Iterator[int]:
 
 
 class ChunkMemory:
-    """Encodings of texts by way of their chunks. ``make`` encodes a list of texts."""
+    """Encodings of texts by way of their chunks. ``make`` encodes a list of texts, ``below`` is its own memory."""
 
-    def __init__(self, make: Callable[[list[str]], list], most: int):
+    def __init__(self, make: Callable[[list[str]], list], most: int, below: Memory | None = None):
+        self.below = below
         self.plain = Memory(make, most)
         self.spaced = Memory(lambda words: make([word if word[:1] == "\n" else " " + word for word in words]), most)
 
+    def clear(self) -> None:
+        for memory in (self.plain, self.spaced, self.below):
+            if memory is not None:
+                memory.clear()
+
     def look_up(self, texts: Iterable[str]) -> Iterator[list]:
         """For every text the encodings of its chunks in a row."""
         for some in groups(texts):
