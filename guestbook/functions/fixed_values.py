@@ -80,6 +80,7 @@ STRONG_WORDS = ("all", "everything", "always")
 
 # The parts of speech counted as descriptive words (adjective, adverb).
 DESCRIPTIVE_POS = ("a", "r")
+ADJECTIVE = "a"
 
 # Thresholds of the review rule and of the published compound score.
 REVIEW_CUTOFF = 0.3
@@ -126,6 +127,9 @@ MANY_QUESTIONS = 0.96
 # Endings of compared adjectives and what stands in their place in the base form.
 ADJECTIVE_ENDINGS = (("er", ""), ("est", ""), ("er", "e"), ("est", "e"))
 
+# Tokens that the classifying model reads of a text.
+MODEL_TOKENS = 512
+
 # Labels of the mean review class of an entity.
 VERY_POSITIVE = "Molto Positivo"
 FAIRLY_POSITIVE = "Piuttosto Positivo"

@@ -23,6 +23,7 @@ from guestbook.functions.fixed_values import (
     EMPTY_POSITIVES,
     EXCLAMATION,
     MANY_QUESTIONS,
+    MODEL_TOKENS,
     MOST_EXCLAMATIONS,
     MOST_QUESTIONS,
     NEGATION_FACTOR,
@@ -394,20 +395,46 @@ def label_of_entity(reviews: DataFrame, entity: str, c: Columns = REVIEWS) -> Da
 
 
 Scorer = Callable[[pd.Series], pd.Series]
+TokenCounter = Callable[[list[str]], Sequence[int]]
 
 
-def text_classes(texts: Sequence[Column], load_scorer: Callable[[], Scorer]) -> Column:
+def within_tokens(texts: pd.Series, count: TokenCounter, most: int) -> pd.Series:
+    """The texts up to the last word with which they stay within ``most`` tokens; words are counted one by one, each
+    distinct one once. A text that fits stays as it is; one whose first word is too long becomes None."""
+    listed = [text.split() for text in texts]
+    distinct = list(dict.fromkeys(word for some in listed for word in some))
+    tokens = dict(zip(distinct, count(distinct) if distinct else ()))
+    out = []
+    for text, some in zip(texts, listed):
+        fits = int((np.cumsum([tokens[word] for word in some]) <= most).sum())
+        out.append(text if fits == len(some) else " ".join(some[:fits]) or None)
+    return pd.Series(out, index=texts.index, dtype=object)
+
+
+def text_classes(
+    texts: Sequence[Column],
+    load_scorer: Callable[[], Scorer],
+    load_counter: Callable[[], TokenCounter] | None = None,
+    most_tokens: int = MODEL_TOKENS,
+) -> Column:
     """Struct of the classes -1/0/1 of several texts by a user's own model; a NULL text gets 0 and is not sent.
 
-    ``load_scorer`` runs once per task and returns a function from a batch of cleaned texts to classes.
+    ``load_scorer`` runs once per task and returns a function from a batch of cleaned texts to classes. With
+    ``load_counter``, which returns a function from words to their numbers of tokens by the model's tokenizer, the model
+    is sent the words that fit into ``most_tokens``.
     """
     names = [f"t{n}" for n in range(len(texts))]
 
     @F.pandas_udf(", ".join(f"{name} int" for name in names))
     def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         score = load_scorer()
+        count = load_counter() if load_counter else None
         for batch in batches:
             asked = pd.concat([batch[name] for name in names], ignore_index=True)
+            if count is not None:
+                there = asked.notna()
+                asked = asked.astype(object).where(there, None)
+                asked[there] = within_tokens(asked[there], count, most_tokens)
             classes, sent = np.zeros(len(asked), np.int32), asked.notna().to_numpy()
             if sent.any():
                 classes[sent] = score(asked[sent].reset_index(drop=True))
@@ -424,6 +451,8 @@ def model_sentiment(
     stop_words: Sequence[str] = (),
     lemmas: DataFrame | None = None,
     max_bytes: int = BROADCAST_BYTES,
+    load_counter: Callable[[], TokenCounter] | None = None,
+    most_tokens: int = MODEL_TOKENS,
 ) -> DataFrame:
     """``review_sentiment`` with a user's model in place of the lexicon.
 
@@ -436,7 +465,7 @@ def model_sentiment(
     asked = [
         F.when(undecided & (F.col(length) > 0), F.col(text)) for text, length in (("_pos", "_pos_length"), ("_neg", "_neg_length"))
     ]
-    classed = judged.withColumn("_classes", text_classes(asked, load_scorer))
+    classed = judged.withColumn("_classes", text_classes(asked, load_scorer, load_counter, most_tokens))
     value = _combined(F.col("_classes.t0"), F.col("_classes.t1"))
     return classed.select(c.entity, *c.key, value.alias("sentiment_value"), labels.class_name(value).alias("sentiment"))
 

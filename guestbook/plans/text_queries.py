@@ -61,6 +61,34 @@ def _(spark, sf_dir):
     return words.word_scores(text_reviews(spark, sf_dir), lexicon(spark, sf_dir), 20)
 
 
+# A stand-in for inflected words: of two words of the lexicon that share their first three letters, the longer one is
+# named as a form of the shorter, and all others go by the endings of comparison.
+EXCEPTION_SQL = """select a.word as form, b.word as base from {lex} a join {lex} b
+    on substring(a.word, 1, 3) = substring(b.word, 1, 3) and length(a.word) = length(b.word) + 3"""
+
+
+@query(
+    "q1_word_scores_of_inflected_words",
+    f"""{TR}, exc as ({EXCEPTION_SQL.format(lex="lex")}),
+    w as (select 'positive' as polarity, Reviewer_Score, unnest(string_split_regex(lower(Positive_Review), '[\t-\r ]+')) as word from r
+      union all select 'negative', Reviewer_Score, unnest(string_split_regex(lower(Negative_Review), '[\t-\r ]+')) from r),
+    f as (select polarity, word, avg(Reviewer_Score) as avg_score, count(*) as word_count from w where word <> ''
+      group by 1, 2 having count(*) >= 20),
+    cand as (select word, word as base, 'a r' as pos from f
+      union all select word, base, 'a r' from f join exc on form = word
+      union all select word, left(word, length(word) - 2), 'a' from f where word like '%er' and word not in (select form from exc)
+      union all select word, left(word, length(word) - 1), 'a' from f where word like '%er' and word not in (select form from exc)
+      union all select word, left(word, length(word) - 3), 'a' from f where word like '%est' and word not in (select form from exc)
+      union all select word, left(word, length(word) - 2), 'a' from f where word like '%est' and word not in (select form from exc))
+    select * from f where word in (select cand.word from cand join lex on lex.word = base and contains(cand.pos, lex.pos)
+      where lex.pos in ('a', 'r'))""",
+)
+def _(spark, sf_dir):
+    lex = lexicon(spark, sf_dir)
+    exceptions = spark.sql(EXCEPTION_SQL, lex=lex)
+    return words.word_scores(text_reviews(spark, sf_dir), lex, 20, inflected=True, exceptions=exceptions)
+
+
 @query("q1c_descriptive_words", f"{TR} select word from lex where pos in ('a', 'r')")
 def _(spark, sf_dir):
     return words.descriptive_words(lexicon(spark, sf_dir))
@@ -432,6 +460,39 @@ def _(spark, sf_dir):
     return sentiment.model_sentiment(text_reviews(spark, sf_dir), load_length_model, STRONG, TEXT)
 
 
+def load_token_counter():
+    """A tokenizer that SQL can state: a token for every four characters of a word, or part of them."""
+    return lambda words: [-(-len(word) // 4) for word in words]
+
+
+def cut_class_sql(text: str) -> str:
+    """Class of a text by its length after it was cut to 100 tokens."""
+    return f"""case when {text} = '' or fits = 0 and n > 0 then 0 when fits = n then length(plain) % 3 - 1 else kept % 3 - 1 end"""
+
+
+CUT_CLASSES = f"""select doc_id, max(c) filter (where side = 'p') as pc, max(c) filter (where side = 'n') as nc from (
+      select doc_id, side, {cut_class_sql("raw")} as c from (
+        select doc_id, side, raw, plain, count(w) as n, count(w) filter (where total <= 100) as fits,
+          cast(coalesce(sum(length(w) + 1) filter (where total <= 100), 1) - 1 as bigint) as kept
+        from (select *, sum((length(w) + 3) // 4) over (partition by doc_id, side order by ix) as total from (
+            select doc_id, side, raw, plain, unnest(ws) as w, generate_subscripts(ws, 1) as ix
+            from (select *, case when len(list_filter(string_split_regex(plain, '[{SPACE}]+'), lambda x: x <> '')) = 0 then [null]
+                else list_filter(string_split_regex(plain, '[{SPACE}]+'), lambda x: x <> '') end as ws
+              from (select doc_id, 'p' as side, p as raw, {plain_sql("p")} as plain from j
+                union all select doc_id, 'n', n, {plain_sql("n")} from j))))
+        group by doc_id, side, raw, plain)) group by doc_id"""
+
+
+@query(
+    "q9c_model_sentiment_within_tokens",
+    f"""{TR}, {review_rule_sql(CUT_CLASSES)}
+    select doc_id, Hotel_Name, v as sentiment_value, {CLASS_NAME} as sentiment from cl""",
+)
+def _(spark, sf_dir):
+    df = text_reviews(spark, sf_dir)
+    return sentiment.model_sentiment(df, load_length_model, STRONG, TEXT, load_counter=load_token_counter, most_tokens=100)
+
+
 @query(
     "q9c_model_sentiment_of_lemmas",
     f"""{TR}, {review_rule_sql(LEMMA_LENGTH_CLASSES)}

@@ -9,7 +9,7 @@ from __spark_entry__ import queries
 from guestbook import shared
 from guestbook.plans.registry import QUERIES
 
-WITH_MODEL = {"q9c_model_sentiment", "q9c_model_sentiment_of_lemmas", "q10c_model_summary"}
+WITH_MODEL = {"q9c_model_sentiment", "q9c_model_sentiment_within_tokens", "q9c_model_sentiment_of_lemmas", "q10c_model_summary"}
 NOT_NATIVE = "BatchEvalPython ArrowEvalPython MapInPandas MapInArrow InPandas InArrow CartesianProduct BroadcastNestedLoopJoin".split()
 
 

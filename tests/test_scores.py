@@ -207,3 +207,18 @@ def test_large_lexicon_is_not_broadcast(spark, tmp_path):
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     small = words.word_scores(df, large_lexicon(spark, tmp_path / "again").limit(9), 1)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+
+
+def test_inflected_words(spark):
+    lexicon = spark.createDataFrame([("big", "a"), ("quick", "a"), ("nice", "a"), ("good", "a"), ("bett", "a"), ("fast", "r"), ("her", "n"), ("rest", "n"), ("h", "n"), ("well", "r"), ("clev", "r")], "word string, pos string")
+    exceptions = spark.createDataFrame([("bigger", "big"), ("better", "good"), ("better", "well"), ("worser", "nothing"), (None, "good")], "form string, base string")
+    names = ["big", "bigger", "quickest", "nicer", "nicest", "better", "faster", "clever", "her", "rest", "er", "est", "hotel", "worser", "quicker"]
+    table = spark.createDataFrame([(name, i) for i, name in enumerate(names)] * 2, "word string, n int")
+    for max_bytes in (0, 1 << 25):
+        got = words.descriptive_forms(table, lexicon, exceptions, max_bytes)
+        assert rows(got) == sorted([(name, names.index(name)) for name in ("big", "bigger", "quickest", "nicer", "nicest", "better", "quicker")] * 2)
+        bare = words.descriptive_forms(table, lexicon, None, max_bytes).select("word").distinct()
+        assert {row.word for row in bare.collect()} == {"big", "quickest", "nicer", "nicest", "better", "quicker"}  # "bett" is in the lexicon
+    df = spark.createDataFrame([("bigger nicer hotel", "quickest her", 8.0)], "Positive_Review string, Negative_Review string, Reviewer_Score double")
+    got = words.word_scores(df, lexicon, 1, inflected=True, exceptions=exceptions)
+    assert rows(got) == [("negative", "quickest", 8.0, 1), ("positive", "bigger", 8.0, 1), ("positive", "nicer", 8.0, 1)]

@@ -271,3 +271,92 @@ def test_model_summary(spark):
     df = spark.createDataFrame([("text",)], "corpus string")
     answered = df.select(summary.model_summary(F.col("corpus"), lambda: lambda batch: "<think>x</think>" + batch))
     assert answered.first()[0] == "text"
+
+
+ENTRIES = [("the bomb", 3.0), ("the bomb squad", -1.0), ("squad good", 5.0), ("Kiss of death", -1.5), ("not  good", -4.0)]
+# Text, and its sum by plain words, with phrases, with "but", with emphasis, and with all of them and two rules.
+COUNTED = [
+    ("good bad", 0.0, 0.0, 0.0, 0.0, 0.0),
+    ("the bomb", 0.0, 3.0, 0.0, 0.0, 3.0),
+    ("This is The Bomb squad good!", 2.0, 1.0, 2.0, 2.292, 1.292),  # the longest phrase takes "squad", "good" counts alone
+    ("the bomb. The bomb, squad", 0.0, 2.0, 0.0, 0.0, 2.0),
+    ("kiss of death, kiss of", 0.0, -1.5, 0.0, 0.0, -1.5),
+    ("good but bad", 0.0, 0.0, -2.0, 0.0, -2.0),
+    ("good. But, good but great!", 7.0, 7.0, 8.5, 7.292, 8.792),  # only the first contrast word parts the text
+    ("but", 0.0, 0.0, 0.0, 0.0, 0.0),
+    ("GOOD but bad!!", 0.0, 0.0, -2.0, 1.317, -2.2175),
+    ("good?? really???", 2.0, 2.0, 2.0, 2.96, 2.96),
+    ("good??", 2.0, 2.0, 2.0, 2.36, 2.36),
+    ("bad!!!!!!", -2.0, -2.0, -2.0, -3.168, -3.168),
+    ("GREAT GOOD", 5.0, 5.0, 5.0, 5.0, 5.0),  # nothing but capitals is no emphasis
+    ("BAD food", -2.0, -2.0, -2.0, -2.733, -2.733),
+    ("not the bomb", 0.0, 3.0, 0.0, 0.0, -2.22),
+    ("not good", 2.0, -4.0, 2.0, 2.0, -4.0),
+    ("very GOOD food", 2.0, 2.0, 2.0, 2.733, 3.026),
+    ("", 0.0, 0.0, 0.0, 0.0, 0.0),
+    (None, 0.0, 0.0, 0.0, 0.0, 0.0),
+]
+
+
+@pytest.mark.parametrize("max_bytes", [0, 1 << 25])
+def test_phrases_contrast_and_emphasis(spark, lexicon, max_bytes):
+    texts = spark.createDataFrame([(i, row[0]) for i, row in enumerate(COUNTED)], "id int, t string")
+    every, phrases = sentiment.split_lexicon(lexicon.unionByName(spark.createDataFrame(ENTRIES, "word string, valence double")))
+    assert (every.count(), phrases.count()) == (len(LEXICON), len(ENTRIES))
+    rules = {"negations": ["not"], "boosters": {"very": 0.293}}
+    ways = [{}, {"phrases": phrases}, {"contrast": ["but"]}, {"emphasis": True}, {"phrases": phrases, "contrast": ["but"], "emphasis": True, **rules}]
+    for n, way in enumerate(ways, 1):
+        got = sentiment.review_valences(texts, ["id"], {"s": "t"}, every, max_bytes=max_bytes, **way)
+        found = {row.id: row.s for row in got.collect()}
+        assert [found[i] for i in range(len(COUNTED))] == pytest.approx([row[n] for row in COUNTED]), way
+
+
+def test_two_texts_of_a_review_keep_their_phrases_and_marks_apart(spark, lexicon):
+    df = spark.createDataFrame([(1, "the bomb!", "good bad the"), (2, None, "bomb? ? good")], "id int, a string, b string")
+    phrases = spark.createDataFrame(ENTRIES, "phrase string, valence double")
+    got = sentiment.review_valences(df, ["id"], {"x": "a", "y": "b"}, lexicon, phrases=phrases, emphasis=True)
+    assert {row.id: (round(row.x, 6), round(row.y, 6)) for row in got.collect()} == {1: (3.292, 0.0), 2: (0.0, 2.36)}
+
+
+def test_split_forms_expand_in_place(spark):
+    df = spark.createDataFrame([(1, "We cannot say, gonna go the way"), (2, "the"), (3, None), (4, "gonna")], "id int, t string")
+    splits = spark.createDataFrame([("cannot", ["can", "not"]), ("gonna", ["going", "the", "to"])], "form string, words array<string>")
+    lemmas = spark.createDataFrame([("going", "go"), ("can", "be able")], "form string, lemma string")
+    for max_bytes in (0, 1 << 25):
+        got = sentiment.normalised_texts(df, "t", ["the"], lemmas, C, max_bytes, splits)
+        assert rows(got) == [(1, "we be able not say go to go way"), (2, ""), (3, ""), (4, "go to")]
+        got = sentiment.normalised_texts(df, "t", (), None, C, max_bytes, splits)
+        assert rows(got)[0] == (1, "we can not say going the to go the way")
+
+
+def test_lemmas_are_looked_up_in_the_lexicon_alone(spark, lexicon):
+    lemmas = spark.createDataFrame([("goods", "good"), ("worse", "bad"), ("great", "thing"), ("mixed", "Good bad bad")], "form string, lemma string")
+    assert rows(sentiment.lemma_valences(lexicon, lemmas)) == [(":)", 1.0), ("bad", -2.0), ("good", 2.0), ("goods", 2.0), ("mixed", -2.0), ("worse", -2.0)]
+    df = reviews(spark, ("goods goods great", "worse mixed"), ("great", None))
+    got = sentiment.review_sentiment(df, lexicon, c=C, lemmas=lemmas)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_the_model_is_sent_what_its_tokens_allow(spark):
+    sent = []
+
+    def count(words):
+        assert len(set(words)) == len(words)
+        return [len(word) for word in words]
+
+    texts = sentiment.pd.Series(["aa  bb", "aaaa bb cc", "aaaaaa", "", "a a a a a a", "a\tbbb c"])
+    got = sentiment.within_tokens(texts, count, 5)
+    assert got.tolist() == ["aa  bb", "aaaa", None, "", "a a a a a", "a\tbbb c"]
+    assert sentiment.within_tokens(texts[:0], count, 5).tolist() == []
+
+    def load_model():
+        def classes(texts):
+            assert texts.notna().all() and all(sum(map(len, text.split())) <= 5 for text in texts)
+            return texts.str.len() % 3 - 1
+
+        return classes
+
+    df = reviews(spark, ("aa bb cc", "dddddd"), ("no positive", "a b"), ("toolong x", None))
+    got = sentiment.model_sentiment(df, load_model, c=C, load_counter=lambda: count, most_tokens=5)
+    assert got.count() == 3 and not sent
