@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,27 +11,19 @@ from guestbook.shared import drop_tables, settled
 ROUNDS = 60
 
 
-class Forest:
-    """Links inside one task as a union-find over positions: the smaller position is the root."""
-
-    def __init__(self, size: int):
-        self.parent = list(range(size))
-
-    def root(self, i: int) -> int:
-        parent = self.parent
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    def link(self, a: int, b: int) -> None:
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-
-    def edges(self) -> list[tuple[int, int]]:
-        """Every position that is not a root, with its root."""
-        return [(i, self.root(i)) for i in range(len(self.parent)) if self.parent[i] != i]
+def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label``, the smallest position that each position reaches, after links between positions ``a`` and ``b``:
+    components take their smallest partner's label, round by round over the links whose ends still differ."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return label
+        a, b = a[apart], b[apart]
+        low, high = np.minimum(x[apart], y[apart]), np.maximum(x[apart], y[apart])
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label = label[label]
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guestbook.llm.batches import batch
-from guestbook.llm.components import Forest, components
+from guestbook.llm.components import components, joined
 from guestbook.shared import settled
 
 THRESHOLD = 0.95
@@ -159,7 +159,7 @@ def _links(index: MultiIndex, threshold: float, table: pa.Table) -> pa.Table:
     table = table.take(order)
     cut = int(home.sum())
     cids, copies = table.column("cid").to_numpy(), table.column("copies").to_numpy()
-    counts, forest = np.zeros(len(table), np.int64), Forest(len(table))
+    counts, label = np.zeros(len(table), np.int64), np.arange(len(table))
     if 0 < cut < len(table):
         points = units(_matrix(table.column("vector").combine_chunks()))
         cells, outside = index.cells(points), index.outside(points)
@@ -176,35 +176,18 @@ def _links(index: MultiIndex, threshold: float, table: pa.Table) -> pa.Table:
                 np.add.at(counts, q, copies[y])
                 unasked = outside[0][y, cells[q, 0]] + outside[1][y, cells[q, 1]] > index.bound
                 np.add.at(counts, y[unasked], copies[q[unasked]])
-                for a, b in zip(*_spanning(q, y, len(table))):
-                    forest.link(a, b)
-    edges = np.array(forest.edges(), np.int64).reshape(-1, 2)
+                label = joined(label, q, y)
+    tied = np.nonzero(label != np.arange(len(label)))[0]
     linked = np.nonzero(counts)[0]
     return pa.table(
         {
-            "u": np.concatenate((cids[linked], cids[edges[:, 0]])),
-            "v": np.concatenate((cids[linked], cids[edges[:, 1]])),
-            "n": np.concatenate((counts[linked], np.zeros(len(edges), np.int64))),
+            "u": np.concatenate((cids[linked], cids[tied])),
+            "v": np.concatenate((cids[linked], cids[label[tied]])),
+            "n": np.concatenate((counts[linked], np.zeros(len(tied), np.int64))),
         }
     )
 
 
-def _spanning(q: np.ndarray, y: np.ndarray, size: int) -> tuple[list[int], list[int]]:
-    """Links that span the same components: each end's smallest partner, round by round over what is left."""
-    label = np.arange(size)
-    while True:
-        a, b = label[q], label[y]
-        apart = a != b
-        if not apart.any():
-            break
-        low, high = np.minimum(a[apart], b[apart]), np.maximum(a[apart], b[apart])
-        np.minimum.at(label, high, low)
-        while (label[label] != label).any():
-            label = label[label]
-    moved = np.nonzero(label != np.arange(size))[0]
-    return moved.tolist(), label[moved].tolist()
-
-
 def class_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
     """(u, v, n) over ``classes(cid, vector, copies)`` of equal length: a row with u = v adds n links to class
     u, any other is an edge of a forest that spans the links."""

@@ -5,7 +5,10 @@ each node those within the median distance of the vantage point go left, the oth
 fingerprint also goes to the shards across each boundary that the triangle inequality cannot exclude: left
 if ``d - radius <= median``, right if ``d + radius > median``. Inside a shard a smaller tree of the same kind
 prunes branches for whole arrays of queries, and leaves compare fingerprints bit by bit. So every pair within the radius is found,
-in the home shard of one of its two ends. A task sends on no pairs but the forest that they span.
+in the home shard of one of its two ends. A shard is dealt over tasks in blocks: each home block meets each block of
+the queries, so that a task holds two blocks however many fingerprints a shard has or is asked by. It sends on no pairs
+but the forest that they span. Copies in other shards, which queries are, grow faster than the fingerprints: about
+with their power 1.75 at the radius of 4 bits.
 
 Copies share a fingerprint and meet in a partial aggregate, so that the trees see each fingerprint once.
 
@@ -25,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guestbook.llm.batches import batch, encoded_texts_of, narrow
-from guestbook.llm.components import Forest, components
+from guestbook.llm.components import components, joined
+from guestbook.operators.joins import join_lookup
 from guestbook.shared import settled
 
 SHINGLE_WORDS = 4
@@ -35,6 +39,8 @@ SHARD_FINGERPRINTS = 100_000
 SAMPLE = 4_096  # fingerprints that the top tree is grown from, or this many for each of its shards:
 SAMPLE_OF_SHARD = 8
 MOST_SHARDS = 50_000
+BLOCK = 200_000  # fingerprints of either side that a task holds
+PAIRS_AT_ONCE = 1 << 20
 LEAF = 96
 CHUNK = 1 << 15
 
@@ -157,17 +163,32 @@ def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     def search(table: pa.Table) -> pa.Table:
         points = table.column("fp").to_numpy().view(np.uint64)
-        at_home = np.nonzero(table.column("home").to_numpy())[0]
-        forest = Forest(len(points))
-        if len(at_home):
-            for queries, homes in _pairs(points[at_home], points, radius):
-                for a, b in zip(queries.tolist(), at_home[homes].tolist()):
-                    forest.link(a, b)
-        edges = np.array(forest.edges(), np.int64).reshape(-1, 2)
+        asks = table.column("asks").to_numpy()
+        homes, queries = np.nonzero(~asks)[0], np.nonzero(asks)[0]
+        label, held, size = np.arange(len(points)), [], 0
+        if len(homes) and len(queries):
+            for q, h in _pairs(points[homes], points[queries], radius):
+                held.append((queries[q], homes[h]))
+                size += len(q)
+                if size > PAIRS_AT_ONCE:
+                    label, held, size = _joined(label, held), [], 0
+        label = _joined(label, held)
+        linked = np.nonzero(label != np.arange(len(label)))[0]
         signed = points.view(np.int64)
-        return pa.table({"u": signed[edges[:, 0]], "v": signed[edges[:, 1]]})
+        return pa.table({"u": signed[linked], "v": signed[label[linked]]})
 
-    return distinct.mapInArrow(deal, "shard int, fp long, home boolean").groupBy("shard").applyInArrow(search, "u long, v long")
+    dealt = settled(distinct.mapInArrow(deal, "shard int, fp long, home boolean"), "dealt-fingerprints")
+    sizes = dealt.groupBy("shard").agg(F.count_if("home").alias("homes"), F.count("*").alias("queries"))
+    blocks = sizes.selectExpr("shard", f"ceil(homes / {BLOCK}) as home_blocks", f"ceil(queries / {BLOCK}) as query_blocks")
+    dealt = join_lookup(dealt, blocks.filter("home_blocks > 0"), "shard", costly=True)
+    own, every = "pmod(xxhash64(fp, 'block'), {0}_blocks)", "explode(sequence(0L, {0}_blocks - 1L))"
+    asking = dealt.selectExpr("shard", "fp", f"{own.format('query')} as q", f"{every.format('home')} as h", "true as asks")
+    held = dealt.filter("home").selectExpr("shard", "fp", f"{every.format('query')} as q", f"{own.format('home')} as h", "false as asks")
+    return asking.unionByName(held).groupBy("shard", "h", "q").applyInArrow(search, "u long, v long")
+
+
+def _joined(label: np.ndarray, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    return joined(label, *(np.concatenate(ends) for ends in zip(*links))) if links else label
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,8 +5,9 @@ import pytest
 import xxhash
 from conftest import SMALL, rows
 
+from pyspark.sql import functions as F
 from guestbook.llm import simhash
-from guestbook.llm.components import components
+from guestbook.llm.components import components, joined
 from llm.conftest import ODD, roots
 
 
@@ -52,9 +53,11 @@ def test_empty_table(documents):
     assert simhash.near_duplicates(documents([])).count() == 0
 
 
-@pytest.mark.parametrize("shard", [20, 100_000])
-def test_trees_find_every_pair(spark, monkeypatch, shard):
+@pytest.mark.parametrize("shard, block", [(20, 200_000), (100_000, 200_000), (100, 30), (100_000, 50)])
+def test_trees_find_every_pair(spark, monkeypatch, shard, block):
     monkeypatch.setattr(simhash, "SHARD_FINGERPRINTS", shard)
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "PAIRS_AT_ONCE", 10)
     monkeypatch.setattr(simhash, "SAMPLE", 64)
     random.seed(2)
     found = {random.getrandbits(64) for _ in range(150)}
@@ -73,6 +76,22 @@ def test_trees_find_every_pair(spark, monkeypatch, shard):
     assert [got.get(x, x) for x in order] == [order[r] for r in want]
 
 
+def test_clashing_columns(documents):
+    pairs = near_copies(30)
+    clash = documents(pairs).withColumns({name: F.lit(name) for name in ("fp", "node", "root", "shard", "home", "fingerprint", "component_id")})
+    assert rows(simhash.near_duplicates(clash)) == expected(pairs)
+
+
+def test_links_are_joined_like_one_by_one():
+    draw = np.random.default_rng(3)
+    for n in (1, 2, 50, 400):
+        a, b = draw.integers(0, n, n // 2), draw.integers(0, n, n // 2)
+        want = roots(n, zip(a.tolist(), b.tolist()))
+        assert joined(np.arange(n), a, b).tolist() == want
+        half = len(a) // 2
+        assert joined(joined(np.arange(n), a[:half], b[:half]), a[half:], b[half:]).tolist() == want
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(0, i) for i in range(1, 30)] + [(7, 7), (60, 50)]
     got = {row.node: row.root for row in components(spark.createDataFrame(edges, "u long, v long")).collect()}
