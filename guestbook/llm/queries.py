@@ -78,7 +78,7 @@ with raw as (
   select doc_id, k, line, regexp_replace(line, '^[ \t\n\r\v\f]+|[ \t\n\r\v\f]+$', '', 'g') as bare from raw
 ), solid as (
   select doc_id, k, bare, row_number() over (partition by doc_id order by k) as pos,
-    len(regexp_split_to_array(bare, '[ \t\n\r\v\f]+')) as words
+    greatest(len(regexp_split_to_array(bare, '[ \t\n\r\v\f]+')), strlen(bare) // 16) as words
   from cut where bare <> ''
 ), runs as (
   select doc_id, pos, 1 as len, words, [bare] as content from solid
@@ -108,8 +108,9 @@ from counted
 
 @_query("op7_line_dedup", OP7_SQL)
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without the later copies of repeated runs of lines with four words or more."""
-    return lines.without_repeated_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+    """Documents without the later copies of repeated runs of lines with four words or more, where a line has a word for
+    each 16 bytes at least."""
+    return lines.without_repeated_lines(_documents(spark, sf_dir).select("doc_id", "text"), word_bytes=16)
 
 
 @_query("op9_token_counts")
