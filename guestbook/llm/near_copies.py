@@ -1,17 +1,20 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates come from MinHash bands: a text has ``BANDS`` of them, each a hash of ``ROWS`` minima over its shingles
+Candidates come from two sides. Fingerprints over the same shingles go through the vantage-point trees of ``simhash``,
+which give the links of texts whose fingerprints differ in few bits. Others come from MinHash bands: a text has ``BANDS`` of them, each a hash of ``ROWS`` minima over its shingles
 under as many multipliers. Two texts of similarity s share a band with probability 1 - (1 - s**ROWS)**BANDS: 0.999995
 at 0.8, more above. Every candidate link is verified by the exact Jaccard similarity of the two sets. Texts with
 equal sets are one class and are compared once.
 
-Links are verified in two rounds. First each member of a band is compared with the band's smallest member, which
-connects a large group of near copies by one comparison for each member. The second round takes only texts of bands
+Links are verified in two rounds. First each member of a band is compared with the band's hub, the member that meets
+the most texts in all its bands: of an original and its copies, which may be less similar to each other than to it,
+that is the original. So a large group of near copies is connected by few comparisons for each member. The second round takes only texts of bands
 whose members are still in different components, and pairs them by prefixes: with its shingles in ascending order of
 how many of these texts have them, a set of n shares one of its first n - ceil(0.8 n) + 1 with every set that is
-similar enough. So texts that share a template, but not 0.8 of their shingles, meet by their rare shingles alone, that
-is mostly not at all; what they have in common is in no prefix. Sizes and places in the prefix leave out pairs that
-cannot reach the similarity any more. Sets are compared row by row in Spark, whatever their sizes.
+similar enough (the smaller of two sets by a shorter prefix still). So texts that share a template, but not 0.8 of
+their shingles, meet by their rare shingles alone, that is mostly not at all; what they have in common is in no prefix.
+Sizes, places in the prefix and the number of shingles that a set has alone leave out pairs that cannot reach the
+similarity any more. Sets are compared row by row in Spark, whatever their sizes.
 
 Defined results: words are parted by ASCII white space and compared without the case of ASCII letters, as in
 ``simhash``; up to five words are one shingle; texts without words are copies of each other. Extra columns are
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 
 from guestbook.llm.batches import batch, encoded_texts_of, give_back, narrow
 from guestbook.llm.components import components
+from guestbook.llm.simhash import near_links
 from guestbook.operators.joins import join_lookup
 from guestbook.shared import drop_tables, settled
 
@@ -39,6 +43,7 @@ BANDS = 40
 ROWS = 6
 SEED = 42
 CHUNK = 128
+BITS_AT_ONCE = 1 << 15
 PART = 256  # texts of a batch that are held as Python objects at a time
 MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -64,16 +69,25 @@ def bands(hashes: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(part.tobytes(), k) for k, part in enumerate(least.reshape(BANDS, ROWS))], np.uint64).view(np.int64)
 
 
+def fingerprint(hashes: np.ndarray) -> int:
+    """Bits that are set in over half of the hashes of the set; 0 for none."""
+    set_bits = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), BITS_AT_ONCE):
+        set_bits += np.unpackbits(hashes[at : at + BITS_AT_ONCE].view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(set_bits * 2 > len(hashes)).tobytes(), "little", signed=True)
+
+
 def _sketches(rows: DataFrame) -> DataFrame:
-    """(key, d1, d2, size, bands): digest and size of the set, and the bands of a set that is not empty."""
+    """(key, d1, d2, size, fp, bands): digest, size and fingerprint of the set, and the bands of one that is not empty."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            digests, sizes, found = [], [], []
+            digests, sizes, prints, found = [], [], [], []
             for at in range(0, rows.num_rows, PART):
                 for hashes in map(shingles, encoded_texts_of(rows.column("text").slice(at, PART))):
                     digests.append(xxhash.xxh3_128_digest(hashes.tobytes()))
                     sizes.append(len(hashes))
+                    prints.append(fingerprint(hashes))
                     found.append(bands(hashes) if len(hashes) else np.empty(0, np.int64))
             digests = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             yield batch(
@@ -81,11 +95,12 @@ def _sketches(rows: DataFrame) -> DataFrame:
                 d1=pa.array(digests[:, 0].copy()),
                 d2=pa.array(digests[:, 1].copy()),
                 size=pa.array(sizes, pa.int64()),
+                fp=pa.array(prints, pa.int64()),
                 bands=pa.array(found, pa.list_(pa.int64())),
             )
         give_back()
 
-    return rows.mapInArrow(work, "key long, d1 long, d2 long, size long, bands array<long>")
+    return rows.mapInArrow(work, "key long, d1 long, d2 long, size long, fp long, bands array<long>")
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -121,16 +136,34 @@ def _by_prefix(sets: DataFrame, roots: DataFrame, similarity: float) -> DataFram
     found = each.hint("merge").join(times, "shingle", "left").withColumn("times", F.coalesce("times", F.lit(1)))
     order = F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("order")
     prefix = F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-9).cast("int") + 1
-    found = found.groupBy("key", "size").agg(order).select("key", "size", F.posexplode(F.slice("order", F.lit(1), prefix)).alias("at", "o"))
-    found = found.filter("o.times > 1").select("key", "size", "at", F.col("o.shingle").alias("shingle"))
+    found = found.groupBy("key", "size").agg(order, F.count_if(F.col("times") == 1).alias("own"))
+    found = found.select("key", "size", "own", F.posexplode(F.slice("order", F.lit(1), prefix)).alias("at", "o"))
+    found = found.filter("o.times > 1").select("key", "size", "own", "at", F.col("o.shingle").alias("shingle"))
     found = found.hint("merge").join(roots, "key")
     ends = found.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("shingle")
     found = settled(found.hint("merge").join(ends, "shingle", "left_semi"), "prefixes")
-    other = found.selectExpr("shingle", "key as v", "root as v_root", "size as v_size", "at as v_at")
-    both = found.hint("merge").join(other, "shingle").filter("key < v and root <> v_root").filter(_fits(similarity, "size", "v_size"))
+    # Of two sets the smaller one needs a shorter prefix: it shares more than that part of itself with a larger one.
+    shorter = F.col("size") - F.ceil(F.lit(2 * similarity / (1 + similarity)) * F.col("size") - 1e-9) + 1
+    smaller = found.filter(F.col("at") < shorter)
+    smaller = smaller.selectExpr("shingle", "key as v", "root as v_root", "size as v_size", "own as v_own", "at as v_at")
+    both = found.hint("merge").join(smaller, "shingle").filter("(v_size, v) < (size, key) and root <> v_root")
+    both = both.filter(_fits(similarity, "size", "v_size"))
     least = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("size") + F.col("v_size")) - 1e-9)
-    both = both.filter(F.least(F.col("size") - F.col("at"), F.col("v_size") - F.col("v_at")) + F.least("at", "v_at") >= least)
-    return both.select(F.col("key").alias("u"), "v").distinct()
+    both = both.filter(F.least(F.col("size") - F.col("own"), F.col("v_size") - F.col("v_own")) >= least)
+    before = F.least(F.col("at") - F.col("own"), F.col("v_at") - F.col("v_own"))
+    both = both.filter(F.least(F.col("size") - F.col("at"), F.col("v_size") - F.col("v_at")) + before >= least)
+    return both.selectExpr("least(key, v) as u", "greatest(key, v) as v").distinct()
+
+
+def _by_trees(alone: DataFrame) -> DataFrame:
+    """Pairs (u, v) of ``alone(key, fp)``: texts with one fingerprint, each with the first of them, and the first texts
+    of fingerprints that the trees link."""
+    prints = settled(alone.groupBy("fp").agg(F.min("key").alias("first")), "fingerprints")
+    linked = near_links(prints.select("fp"))
+    linked = join_lookup(linked, prints.selectExpr("fp as u", "first as a"), "u", costly=True)
+    linked = join_lookup(linked, prints.selectExpr("fp as v", "first as b"), "v", costly=True)
+    equal = alone.select("key", "fp").hint("merge").join(prints, "fp").filter("key <> first")
+    return equal.selectExpr("first as u", "key as v").unionByName(linked.selectExpr("least(a, b) as u", "greatest(a, b) as v"))
 
 
 def _fits(similarity: float, a: str, b: str) -> str:
@@ -143,17 +176,23 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, key: str = "key
     rows = narrow(docs, key=key, text=text)
     sketches = settled(_sketches(rows), "sketches")
     classes = settled(sketches.groupBy("d1", "d2").agg(F.min("key").alias("node")), "classes")
-    alone = sketches.hint("merge").join(classes.select(F.col("node").alias("key")), "key", "left_semi")
+    alone = settled(sketches.hint("merge").join(classes.select(F.col("node").alias("key")), "key", "left_semi"), "one-of-each")
     every = settled(alone.select(F.col("key").alias("node"), "size", F.explode("bands").alias("band")), "bands")
-    shared = every.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last").select("band", "hub")
-    members = settled(every.hint("merge").join(shared, "band"), "band-members")  # a hot band is split by adaptive execution
+    shared = every.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    met = settled(every.hint("merge").join(shared, "band"), "met-in-bands")  # a hot band is split by adaptive execution
+    often = met.groupBy("node").agg(F.sum("n").alias("met"))
+    met = settled(met.drop("n").hint("merge").join(often, "node"), "band-members")
+    central = F.max(F.struct("met", F.bitwise_not("node").alias("other"))).alias("c")
+    hubs = met.groupBy("band").agg(central).select("band", F.bitwise_not("c.other").alias("hub"))
+    members = settled(met.drop("met").hint("merge").join(hubs, "band"), "hub-members")
     sizes = members.filter("node = hub").select("hub", F.col("size").alias("hub_size")).distinct()
     asked = members.filter("node <> hub").select("node", "hub", "size").distinct().hint("merge").join(sizes, "hub")
-    asked = settled(asked.filter(_fits(similarity, "size", "hub_size")).selectExpr("hub as u", "node as v"), "hub-pairs")
+    asked = asked.filter(_fits(similarity, "size", "hub_size")).selectExpr("least(hub, node) as u", "greatest(hub, node) as v")
+    asked = settled(asked.unionByName(_by_trees(alone)).distinct(), "first-pairs")
     wanted = asked.selectExpr("explode(array(u, v)) as key").distinct()
     sets = settled(_sets(join_lookup(rows, wanted, "key", "left_semi", costly=True)), "sets")
     links = _verified(sets, asked, similarity, "hub-links")
-    drop_tables(every, sets, asked)
+    drop_tables(every, alone, met, sets, asked)
     roots = settled(components(links), "hub-components")
     placed = members.hint("merge").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
