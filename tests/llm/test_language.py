@@ -100,3 +100,9 @@ def plain_grams(text, n):
     words = "".join(c.lower() if c.isalpha() else " " for c in text).split()
     joined = " " + " ".join(words) + " "
     return [gram for gram in (joined[i : i + n] for i in range(len(joined) - n + 1)) if " " not in gram[1:-1] and gram.strip()]
+
+
+def test_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    clash = docs.withColumns({name: F.lit(name) for name in ("held_out", "lang_pred", "score", "gram", "times", "n")})
+    assert rows(language.language_of(clash)) == rows(language.language_of(docs))

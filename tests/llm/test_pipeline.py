@@ -1,6 +1,7 @@
 import public_tokenizers
 import pytest
 from conftest import SMALL, rows
+from pyspark.sql import functions as F
 
 import check
 import corpus_pipeline
@@ -86,6 +87,16 @@ def test_run_equals_its_stages(spark):
     assert language.UNKNOWN == "und" and simhash.RADIUS == 4
 
 
-@pytest.mark.parametrize("name", ["op2_exact_dedup", "op7_line_dedup"])
+@pytest.mark.parametrize("name", ["language", "lines", "near-duplicates", "mixing"])
+def test_stages_pass_clashing_columns_through(spark, documents, name):
+    names = ("doc", "version", "_runs", "row", "_key", "_part", "_local", "lang_pred_", "component", "key")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = stage(name)(spark, docs.withColumns({x: F.lit(x) for x in names}), SMALL)
+    assert got.columns == [*docs.columns, *names]
+    assert rows(got.select(*docs.columns)) == rows(stage(name)(spark, docs, SMALL))
+    assert [tuple(row) for row in got.select(*names).distinct().collect()] == [names]
+
+
+@pytest.mark.parametrize("name", ["op1_multi_index", "op2_exact_dedup", "op7_line_dedup", "op11_source_divergence", "op13_vector_codes"])
 def test_query_equals_sql(spark, database, name):
     assert check.difference(spark, database, SMALL, name) is None

@@ -152,3 +152,13 @@ def test_encoded_chunks_equal_the_library(monkeypatch):
         monkeypatch.setattr(chunk_ids, "LONG_CHARS", long)
         assert list(made.texts(pa.array(texts, pa.string()))) == want
     assert not made.whole.encode("").ids and chunk_ids.Encoder(WORDS).by_chunks is False
+
+
+def test_clashing_columns(spark, documents, tmp_path):
+    table = documents([(1, "some words"), (2, None), (2, "again"), (None, "no id")])
+    clash = table.withColumns({name: F.lit(name) for name in ("ids", "tie", "is_repeated", "n", "id_bytes", "shard", "piece", "n_tokens", "start", "n_bytes")})
+    for name, docs in (("plain", table), ("clash", clash)):
+        token_files.write_tokens(docs, f"{tmp_path}/{name}", BYTES, end_id=2)
+    assert rows(token_files.read_tokens(spark, f"{tmp_path}/plain")) == rows(token_files.read_tokens(spark, f"{tmp_path}/clash"))
+    assert rows(token_counts.token_counts(clash, WORDS)) == rows(token_counts.token_counts(table, WORDS))
+    assert rows(byte_bpe.round_trips(clash, RANKS, public_tokenizers.PATTERN)) == rows(byte_bpe.round_trips(table, RANKS, public_tokenizers.PATTERN))
