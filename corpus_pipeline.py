@@ -66,12 +66,13 @@ def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def deduplicate_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first row of every group of near-duplicates: by doc_id, a null one last, then by the row's own key, so
     that repeated rows, rows that share an id and rows without one leave one row too."""
-    keyed = settled(docs.withColumn("_key", F.monotonically_increasing_id()), "keyed")
-    groups = near_copies.near_copies(keyed, key="_key").withColumnRenamed("key", "_key")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_key"))
-    ids = keyed.select("_key", "doc_id").join(groups, "_key")
-    first = ids.groupBy("component").agg(F.min(order).getField("_key").alias("_key")).select("_key")
-    return keyed.join(settled(first, "first-of-group"), "_key", "left_semi").select(*docs.columns)
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])  # its names cannot clash with the key
+    keyed = settled(docs.select(F.monotonically_increasing_id().alias("key"), row.alias("row")), "keyed")
+    groups = near_copies.near_copies(keyed.select("key", "row.text"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
+    ids = keyed.select("key", "row.doc_id").join(groups, "key")
+    first = ids.groupBy("component").agg(F.min(order).getField("key").alias("key")).select("key")
+    return keyed.join(settled(first, "first-of-group"), "key", "left_semi").select("row.*")
 
 
 @tidy
