@@ -132,3 +132,56 @@ def test_query_places_every_document(spark):
     got = queries()["op5_source_mix"](spark, SMALL).collect()
     assert sorted(row.position for row in got) == list(range(200))
     assert len({row.doc_id for row in got}) == 200
+
+
+def test_rounds_place_every_block_as_one_schedule_does(monkeypatch):
+    """However the schedule is cut, also where sources are used up, slots stay empty or sources have no weight."""
+    for seed in range(60):
+        draw = random.Random(seed)
+        weights = [draw.choice([draw.random() ** 3, draw.randint(1, 5), 1e-4, 0, None]) for _ in range(draw.randint(1, 25))]
+        blocks = [draw.randint(1, 200) for _ in weights]
+        whole = mixing.whole_weights(weights)
+        first = mixing.slots_of(whole, [n if w else 0 for w, n in zip(whole, blocks)])
+        last = max((int(some[-1]) for some in first if len(some)), default=-1)
+        rest = mixing.slots_of([1 - bool(w) for w in whole], [0 if w else n for w, n in zip(whole, blocks)], last + 1)
+        want = np.concatenate([some if w else later for w, some, later in zip(whole, first, rest)])
+        monkeypatch.setattr(mixing, "LEAST_IN_ROUND", draw.choice([1, 7, 40, 1000]))
+        monkeypatch.setattr(mixing, "IN_ROUND_OF_SOURCE", 0)
+        schedule = mixing.Schedule.of(weights, blocks, 1)
+        assert np.array_equal(schedule.slots, want)
+        assert np.array_equal(schedule.starts[np.argsort(want)], np.arange(sum(blocks)))
+
+
+@pytest.mark.parametrize("block_rows", [1, 2])
+def test_blocks_that_are_asked_for_hold_over_any_number_of_rows(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 4)
+    sizes = {f"s{k}": k + 1 for k in range(9)}
+    got = mixing.mixed(by_source(spark, sizes), None, block_rows).collect()
+    assert [(row.source, row.slot, row.block) for row in sorted(got, key=lambda row: row.position)] == walk(sizes, {s: n**0.5 for s, n in sizes.items()}, block_rows)
+
+
+def test_query_and_stage_do_not_depend_on_the_most_blocks(spark, monkeypatch):
+    import corpus_pipeline
+    from __spark_entry__ import queries
+
+    def results():
+        docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+        staged = [row.doc_id for row in dict(corpus_pipeline.STAGES)["mixing"](spark, docs, SMALL).select("doc_id").collect()]
+        return rows(queries()["op5_source_mix"](spark, SMALL)), staged
+
+    want = results()
+    assert len(want[1]) == 200
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 4)
+    assert results() == want
+
+
+def test_rows_come_in_the_order_of_the_schedule(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAST_IN_ROUND", 8)
+    monkeypatch.setattr(mixing, "IN_ROUND_OF_SOURCE", 1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = mixing.mixed(by_source(spark, {"a": 300, "b": 40, None: 9}))
+        assert got.rdd.getNumPartitions() > 1
+        assert [row.position for row in got.collect()] == list(range(349))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
