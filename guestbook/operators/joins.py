@@ -7,6 +7,9 @@ which its hint makes certain, where adaptive execution splits the partitions of
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +17,7 @@ from pyspark.sql import types as T
 from guestbook.shared import settled
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+INLINE_BYTES = 2 * 1024 * 1024
 ROW_OVERHEAD = 32
 NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -65,3 +69,24 @@ def join_lookup(
         df, lookup = df.withColumn("_without", _spread_without_key(df, on)), lookup.withColumn("_without", F.lit(0).cast("long"))
         return df.join(lookup.hint("merge"), [*on, "_without"], how).drop("_without")
     return df.join(lookup.hint("merge"), on, how)
+
+
+def inline_lookup(lookup: DataFrame, key: str, value: str, max_bytes: int = BROADCAST_BYTES) -> Callable[[Column], Column] | None:
+    """A function from a column of texts to what ``lookup`` has for them, or NULL, for use inside arrays, whose rows
+    then neither grow in number nor move. None where the lookup is over ``INLINE_BYTES`` or ``max_bytes``, has a key
+    twice or a very long one.
+
+    The table stands in the plan, as an array of small maps that a text's hash leads to.
+    """
+    listed = lookup.filter(F.col(key).isNotNull() & F.col(value).isNotNull()).select(F.col(key).alias("key"), F.col(value).alias("value"))
+    if measured_bytes(listed) > min(max_bytes, INLINE_BYTES):
+        return None
+    found = listed.select("key", "value", F.xxhash64("key").alias("hash")).collect()
+    if len({row.key for row in found}) < len(found) or max((len(row.key) for row in found), default=0) > 10_000:
+        return None
+    size = 1 << len(found).bit_length()
+    maps: list[dict] = [{} for _ in range(size)]
+    for row in found:
+        maps[row.hash % size][row.key] = row.value
+    held = F.from_json(F.lit(json.dumps(maps)), T.ArrayType(T.MapType(T.StringType(), listed.schema["value"].dataType)))
+    return lambda text: F.try_element_at(F.get(held, F.pmod(F.xxhash64(text), F.lit(size)).cast("int")), text)

@@ -36,7 +36,7 @@ from guestbook.functions.fixed_values import (
 )
 from guestbook.functions.parsing import in_city
 from guestbook.functions.text import bare, bare_word, kept_words, plain_text, stripped, words
-from guestbook.operators.joins import BROADCAST_BYTES, join_lookup
+from guestbook.operators.joins import BROADCAST_BYTES, inline_lookup, join_lookup
 from guestbook.operators.prepare import with_total_review
 from guestbook.operators.scores import of_entity
 from guestbook.schema import REVIEWS, Columns
@@ -306,14 +306,19 @@ def _normalised(
     splits: DataFrame | None = None,
 ) -> DataFrame:
     """The ``keep`` columns, which must identify a review, and the texts plain, without stop words, each word
-    as its lemma. With tables to look words up in, reviews are dealt out once as they are; lookups that fit a broadcast
-    leave a review's words in their task, where they come together again."""
+    as its lemma. Small tables to look words up in are held against the words where they stand, and nothing moves. With
+    larger ones, reviews are dealt out once as they are; lookups that fit a broadcast leave a review's words in their
+    task, where they come together again."""
     if lemmas is None and splits is None:
         plain = {
             name: F.array_join(kept_words(plain_text(F.col(name)), stop_words), " ") if stop_words else plain_text(F.col(name))
             for name in texts
         }
         return df.select(*keep, *[plain[name].alias(name) for name in texts])
+    lemma_of = lemmas is not None and inline_lookup(lemmas, "form", "lemma", max_bytes)
+    pieces_of = splits is not None and inline_lookup(splits, "form", "words", max_bytes)
+    if lemma_of is not None and pieces_of is not None:
+        return df.select(*keep, *[_looked_up(plain_text(F.col(name)), stop_words, lemma_of, pieces_of).alias(name) for name in texts])
     first = stop_words if splits is None else ()
     sides = F.array(*[F.struct(F.lit(n).alias("side"), kept_words(plain_text(F.col(name)), first).alias("words")) for n, name in enumerate(texts)])
     listed = df.select(*keep, *texts).repartition(*keep).select(*keep, F.explode(sides).alias("_side"))
@@ -340,6 +345,20 @@ def _normalised(
     return gathered.select(*keep, *[side(n).alias(name) for n, name in enumerate(texts)])
 
 
+def _looked_up(
+    plain: Column, stop_words: Sequence[str], lemma_of: Callable[[Column], Column] | bool, pieces_of: Callable[[Column], Column] | bool
+) -> Column:
+    """A plain text whose forms are replaced in place: by their words, then, without stop words, by their lemmas."""
+    listed = kept_words(plain, () if pieces_of else stop_words)
+    if pieces_of:
+        listed = F.flatten(F.transform(listed, lambda form: F.coalesce(pieces_of(form), F.array(form))))
+        if stop_words:
+            listed = F.filter(listed, lambda form: ~form.isin(list(stop_words)))
+    if lemma_of:
+        listed = F.transform(listed, lambda form: F.coalesce(lemma_of(form), form))
+    return F.array_join(listed, " ")
+
+
 def lemma_valences(lexicon: DataFrame, lemmas: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``lexicon(word, valence)`` for forms as they stand in a text: a form of ``lemmas(form, lemma)`` has the valence of
     its lemma, or the sum over its words, and any other word its own."""

@@ -360,3 +360,26 @@ def test_the_model_is_sent_what_its_tokens_allow(spark):
     df = reviews(spark, ("aa bb cc", "dddddd"), ("no positive", "a b"), ("toolong x", None))
     got = sentiment.model_sentiment(df, load_model, c=C, load_counter=lambda: count, most_tokens=5)
     assert got.count() == 3 and not sent
+
+
+def test_small_lookups_move_no_text(spark):
+    """The same texts as by joins, also of odd forms, and no row for a word."""
+    texts = [(1, "We cannot say, gonna go the way"), (2, "the"), (3, None), (4, "lé œuf x_¹ Ⅷ cannot"), (5, "twice gone")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    splits = spark.createDataFrame([("cannot", ["can", "not"]), ("gonna", ["going", "the", None]), ("say", None)], "form string, words array<string>")
+    lemmas = [("going", "go"), ("can", 'be "able"'), ("œuf", "œufs"), ("Ⅷ", "\U0001f600"), ("way", None), (None, "none")]
+    lemmas = spark.createDataFrame([*lemmas, *[(f"w{n}", "w") for n in range(500)]], "form string, lemma string")
+    for stop in ((), ["the"]):
+        for more in ({"lemmas": lemmas}, {"lemmas": lemmas, "splits": splits}, {"splits": splits}):
+            got = sentiment.normalised_texts(df, "t", stop, c=C, **more)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "Generate" not in plan
+            assert rows(got) == rows(sentiment.normalised_texts(df, "t", stop, c=C, max_bytes=0, **more))
+    twice = spark.createDataFrame([("twice", "a"), ("twice", "b")], "form string, lemma string")
+    assert {row.t for row in sentiment.normalised_texts(df, "t", ["the"], twice, C).collect()} >= {"a b gone"}
+
+
+def test_a_model_of_lemmas_shuffles_nothing(spark, tmp_path):
+    lemmas = spark.createDataFrame([("goods", "good")], "form string, lemma string")
+    got = sentiment.model_sentiment(reviews(spark, ("goods", "bad")), valence_model(tmp_path / "log"), c=C, lemmas=lemmas)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
