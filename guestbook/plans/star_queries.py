@@ -101,9 +101,10 @@ RAW_SQL = star(
 def _(spark, sf_dir):
     folder = new_table_path(spark, "landing")
     raw = raw_reviews(spark, sf_dir).select(*REVIEW_COLUMNS)
-    raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False
-    ).csv(f"{folder}/csv")
+    # Small files, since a compressed one is read by one task.
+    raw.write.option("header", True).option("compression", "gzip").option("maxRecordsPerFile", 1 << 16).option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/csv")
     return plain(land_reviews(spark, f"{folder}/csv", f"{folder}/parquet").drop("review_id"))
 
 

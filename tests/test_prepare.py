@@ -204,3 +204,23 @@ def test_large_gazetteer_is_not_broadcast(spark, tmp_path):
     assert "BroadcastHashJoin" not in located._jdf.queryExecution().executedPlan().toString()
     filled = prepare.fill_coordinates(df, gazetteer)
     assert rows(filled) == [("address 5", 1.0, 9.0), ("address 6", 3.0, 4.0), ("nowhere", None, None)]
+
+
+def test_landing_writes_small_compressed_files(spark):
+    """The file on the way has every row, in less than half of its bytes."""
+    import glob
+    import gzip
+    import os
+
+    from conftest import SMALL
+
+    from __spark_entry__ import queries
+    from guestbook import shared
+
+    with shared.scope(spark):
+        assert queries()["s1_review_csv_landing"](spark, SMALL).count() == 6000
+        (folder,) = shared._WRITTEN[spark.sparkContext.applicationId]
+        files = glob.glob(f"{folder.removeprefix('file:')}/csv/part-*.csv.gz")
+        texts = [gzip.open(name).read() for name in files]
+        assert sum(text.count(b"\n") - 1 for text in texts) == 6000
+        assert 2 * sum(map(os.path.getsize, files)) < sum(map(len, texts))
