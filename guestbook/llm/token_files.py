@@ -4,13 +4,14 @@ A file set is a folder of Parquet parts, so that Spark's own writers commit them
 knows can hold them. A row is a block: the ids of consecutive documents as little-endian unsigned integers of
 ``id_bytes`` bytes, their doc_ids, and the end of each document within the block in Elias-Fano form, from which
 select gives the offset of any document. Blocks follow each other by (shard, block); shards are ranges of
-doc_id, made by one range shuffle. A block closes at ``BLOCK_IDS`` ids; a longer document has its own.
+doc_id, whose bounds come from the ids of all rows, and one shuffle deals them. A block closes at ``BLOCK_IDS`` ids; a longer document has its own.
 ``start`` in the whole id array is the sum of the shards before, a number for each partition that the driver
 adds up, plus what the block states itself.
 
 Defined results: a null text is an empty one, of which only the end id remains. A null ``doc_id`` sorts last;
 rows with the same ``doc_id`` are ordered by text. Extra columns are not read. An empty table gives an empty
-file set. Texts are encoded where they are read; only ids travel, and the texts of rows that share an id.
+file set. Texts are encoded once, where they are read; only ids travel, and the texts of rows that share an id.
+Besides the files, only this shuffle is written.
 """
 
 from __future__ import annotations
@@ -29,12 +30,13 @@ from guestbook.llm.batches import batch, narrow
 from guestbook.llm.chunk_ids import encoder
 from guestbook.llm.elias_fano import EliasFano
 from guestbook.operators.joins import join_lookup
-from guestbook.shared import drop_tables, settled
 
 BLOCK_IDS = 1 << 16
 ROW_GROUP_BYTES = 16 << 20
 
-ENCODED = "doc_id long, tie string, ids binary, id_bytes int"
+BOUND_PARTS = 32  # a bound between shards is off by a part of so many of a shard's rows at most
+
+ENCODED = "shard int, doc_id long, tie string, ids binary, id_bytes int"
 BLOCK = (
     "shard int, block int, n_docs int, n_ids long, ids_before long, id_bytes int, ids binary, doc_ids binary,"
     " known_ids binary, low_bits int, low binary, high binary, samples binary"
@@ -50,7 +52,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, doc_id: s
         for rows in batches:
             ids = pa.array([found + end for found in made.texts(rows.column("text"))], pa.binary())
             width = pa.array(np.full(rows.num_rows, made.width, np.int32))
-            yield batch(doc_id=rows.column("doc_id"), tie=rows.column("tie"), ids=ids, id_bytes=width)
+            yield batch(shard=shards_of(rows.column("doc_id"), bounds), doc_id=rows.column("doc_id"), tie=rows.column("tie"), ids=ids, id_bytes=width)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, width = TaskContext.get().partitionId(), 0
@@ -82,16 +84,33 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, doc_id: s
             yield closed()
 
     rows = narrow(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text")
+    n_shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _bounds(rows, n_shards)
     repeated = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
     rows = join_lookup(rows, repeated.select("doc_id", F.lit(True).alias("is_repeated")), "doc_id", "left", costly=True)
     tie = F.when(F.col("doc_id").isNull() | F.col("is_repeated"), F.col("text"))
     encoded = rows.select("doc_id", tie.alias("tie"), "text").mapInArrow(encode, ENCODED)
     order = (F.col("doc_id").asc_nulls_last(), F.col("tie").asc_nulls_first())
-    # The range shuffle looks at its input twice; a table keeps the texts from being encoded twice.
-    encoded = settled(encoded, "token-ids")
-    placed = encoded.repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order)
+    # A range shuffle would look at its input twice, to find bounds, and so encode the texts twice.
+    placed = encoded.repartitionById(n_shards, "shard").sortWithinPartitions(*order)
     placed.mapInArrow(work, BLOCK).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
-    drop_tables(encoded)
+
+
+def _bounds(rows: DataFrame, n_shards: int) -> np.ndarray:
+    """The highest ``doc_id`` of every shard but the last, for shards of about as many rows each."""
+    low = rows.agg(F.min("doc_id")).first()[0]
+    if low is None or n_shards == 1:
+        return np.array([], np.int64)
+    above = F.col("doc_id").cast("decimal(20,0)") - F.lit(low)  # the distance is counted in doubles, which have 53 bits
+    shares = [k / n_shards for k in range(1, n_shards)]
+    found = rows.agg(F.percentile_approx(above, shares, BOUND_PARTS * n_shards)).first()[0]
+    return np.array([min(low + int(x), (1 << 63) - 1) for x in found], np.int64)
+
+
+def shards_of(doc_ids: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """The shard of every ``doc_id``: equal ones share one, and a null one stands in the last."""
+    found = np.searchsorted(bounds, doc_ids.fill_null(0).to_numpy()).astype(np.int32)
+    return pa.array(np.where(doc_ids.is_null().to_numpy(zero_copy_only=False), np.int32(len(bounds)), found))
 
 
 BLOCK_SCHEMA = pa.schema(

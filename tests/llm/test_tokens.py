@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 from conftest import rows
+from guestbook import shared
 from guestbook.llm import byte_bpe, chunk_ids, token_counts, token_files
 from guestbook.llm.elias_fano import EliasFano
 from guestbook.llm.pieces import Memory
@@ -122,6 +123,27 @@ def test_files_read_back_what_the_library_gives(spark, table, tmp_path, monkeypa
         assert sum((token_files.read_document(some, k).tolist() for k in range(some["n_docs"])), []) == whole
 
 
+def test_only_files_and_one_shuffle_are_written(spark, table, tmp_path, monkeypatch):
+    written, new_path = [], shared.new_table_path
+    monkeypatch.setattr(shared, "new_table_path", lambda spark, name: written.append(name) or new_path(spark, name))
+    token_files.write_tokens(table, f"{tmp_path}/files", BYTES, end_id=2)
+    assert written == ["lookup"]  # of ids that several rows share
+
+
+def test_shards_are_even_ranges_of_ids(spark, documents, tmp_path):
+    ids = [2**62 + 3 * i for i in range(600)] + [2**62 + 9] * 40 + [None] * 3
+    token_files.write_tokens(documents([(i, f"text {k}") for k, i in enumerate(ids)]), f"{tmp_path}/files", BYTES, end_id=2)
+    held = {}
+    for block in spark.read.parquet(f"{tmp_path}/files").orderBy("shard", "block").collect():
+        known = np.unpackbits(np.frombuffer(block.known_ids, np.uint8), count=block.n_docs)
+        held.setdefault(block.shard, []).extend(i if k else None for i, k in zip(np.frombuffer(block.doc_ids, "<i8").tolist(), known))
+    assert sum(held.values(), []) == sorted((i for i in ids if i is not None)) + [None] * 3
+    assert sorted(held) == list(range(4)) and all(130 <= len(some) <= 220 for some in held.values())
+    assert sum(2**62 + 9 in some for some in held.values()) == 1
+    assert token_files.write_tokens(documents([(2**63 - 1, "a"), (-(2**63), "b"), (0, None)]), f"{tmp_path}/far", BYTES, end_id=2) is None
+    assert sorted(row.doc_id for row in token_files.read_tokens(spark, f"{tmp_path}/far").collect()) == [-(2**63), 0, 2**63 - 1]
+
+
 def test_empty_tables(spark, documents, tmp_path):
     none = documents([])
     token_files.write_tokens(none, f"{tmp_path}/none", BYTES, end_id=2)
