@@ -1,4 +1,5 @@
 import datetime
+import time
 
 import pytest
 from conftest import rows
@@ -224,3 +225,45 @@ def test_landing_writes_small_compressed_files(spark):
         texts = [gzip.open(name).read() for name in files]
         assert sum(text.count(b"\n") - 1 for text in texts) == 6000
         assert 2 * sum(map(os.path.getsize, files)) < sum(map(len, texts))
+
+
+INTEGERS = {
+    "7": 7, "7.0": 7, " 7 ": 7, "7\x7f": 7, "\x007": 7, "+7": 7, "-7.9": -7, "2147483647": 2147483647, "2147483648": None, "99999999999": None,
+    "1e3": 1000, "1e10": None, "NaN": None, "Infinity": None, "7d": 7, "": None, "many": None, "1,403": None, "٣": None, "+": None, "5.": 5,
+}
+DATES = {
+    "8/3/2017": "2017-08-03", "08/03/2017": "2017-08-03", "008/003/2017": "2017-08-03", "2/29/2016": "2016-02-29", "2/29/2015": None, "13/45/2017": None,
+    "12/31/9999": "9999-12-31", "8/3/17": None, "8/3/2017 ": None, "8/3/2017 0:00": None, "8/3/-2017": "-2017-08-03", "0/3/2017": None, "8/32/2017": None, "": None,
+}
+TAGS = {"[' A ', ' B ']": ["A", "B"], "[]": [""], "[' Couple's [x] ', ' b']": ["Couples x", "b"], ", ,": ["", ","], "a ,b": ["a ,b"], "a, ": ["a", ""]}
+
+
+def test_odd_fields_read_as_before(spark):
+    def read(cases, function):
+        df = spark.createDataFrame([(i, text) for i, text in enumerate([*cases, None])], "i int, x string")
+        return [r[0] for r in df.orderBy("i").select(function(F.col("x"))).collect()]
+
+    assert read(INTEGERS, parsing.whole_number) == [*INTEGERS.values(), None]
+    assert read(DATES, lambda x: parsing.us_date(x).cast("string")) == [*DATES.values(), None]
+    assert read(["12 days", "a1b2", "long ago", ""], parsing.first_number) == [12, 1, None, None, None]
+    assert read(TAGS, parsing.tag_list) == [*TAGS.values(), None]
+
+
+@pytest.mark.parametrize(
+    ("function", "good", "bad"),
+    [(parsing.whole_number, "7", "7.0"), (parsing.first_number, "12 days", "long ago"), (parsing.us_date, "8/3/2017", "13/45/2017")],
+)
+def test_malformed_fields_take_no_longer(spark, function, good, bad):
+    """Of many times as long, which an exception for every field takes."""
+
+    def seconds(text):
+        raw = F.when(F.col("id") >= 0, text).otherwise(F.col("id").cast("string"))
+        df = spark.range(0, 1_000_000, 1, 4).select(function(raw).alias("x"))
+        taken = []
+        for _ in range(2):
+            start = time.perf_counter()
+            df.write.format("noop").mode("overwrite").save()
+            taken.append(time.perf_counter() - start)
+        return min(taken)
+
+    assert seconds(bad) < 2 * seconds(good) + 0.3
