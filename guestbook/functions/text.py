@@ -36,6 +36,14 @@ def bare_word(piece: Column) -> Column:
     return F.when(bare(piece) == "", piece).otherwise(bare(piece))
 
 
+def with_bare_words(text: Column) -> Column:
+    """A text each of whose ``words`` is a ``bare_word``: in one go over the text, where trimming looks every end of every
+    word up in the list of marks."""
+    marks = "".join(f"\\{mark}" for mark in string.punctuation)
+    before, after = rf"(?<![^{SPACE}])[{marks}]++(?=[^{SPACE}])", rf"(?<=[^{SPACE}{marks}])[{marks}]++(?![^{SPACE}])"
+    return F.regexp_replace(text, f"(?U)(?=[{marks}])(?:{before}|{after})", "")
+
+
 def plain_text(text: Column) -> Column:
     """Lower-case text without links, tags in angle brackets, punctuation and digits.
 

@@ -87,6 +87,6 @@ def inline_lookup(lookup: DataFrame, key: str, value: str, max_bytes: int = BROA
     size = 1 << len(found).bit_length()
     maps: list[dict] = [{} for _ in range(size)]
     for row in found:
-        maps[row.hash % size][row.key] = row.value
+        maps[row.hash % size][row.key] = row.asDict(recursive=True)["value"]
     held = F.from_json(F.lit(json.dumps(maps)), T.ArrayType(T.MapType(T.StringType(), listed.schema["value"].dataType)))
     return lambda text: F.try_element_at(F.get(held, F.pmod(F.xxhash64(text), F.lit(size)).cast("int")), text)

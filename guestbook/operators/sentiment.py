@@ -35,7 +35,7 @@ from guestbook.functions.fixed_values import (
     WEAKENING_WORDS,
 )
 from guestbook.functions.parsing import in_city
-from guestbook.functions.text import bare, bare_word, kept_words, plain_text, stripped, words
+from guestbook.functions.text import bare, bare_word, kept_words, plain_text, stripped, with_bare_words, words
 from guestbook.operators.joins import BROADCAST_BYTES, inline_lookup, join_lookup
 from guestbook.operators.prepare import with_total_review
 from guestbook.operators.scores import of_entity
@@ -95,16 +95,27 @@ def review_valences(
     ``phrases(phrase, valence)`` are entries of several words. From left to right, the longest phrase that begins at a
     word that no phrase has taken yet counts in place of its words. What comes before the first ``contrast`` word of a
     text weighs half, what comes after it one and a half times. With ``emphasis``, words in capitals among others that
-    are not count more, and closing marks push a text's sum away from zero. Texts stay where they are: of a text with
-    phrases, its valued words and phrases travel, with their places.
+    are not count more, and closing marks push a text's sum away from zero. Texts stay where they are. With phrases and
+    no other rule, a small lexicon is held against the words where they stand, and nothing moves; else the valued words
+    and phrases of a text travel, with their places.
     """
     boosters = dict(boosters or {})
+    if phrases is not None and not (negations or boosters or contrast or emphasis):
+        entries_of = inline_lookup(_entries(lexicon, phrases), "word", "entries", max_bytes)
+        if entries_of is not None:
+            return _phrased(df, keep, texts, entries_of, punctuated)
     placed = phrases is not None or bool(contrast) or emphasis
+
+    def listed_text(text: Column) -> Column:
+        if emphasis:
+            return text
+        return with_bare_words(F.lower(text)) if placed and punctuated else F.lower(text)
+
     sides = F.array(
         *[
             F.struct(
                 F.lit(name).alias("name"),
-                words(F.coalesce(F.col(column), F.lit("")) if emphasis else F.lower(F.coalesce(F.col(column), F.lit("")))).alias("pieces"),
+                words(listed_text(F.coalesce(F.col(column), F.lit("")))).alias("pieces"),
                 (_marks(F.coalesce(F.col(column), F.lit(""))) if emphasis else F.lit(0.0)).alias("marks"),
             )
             for name, column in texts.items()
@@ -117,8 +128,8 @@ def review_valences(
     zipped = ["pieces", *before, *(["shout"] if emphasis else [])]
     if emphasis:
         listed = listed.withColumn("shout", _shouted(F.col("pieces"))).withColumn("pieces", F.transform("pieces", F.lower))
-    if placed and punctuated:
-        listed, punctuated = listed.withColumn("pieces", F.transform("pieces", bare_word)), False
+    if emphasis and punctuated:
+        listed = listed.withColumn("pieces", F.transform("pieces", bare_word))
     for n, name in enumerate(before, 1):
         listed = listed.withColumn(name, F.concat(F.array(*[F.lit("")] * n), "pieces"))
     carried = [*kept, "_text"]
@@ -136,7 +147,7 @@ def review_valences(
         tokens = tokens.filter(F.col("pieces").isNotNull())
     else:
         tokens = listed.select(*carried, F.explode("pieces").alias("pieces"))
-    if punctuated:
+    if punctuated and not placed:
         # Two steps, so that the trimming is evaluated once per word.
         tokens = tokens.withColumn("_bare", bare(F.col("pieces")))
         word = F.when(F.col("_bare") == "", F.col("pieces")).otherwise(F.col("_bare"))
@@ -218,6 +229,44 @@ def _taken(text: str) -> Column:
     return F.aggregate(entries, none, step, lambda held: held["total"])
 
 
+def _entries(lexicon: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Per word, its own entry and those of the phrases that begin with it, the longest first, with the words that follow."""
+    listed = lexicon.select(F.array("word").alias("_phrase"), F.col("valence").cast("double").alias("_value"))
+    listed = listed.unionByName(phrases.select(words(F.lower("phrase")).alias("_phrase"), F.col("valence").cast("double").alias("_value")))
+    entry = F.struct((-F.size("_phrase")).alias("_longest"), "_value", F.slice("_phrase", 2, F.size("_phrase")).alias("_rest"))
+    listed = listed.filter(F.col("_value").isNotNull()).select(F.col("_phrase")[0].alias("word"), entry.alias("_entry"))
+    return listed.groupBy("word").agg(F.array_sort(F.collect_list("_entry")).alias("entries"))
+
+
+def _phrased(
+    df: DataFrame, keep: Sequence[str], texts: Mapping[str, str], entries_of: Callable[[Column], Column], punctuated: bool
+) -> DataFrame:
+    """Each text's sum over the entries that are taken, without a row for every word."""
+    plain = {name: F.lower(F.coalesce(F.col(column), F.lit(""))) for name, column in texts.items()}
+    pieces = {name: words(with_bare_words(text) if punctuated else text) for name, text in plain.items()}
+    listed = df.select(*keep, *[split.alias(f"_pieces_{name}") for name, split in pieces.items()])
+
+    def found(name: str) -> Column:
+        pieces = F.col(f"_pieces_{name}")
+
+        def longest(word: Column, at: Column) -> Column:
+            def is_here(entry: Column) -> Column:
+                rest = entry["_rest"]  # its first word is looked at alone, since slices are copies
+                return (entry["_longest"] == -1) | ((F.get(pieces, at + 1) == F.get(rest, F.lit(0))) & (F.slice(pieces, at + 2, F.size(rest)) == rest))
+
+            return F.get(F.filter(entries_of(word), is_here), F.lit(0))
+
+        def step(held: Column, entry: Column) -> Column:
+            taken = F.struct((-entry["_longest"] - 1).alias("skip"), (held["total"] + entry["_value"]).alias("total"))
+            skipped = F.struct((held["skip"] - 1).alias("skip"), held["total"].alias("total"))
+            return F.when(held["skip"] > 0, skipped).when(entry.isNull(), held).otherwise(taken)
+
+        none = F.struct(F.lit(0).alias("skip"), F.lit(0.0).alias("total"))
+        return F.aggregate(F.transform(pieces, longest), none, step, lambda held: held["total"])
+
+    return listed.select(*keep, *[found(name).alias(name) for name in texts])
+
+
 def split_lexicon(lexicon: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A ``lexicon(word, valence)`` with entries of several words as the words and ``phrases(phrase, valence)``."""
     several = F.size(words(F.col("word"))) > 1

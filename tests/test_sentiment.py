@@ -383,3 +383,28 @@ def test_a_model_of_lemmas_shuffles_nothing(spark, tmp_path):
     lemmas = spark.createDataFrame([("goods", "good")], "form string, lemma string")
     got = sentiment.model_sentiment(reviews(spark, ("goods", "bad")), valence_model(tmp_path / "log"), c=C, lemmas=lemmas)
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bare_words_of_a_whole_text(spark):
+    texts = [
+        "good, (bad) :) it's !!! a-b", "", " ", "!!!", "...x", "x...", "!a! !-! --", "a,b,, ,c", "\t[x]\x1c{y}\x85'z'\u2003\\w\\", "\n!\n.a\n", "é! ¡é «é» 日。", "a!! !!b ^_^ $5 \U0001f600! !\U0001f600",
+        "\u00a0!x\u00a0", "~`a`~ <b>c</b> \"q\" x&y; @me #tag",
+    ]
+    by_word = evaluate(spark, texts, lambda x: F.transform(text.words(x), text.bare_word))
+    assert evaluate(spark, texts, lambda x: text.words(text.with_bare_words(x))) == by_word
+    assert by_word[0] == ["good", "bad", ":)", "it's", "!!!", "a-b"]
+
+
+def test_small_lexicons_take_phrases_without_a_row_for_a_word(spark, lexicon):
+    """The same sums as by joins, also where phrases overlap, repeat words or reach over the end."""
+    entries = [("good", -1.0), ("good good", 7.0), ("good good good", 1.5), ("bad bad bad", 2.0), ("the bomb", None), ("a good bad", 0.25), ("!!! good", 9.0), ("great", 0.5)]
+    phrases = spark.createDataFrame([*ENTRIES, *entries], "phrase string, valence double")
+    texts = ["good good good good good", "a good bad bad bad", "Bad bad", "the bomb squad good good", "!!! good", "a good", "x", "", None, "great; GREAT"]
+    df = spark.createDataFrame([(i, text, texts[-1 - i]) for i, text in enumerate(texts)], "id int, a string, b string")
+    for punctuated in (True, False):
+        more = {"phrases": phrases, "punctuated": punctuated}
+        got = sentiment.review_valences(df, ["id"], {"x": "a", "y": "b"}, lexicon, **more)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Generate" not in plan
+        assert plan.count("split(") == 2  # each text's words are listed once
+        assert rows(got) == rows(sentiment.review_valences(df, ["id"], {"x": "a", "y": "b"}, lexicon, max_bytes=0, **more))
